@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, neardup
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of 85 % of five-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = neardup.near_duplicates(docs)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again, and give digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,7 +34,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_byte_bpe": op10_byte_bpe}
+    return {
+        "op6_near_duplicates": op6_near_duplicates,
+        "op10_byte_bpe": op10_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
