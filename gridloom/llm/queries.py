@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup
+from . import bpe, mixing, neardup
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    docs, taken = mixing.mixed(table(spark, sf_dir, "documents"))
+    sums = taken.groupBy("row").agg(F.sum("words").alias("taken"))
+    return docs.join(sums, "row", "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of 85 % of five-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +42,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mix_sources": op1_mix_sources,
         "op6_near_duplicates": op6_near_duplicates,
         "op10_byte_bpe": op10_byte_bpe,
     }
