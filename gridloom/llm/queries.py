@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup
+from . import bpe, mixing, neardup, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +21,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(sums, "row", "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.train(toxicity.sample(labels, "toxic", "doc_id").join(docs, "doc_id"))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of 85 % of five-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_toxicity": op2_toxicity,
         "op6_near_duplicates": op6_near_duplicates,
         "op10_byte_bpe": op10_byte_bpe,
     }
