@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, toxicity
+from . import bpe, mixing, neardup, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +31,26 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _edited(texts: list[str], following: list[str]) -> list[tuple]:
+    """Digests of each text, of its edit with the head of the text that follows, and how like they are."""
+    out, known = [], {}
+    for text, after in zip(texts, following, strict=True):
+        n = len(text)
+        edit = text[: n - n // 4] + after[: n // 4]
+        own = known.pop(text, None) or syncmers.fingerprint(text)
+        new = syncmers.fingerprint(edit)
+        known = {after: syncmers.fingerprint(after)}  # most often the next text
+        sha = hashlib.sha256(edit.encode("utf-8", "surrogatepass")).hexdigest()
+        out.append((n, sha, syncmers.written(own), syncmers.written(new), syncmers.likeness(own, new), syncmers.likeness(own, known[after])))
+    return out
+
+
+def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and of its edited text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return syncmers.successive(docs, _edited, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of 85 % of five-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_toxicity": op2_toxicity,
+        "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op6_near_duplicates": op6_near_duplicates,
         "op10_byte_bpe": op10_byte_bpe,
     }
