@@ -129,7 +129,7 @@ def successive(df: DataFrame, compare: Callable[[list[str], list[str]], list[tup
     parts = whole.n // PART + 1
     cuts = rows.stat.approxQuantile("place", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
     splits = [-np.inf, *sorted({c for c in cuts if -np.inf < c < whole.top}), np.inf]
-    placed = Bucketizer(splits=splits, inputCol="place", outputCol="part").transform(rows)
+    placed = Bucketizer(splits=splits, inputCol="place", outputCol="part").transform(rows) if len(splits) > 2 else rows.withColumn("part", F.lit(0.0))
     # one number for each range comes to the driver
     first = sorted((r.part, r.low) for r in placed.groupBy("part").agg(F.min("place").alias("low")).collect())
     hosts = {low: first[i - 1][0] for i, (_, low) in enumerate(first)}
