@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -51,6 +51,12 @@ def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.successive(docs, _edited, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return mincut.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of 85 % of five-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_toxicity": op2_toxicity,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
         "op10_byte_bpe": op10_byte_bpe,
     }
