@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, secrets, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +64,13 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [secrets.count(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again, and give digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -83,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
         "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
+        "op8_secrets": op8_secrets,
         "op10_byte_bpe": op10_byte_bpe,
     }
 

@@ -8,8 +8,8 @@ of both together (bottom-k), counting those present in both whose shift in posit
 agrees with the shift of other matches, so that chance matches of scattered common
 k-mers do not count as copied text.
 
-Edge cases: null and texts shorter than a k-mer have one syncmer, the whole text; the
-empty text's fingerprint is the empty string, like only another empty text.
+Edge cases: texts of less than four k-mers' length take k-mers of a quarter of it; the
+fingerprint of a null or empty text is the empty string, like only another empty text.
 """
 
 from __future__ import annotations
@@ -59,9 +59,10 @@ def _hashes(code: np.ndarray, n: int) -> np.ndarray:
 def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of the closed syncmers of a text."""
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U)
-    if len(code) < k:
-        n = len(code)
-        return (_hashes(code, n), np.zeros(1, dtype=np.int64)) if n else (np.empty(0, dtype=_U), np.empty(0, dtype=np.int64))
+    if not len(code):
+        return np.empty(0, dtype=_U), np.empty(0, dtype=np.int64)
+    if len(code) < 4 * k:
+        k, s = max(1, len(code) // 4), max(1, len(code) * s // (4 * k))
     inner = _hashes(code, s)
     low, have, wide = inner, 1, k - s + 1
     while have * 2 <= wide:
