@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, secrets, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, quality, secrets, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -71,6 +71,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judged(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again, and give digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
         "op8_secrets": op8_secrets,
+        "op9_quality_rules": op9_quality_rules,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
