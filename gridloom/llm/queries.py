@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, quality, secrets, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, quality, secrets, substrings, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -51,6 +51,12 @@ def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.successive(docs, _edited, "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without its repeated strings of 100 bytes."""
+    left = substrings.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -95,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_toxicity": op2_toxicity,
         "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
+        "op4_repeated_substrings": op4_repeated_substrings,
         "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
         "op8_secrets": op8_secrets,
