@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, quality, secrets, substrings, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, quality, quotes, secrets, substrings, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,6 +70,13 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
 
 
+def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose messages quote the two before them, linked again and without quotes."""
+    mails = quotes.quoting(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    linked = quotes.conversations(mails)
+    return linked.select(F.col("conv").alias("conv_id"), "turn", F.col("to_turn").alias("parent_turn"), F.col("root_turn"), "depth", F.sha2("own", 256).alias("text_sha256"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -104,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_repeated_substrings": op4_repeated_substrings,
         "op5_main_text": op5_main_text,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_quotation_links": op7_quotation_links,
         "op8_secrets": op8_secrets,
         "op9_quality_rules": op9_quality_rules,
         "op10_byte_bpe": op10_byte_bpe,
@@ -111,4 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_quotation_links": """
+            SELECT conv_id, turn, lag(turn) OVER w AS parent_turn, first_value(turn) OVER w AS root_turn,
+                   row_number() OVER w - 1 AS depth, sha256(text) AS text_sha256
+            FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
+    }
