@@ -92,16 +92,16 @@ def schedule(spark: SparkSession, aims: DataFrame, n: int, block: int) -> DataFr
     return ranked.union(closing)
 
 
-def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, also: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents and what the mix takes of them.
 
     The first frame has row (a number of the row), id, source, size, source_size, target
-    (with keep=True also text); the second has row, pass (0 to REPEATS - 1), slot and
+    and the columns named in also; the second has row, pass (0 to REPEATS - 1), slot and
     words: the words that a block takes from a row in a pass.
     """
     spark = df.sparkSession
     h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id).cast("string"))), 1, 12), 16, 10).cast("long")
-    rows = df.select(F.col(id).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), h.alias("h"), *([F.col(text).alias("text")] if keep else []))
+    rows = df.select(F.col(id).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), h.alias("h"), *(also or []))
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")
     whole = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.approx_count_distinct("source").alias("sources")).first()
     block = max(1, min(BLOCK, whole.words // (max(1, whole.sources) * BLOCKS)))
