@@ -209,12 +209,12 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sketch = stored(sketched(docs, "id", "text"), "sketches")
-    classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.max("n").alias("n"), F.first("bands").alias("bands"))
-    bands = stored(classes.select("node", "n", F.explode("bands").alias("band")), "bands")
+    classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.first("bands").alias("bands"))
+    bands = stored(classes.select("node", F.explode("bands").alias("band")), "bands")
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     crowd = stored(bands.join(sizes, "band"), "crowd")
     central = crowd.groupBy("node").agg(F.sum("size").alias("weight"))
-    ranked = stored(crowd.join(central, "node").select("band", "node", "n", "weight"), "ranked")
+    ranked = stored(crowd.join(central, "node").select("band", "node", "weight"), "ranked")
     hubs = ranked.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", F.col("hub.node").alias("b"))
     starred = stored(ranked.join(hubs, "band").select("band", F.col("node").alias("a"), "b"), "starred")
     pairs = starred.filter("a != b").select("a", "b").distinct()
@@ -257,13 +257,17 @@ def _by_prefix(rest: DataFrame, percent: int) -> DataFrame:
     # of the first need shingles, rarest first, n - size(seen) are the class's own
     need = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
     take = (need - (F.col("n") - F.size("seen"))).cast("int")
-    front = own.filter(take > 0).select("node", "n", "root", F.explode(F.slice("seen", F.lit(1), take)).alias("x")).select("node", "n", "root", F.col("x.gram").alias("gram"))
+    at = F.col("n") - F.col("own") + F.col("i")
+    front = own.withColumn("own", F.size("seen")).filter(take > 0).select("node", "n", "root", "own", F.posexplode(F.slice("seen", F.lit(1), take)).alias("i", "x"))
+    front = front.select("node", "n", "root", at.alias("at"), F.col("x.gram").alias("gram"))
     front = stored(front, "front")
     # under each shingle those outside its commonest root meet all the others, so a
     # large component makes no pairs within itself
     roots = front.groupBy("gram", "root").agg(F.count("*").alias("size")).groupBy("gram").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
     front = stored(front.join(roots.filter("roots > 1").select("gram", F.col("main.root").alias("main")), "gram"), "front")
-    other = front.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    other = front.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("bt"))
+    # the first shingle that a pair shares leaves at least the needed number in both
+    enough = F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("bt")) * (100 + percent) >= (F.col("n") + F.col("nb")) * percent
     met = front.filter("root != main").withColumnRenamed("node", "a").join(other, "gram")
-    met = met.filter((F.col("root") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent))
+    met = met.filter((F.col("root") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & enough)
     return met.select("a", "b").distinct()
