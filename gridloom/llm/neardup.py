@@ -26,11 +26,12 @@ larger than any id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,6 +194,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
+@contextmanager
+def _early_filter(spark: SparkSession) -> Iterator[None]:
+    """Joins run meanwhile drop rows without a partner before the shuffle, by Spark's
+    Bloom filter, whose size is bounded by a setting of its own whatever it is made from."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    wanted = {f"{prefix}.enabled": "true", f"{prefix}.applicationSideScanSizeThreshold": "1MB", f"{prefix}.creationSideThreshold": "1TB"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) whose full sets reach the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
@@ -228,9 +245,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     spread = F.sqrt(goal * (1 - goal) / F.least(F.lit(REGISTERS), "na", "nb"))
     hopeful = pairs.join(left, "a").join(right, "b").filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (_estimate(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")) >= goal - ERRORS * spread))
 
-    owners = stored(sketch.join(ids, "node", "left_semi").select("id", "node"), "owners")
-    words = docs.join(owners.groupBy("node").agg(F.min("id").alias("id")), "id").select("node", "text")
-    sets = stored(full_sets(words, "node", "text").dropDuplicates(["node"]), "sets")
+    owners = stored(sketch.join(ids, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "owners")
+    with _early_filter(df.sparkSession):
+        words = docs.join(owners.filter("n > 0").drop("n"), "id").select("node", "text")
+        sets = stored(full_sets(words, "node", "text").dropDuplicates(["node"]), "sets")
     links = stored(_confirmed(hopeful, sets, percent), "links")
 
     # bands whose members are in different components yet
