@@ -1,15 +1,380 @@
-"""Registered queries of the meter jobs and their SQL."""
+"""Registered queries of the meter jobs over the given tables, and the same in SQL.
+
+Times leave as TIMESTAMP_NTZ in UTC. January has no change of clocks, so the SQL takes local
+time as one hour ahead.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridloom.functions.localtime import hours_between, local_day
+from gridloom.functions.versions import version_rank
+from gridloom.operators import daily, intervals, lookup, repair, split
+from gridloom.sources.events import counters, event_points, grid_power
+from gridloom.sources.points import last_write_wins, matching, select_points, whole_day
+
+FIRST, LAST = date(2024, 1, 2), date(2024, 1, 30)
+#: Look-up days: the last one counted as done, and the day of the run.
+DONE, TODAY = date(2024, 1, 20), date(2024, 1, 28)
+DAY = date(2024, 1, 15)
+
+
+def _plain(instant: str | Column) -> Column:
+    return F.col(instant).cast("timestamp_ntz") if isinstance(instant, str) else instant.cast("timestamp_ntz")
+
+
+def _instant(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
+
+def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity_id, day) of every meter and every day from FIRST to LAST."""
+    meters = event_points(spark, sf_dir).select("entity_id").distinct()
+    return meters.withColumn("day", F.explode(F.sequence(F.lit(FIRST), F.lit(LAST), F.expr("INTERVAL 1 DAY"))))
+
+
+def daily_sum_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = daily.daily_sums(event_points(spark, sf_dir), "total")
+    return sums.select("day", "entity_id", F.round("daily_sum", 6).alias("daily_sum"))
+
+
+def range_filter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = select_points(event_points(spark, sf_dir), _instant("2024-01-10 06:00:00"), _instant("2024-01-20 18:30:00"), entities=["m1", "m4"], measurement="click")
+    return found.select("entity_id", _plain("time").alias("time"), "value")
+
+
+def whole_day_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whole_day(event_points(spark, sf_dir), F.lit(DAY))
+    return found.select("entity_id", _plain("time").alias("time"), "value")
+
+
+def max_point_per_entity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = event_points(spark, sf_dir).withColumn("day", local_day(F.col("time")))
+    return lookup.max_point(points, ["entity_id", "day"]).select("entity_id", "day", "value", _plain("time").alias("time"))
+
+
+def first_last_data_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = event_points(spark, sf_dir)
+    last = lookup.last_day(points.filter("time >= '1970-01-01'"), ["entity_id"])
+    return last.join(lookup.first_day(points)).select("entity_id", "first_day", "last_day")
+
+
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.latest_version(event_points(spark, sf_dir), ["entity_id"])
+
+
+def available_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookup.available_versions(event_points(spark, sf_dir), ["measurement"])
+    return found.select("measurement", "version", version_rank(F.col("version")).getField("number").cast("long").alias("number"))
+
+
+def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meters are done up to different days: those with an odd number to DONE, the others not at all."""
+    points = event_points(spark, sf_dir)
+    done = points.filter((F.substring("entity_id", 2, 1).cast("int") % 2 == 1) & (F.to_date("time") <= F.lit(DONE)))
+    return lookup.unprocessed_days(points.select("entity_id").distinct(), done, F.lit(FIRST), TODAY)
+
+
+def missing_entity_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buys = event_points(spark, sf_dir).filter("measurement = 'purchase'").withColumn("day", local_day(F.col("time")))
+    return lookup.missing_days(_spine(spark, sf_dir), buys)
+
+
+def last_write_wins_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points written to whole minutes: later events replace earlier ones."""
+    rounded = event_points(spark, sf_dir).withColumn("time", F.date_trunc("minute", "time"))
+    kept = last_write_wins(rounded, [F.col("event_id")], ("measurement", "entity_id", "time"))
+    return kept.select("measurement", "entity_id", _plain("time").alias("time"), "value")
+
+
+def delete_by_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = matching(_instant("2024-01-05 00:00:00"), _instant("2024-01-25 00:00:00"), measurement="error", version="v3")
+    return event_points(spark, sf_dir).filter(~hit).select("event_id", "measurement", "version", _plain("time").alias("time"))
+
 
-from pyspark.sql import DataFrame, SparkSession
+def to_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = event_points(spark, sf_dir).withColumn("day", local_day(F.col("time")))
+    found = intervals.to_intervals(points, ["entity_id", "day"])
+    return found.select("entity_id", "day", _plain("start").alias("start"), _plain("stop").alias("stop"), "value", F.round(hours_between(F.col("start"), F.col("stop")), 9).alias("hours"))
+
+
+def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meters = event_points(spark, sf_dir).select("entity_id").distinct()
+    return meters.select(F.col("entity_id").alias("pump_entity"), F.lit("grid").alias("grid_entity"), F.lit("total").alias("output_entity"))
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.split_intervals(counters(spark, sf_dir), grid_power(spark, sf_dir), _roles(spark, sf_dir))
+
+
+def interval_overlap_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _split(spark, sf_dir)
+    return found.select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), F.round("import_kwh", 6).alias("import_kwh"))
+
+
+def pv_grid_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _split(spark, sf_dir).filter("status is null").withColumnRenamed("stop", "time")
+    long = split.long_form(found, ["entity_id", "time"], split.INTERVAL_FIELDS)
+    return long.select("entity_id", _plain("time").alias("time"), "field", F.round("value", 6).alias("value"))
+
+
+def pv_grid_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine = _spine(spark, sf_dir).withColumn("output_entity", F.lit("total"))
+    days = split.split_days(_split(spark, sf_dir).filter("status is null"), spine)
+    return days.select("day", "entity_id", F.round("daily_pv", 6).alias("daily_pv"), F.round("daily_grid_import", 6).alias("daily_grid_import"))
+
+
+def assign_processing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.assign_days(event_points(spark, sf_dir)).select("event_id", "day")
+
+
+def detect_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.detect_resets(repair.windows(counters(spark, sf_dir), _spine(spark, sf_dir)))
+    return rows.groupBy("entity_id", "day").agg(F.max("n").alias("n"), F.max("first").alias("first_reset"), F.max("second").alias("second_reset"))
+
+
+def zero_fill_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which a meter bought nothing, filled with zeros."""
+    empty = missing_entity_days(spark, sf_dir)
+    none = counters(spark, sf_dir).filter("false")
+    written, _ = repair.repair(none, empty)
+    return written.select("entity_id", "day", _plain("time").alias("time"), "value")
+
+
+def monotone_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running maxima of each meter and local day, and whether any fall is too large."""
+    points = event_points(spark, sf_dir)
+    rows = repair.windows(points, _spine(spark, sf_dir)).filter(local_day(F.col("time")) == F.col("day"))
+    rows = rows.withColumns({"status": F.lit(None).cast("string"), "mode": F.lit("keep"), "value": F.col("value") / 100})
+    out = repair.clamp(rows, 2.5)
+    return out.select("entity_id", _plain("time").alias("time"), F.round("value", 6).alias("value"), F.col("status").isNotNull().alias("rejected"))
+
+
+def _repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return repair.repair(counters(spark, sf_dir), _spine(spark, sf_dir))
+
+
+def repair_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repair.stored_points(_repaired(spark, sf_dir)[0])
+    return kept.select("entity_id", _plain("time").alias("time"), F.round("value", 6).alias("value"))
+
+
+def repair_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired(spark, sf_dir)[1]
+
+
+def pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repair, then daily sums and daily shares, in one plan."""
+    kept = repair.stored_points(_repaired(spark, sf_dir)[0])
+    sums = daily.daily_sums(kept, "total")
+    shares = split.split_intervals(kept, grid_power(spark, sf_dir), _roles(spark, sf_dir)).filter("status is null")
+    days = split.split_days(shares, _spine(spark, sf_dir).withColumn("output_entity", F.lit("total")))
+    met = sums.join(days, ["day", "entity_id"])
+    return met.select("day", "entity_id", *[F.round(c, 6).alias(c) for c in ("daily_sum", "daily_pv", "daily_grid_import")])
+
+
+_QUERIES = [
+    daily_sum_with_total,
+    range_filter_points,
+    whole_day_points,
+    max_point_per_entity_day,
+    first_last_data_day,
+    latest_version,
+    available_versions,
+    unprocessed_days,
+    missing_entity_days,
+    last_write_wins_points,
+    delete_by_predicate,
+    to_intervals,
+    interval_overlap_import,
+    pv_grid_interval,
+    pv_grid_daily,
+    assign_processing_days,
+    detect_resets,
+    zero_fill_days,
+    monotone_clamp,
+    repair_counters,
+    repair_rejects,
+    pipeline_totals,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {q.__name__: q for q in _QUERIES}
+
+
+_POINTS = """points AS (
+    SELECT event_type AS measurement, 'm' || (user_id % 10) AS entity_id, 'v' || (event_id % 12 + 1) AS version, ts AS time, value, event_id,
+           CAST(ts + INTERVAL 1 HOUR AS DATE) AS day
+    FROM events)"""
+_SPINE = """spine AS (
+    SELECT entity_id, CAST(d AS DATE) AS day
+    FROM (SELECT DISTINCT 'm' || (user_id % 10) AS entity_id FROM events), generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-30', INTERVAL 1 DAY) AS g(d))"""
+_COUNTERS = """started AS (
+    SELECT event_id, ts AS time, user_id % 10 AS meter, CAST(round(value * 100) AS BIGINT) AS cents,
+           CAST(ts + INTERVAL 1 HOUR + to_minutes(CAST([-40, -20, 0, 20, 40][(user_id % 10) % 5 + 1] AS BIGINT)) AS DATE) AS day
+    FROM events),
+counters AS (
+    SELECT 'm' || meter AS entity_id, time, event_id,
+           floor(CAST(sum(cents) OVER (PARTITION BY meter, day ORDER BY time, event_id) - cents AS DOUBLE) / 10) / 1000 AS value
+    FROM started)"""
+# the read windows of all days, and the resets found in them
+_RESETS = """assigned AS (
+    SELECT * FROM (
+        SELECT entity_id, time, value, unnest([l, CASE WHEN h >= 20 THEN l + 1 END, CASE WHEN h < 4 THEN l - 1 END]) AS day
+        FROM (SELECT *, CAST(time + INTERVAL 1 HOUR AS DATE) AS l, hour(time + INTERVAL 1 HOUR) AS h FROM counters)) WHERE day IS NOT NULL),
+r0 AS (
+    SELECT s.entity_id, s.day, s.day - INTERVAL 1 HOUR AS ds, s.day + INTERVAL '22:59:59' AS de, a.time, a.value,
+           CAST(row_number() OVER (PARTITION BY s.entity_id, s.day ORDER BY a.time, a.value) - 1 AS BIGINT) AS idx, count(a.time) OVER (PARTITION BY s.entity_id, s.day) AS n
+    FROM spine s LEFT JOIN assigned a ON s.entity_id = a.entity_id AND s.day = a.day),
+r1 AS (
+    SELECT *, round(value, 3) AS v, abs(epoch_us(time) - epoch_us(ds)) <= abs(epoch_us(de) - epoch_us(time)) AS early,
+           greatest(0, max(round(value, 3)) OVER (PARTITION BY entity_id, day ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS top
+    FROM r0),
+r2 AS (SELECT *, min(CASE WHEN v < top THEN idx END) OVER (PARTITION BY entity_id, day) AS fall FROM r1),
+r3 AS (SELECT *, CASE WHEN max(CASE WHEN idx = fall AND early THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id, day) = 1 THEN fall END AS one FROM r2),
+r4 AS (SELECT *, max(CASE WHEN idx >= one THEN v END) OVER (PARTITION BY entity_id, day ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top2 FROM r3),
+r5 AS (SELECT *, min(CASE WHEN idx > one AND NOT early AND v < top2 THEN idx END) OVER (PARTITION BY entity_id, day) AS fall2 FROM r4),
+resets AS (SELECT entity_id, day, ds, de, idx, n, time, value, one AS first_reset, CASE WHEN one IS NULL THEN fall ELSE fall2 END - 1 AS second_reset FROM r5)"""
+_REPAIR = """p0 AS (
+    SELECT entity_id, day, ds, de, idx, n, time, value, first_reset, coalesce(second_reset, n - 1) AS two,
+           max(CASE WHEN idx = 0 THEN time END) OVER g AS t0, max(CASE WHEN idx = 0 THEN value END) OVER g AS v0
+    FROM resets WINDOW g AS (PARTITION BY entity_id, day)),
+p1 AS (
+    SELECT *, CASE WHEN first_reset IS NOT NULL THEN 'found' WHEN v0 = 0 AND t0 BETWEEN ds AND de THEN 'stay'
+                   WHEN t0 >= ds AND v0 > 0 THEN 'insert' WHEN t0 < ds AND v0 = 0 THEN 'move' ELSE 'none' END AS how
+    FROM p0),
+p2 AS (
+    SELECT entity_id, day, ds, de, idx, n, CASE WHEN how = 'move' AND idx = 0 THEN ds ELSE time END AS time, value, two, how, v0,
+           CASE WHEN how = 'insert' THEN -1 WHEN how IN ('stay', 'move') THEN 0 ELSE first_reset END AS one
+    FROM p1
+    UNION ALL
+    SELECT entity_id, day, ds, de, -1, n, ds, 0.0, two, how, v0, -1 FROM p1 WHERE how = 'insert' AND idx = 0),
+p3 AS (
+    SELECT *, max(CASE WHEN idx = one THEN time END) OVER g AS ft, max(CASE WHEN idx = two THEN time END) OVER g AS st,
+           lead(time) OVER (PARTITION BY entity_id, day ORDER BY idx) AS after
+    FROM p2 WINDOW g AS (PARTITION BY entity_id, day)),
+p4 AS (
+    SELECT *, CASE WHEN n = 0 OR (n = 1 AND how <> 'insert' AND ft = st AND ft BETWEEN ds AND de AND v0 = 0) THEN 'zero'
+                   WHEN ft >= ds AND st <= de THEN 'keep' WHEN ft < ds AND st <= de THEN 'early' WHEN ft >= ds THEN 'late' ELSE 'both' END AS mode,
+           CASE WHEN n > 0 AND how = 'none' THEN 'no_first_reset' END AS bad
+    FROM p3),
+p5 AS (SELECT *, mode IN ('early', 'both') AND time < ds AND idx > one AS moved FROM p4 WHERE mode = 'zero' OR bad IS NOT NULL OR idx BETWEEN one AND two),
+p6 AS (SELECT *, count(*) FILTER (WHERE moved) OVER (PARTITION BY entity_id, day) AS m FROM p5),
+p7 AS (SELECT *, max(CASE WHEN idx = one + m THEN epoch_us(after) END) OVER (PARTITION BY entity_id, day) AS anchor FROM p6),
+p8 AS (
+    SELECT * EXCLUDE (time, bad), coalesce(bad, CASE WHEN mode IN ('early', 'both') AND m > 0 AND anchor IS NULL THEN 'no_anchor' END) AS bad,
+           CASE WHEN moved THEN make_timestamp(CAST(round_even(epoch_us(ds) + (idx - one + 1) * ((anchor - epoch_us(ds)) / CAST(m + 1 AS DOUBLE)), 0) AS BIGINT))
+                WHEN mode IN ('early', 'both') AND idx = one THEN ds ELSE time END AS time
+    FROM p7),
+p9 AS (SELECT *, mode IN ('late', 'both') AND time > de AS late FROM p8),
+pa AS (SELECT *, min(CASE WHEN late THEN idx END) OVER (PARTITION BY entity_id, day) AS lo FROM p9),
+pb AS (SELECT *, max(CASE WHEN idx = lo - 1 THEN epoch_us(time) END) OVER (PARTITION BY entity_id, day) AS base FROM pa),
+pc AS (
+    SELECT * EXCLUDE (time), CASE WHEN late AND idx = two THEN de
+                WHEN late THEN make_timestamp(CAST(round_even(base + (idx - lo + 1) * ((epoch_us(de) - base) / CAST(nullif(two - lo + 1, 0) AS DOUBLE)), 0) AS BIGINT)) ELSE time END AS time
+    FROM pb),
+pd AS (SELECT *, greatest(0.0, max(value) OVER (PARTITION BY entity_id, day ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS before FROM pc),
+pe AS (
+    SELECT * EXCLUDE (value, bad), greatest(0.0, before, value) AS value,
+           coalesce(bad, CASE WHEN mode <> 'zero' AND max(CASE WHEN before - value > 0.25 THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id, day) = 1 THEN 'monotonicity' END) AS bad
+    FROM pd),
+rejects AS (SELECT entity_id, day, min(bad) AS status FROM pe WHERE bad IS NOT NULL GROUP BY entity_id, day),
+pf AS (SELECT *, min(idx) OVER (PARTITION BY entity_id, day) AS i0, max(idx) OVER (PARTITION BY entity_id, day) AS i1 FROM pe WHERE bad IS NULL),
+written AS (
+    SELECT entity_id, day, idx AS seq, time, value FROM pf WHERE mode <> 'zero'
+    UNION ALL SELECT entity_id, day, idx - 1, ds, 0.0 FROM pf WHERE mode <> 'zero' AND idx = i0 AND time <> ds
+    UNION ALL SELECT entity_id, day, idx + 1, de, value FROM pf WHERE mode <> 'zero' AND idx = i1 AND time <> de
+    UNION ALL SELECT entity_id, day, CAST(k AS BIGINT), CASE WHEN k = 24 THEN de ELSE ds + to_hours(k) END, 0.0 FROM pf, generate_series(0, 24) AS g(k) WHERE mode = 'zero' AND idx = 0),
+repaired AS (
+    SELECT entity_id, time, value
+    FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, time ORDER BY day DESC, seq DESC) AS nth FROM written) WHERE nth = 1)"""
+
+
+def _split_sql(pumps: str) -> str:
+    return f"""used AS (
+    SELECT * FROM (
+        SELECT entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) AS day, time AS start, value,
+               lead(time) OVER w AS stop, lead(value) OVER w AS next_value
+        FROM {pumps} WINDOW w AS (PARTITION BY entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) ORDER BY time, value)) WHERE stop IS NOT NULL),
+power AS (
+    SELECT * FROM (
+        SELECT CAST(ts + INTERVAL 1 HOUR AS DATE) AS day, ts AS start, (value - 50) * 100 AS w,
+               lead(ts) OVER (PARTITION BY CAST(ts + INTERVAL 1 HOUR AS DATE) ORDER BY ts, value) AS stop
+        FROM events WHERE event_type = 'view') WHERE stop > start),
+sums AS (
+    SELECT u.entity_id, u.start, u.stop, sum(CASE WHEN w >= 0 THEN w * (epoch_us(p.stop) - epoch_us(p.start)) / 3.6e12 ELSE 0 END) AS energy,
+           sum((epoch_us(p.stop) - epoch_us(p.start)) / 3.6e9) AS hours
+    FROM used u JOIN power p ON u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL),
+imported AS (
+    SELECT u.*, u.next_value - u.value AS diff, CASE WHEN s.hours > 0 THEN energy * ((epoch_us(u.stop) - epoch_us(u.start)) / 3.6e9) / s.hours ELSE 0 END AS import_kwh
+    FROM used u LEFT JOIN sums s USING (entity_id, start, stop)),
+shares AS (
+    SELECT * FROM (
+        SELECT *, CASE WHEN import_kwh > 0 THEN greatest(0, diff - import_kwh) ELSE diff END AS pv_contribution,
+               diff - CASE WHEN import_kwh > 0 THEN greatest(0, diff - import_kwh) ELSE diff END AS grid_import
+        FROM imported) WHERE diff >= 0 AND import_kwh >= 0 AND grid_import >= 0),
+split_days AS (
+    SELECT s.day, CASE WHEN grouping(s.entity_id) = 1 THEN 'total' ELSE s.entity_id END AS entity_id,
+           coalesce(sum(pv), 0) AS daily_pv, coalesce(sum(bought), 0) AS daily_grid_import
+    FROM spine s LEFT JOIN (SELECT entity_id, day, sum(pv_contribution) AS pv, sum(grid_import) AS bought FROM shares GROUP BY ALL) x USING (entity_id, day)
+    GROUP BY GROUPING SETS ((s.day, s.entity_id), (s.day)))"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    bought = f"WITH {_POINTS}, {_SPINE} SELECT entity_id, day FROM spine ANTI JOIN (SELECT entity_id, day FROM points WHERE measurement = 'purchase') USING (entity_id, day)"
+    repaired = f"WITH {_SPINE}, {_COUNTERS}, {_RESETS}, {_REPAIR}"
+    counted = f"WITH {_SPINE}, {_COUNTERS}, {_split_sql('counters')}"
+    return {
+        "daily_sum_with_total": f"""WITH {_POINTS}, tops AS (SELECT day, entity_id, max(value) AS top FROM points GROUP BY ALL)
+            SELECT day, CASE WHEN grouping(entity_id) = 1 THEN 'total' ELSE entity_id END AS entity_id, round(sum(top), 6) AS daily_sum
+            FROM tops GROUP BY GROUPING SETS ((day, entity_id), (day))""",
+        "range_filter_points": f"""WITH {_POINTS} SELECT entity_id, time, value FROM points
+            WHERE time >= '2024-01-10 06:00:00' AND time < '2024-01-20 18:30:00' AND entity_id IN ('m1', 'm4') AND measurement = 'click'""",
+        "whole_day_points": f"WITH {_POINTS} SELECT entity_id, time, value FROM points WHERE time >= '2024-01-14 23:00:00' AND time < '2024-01-15 23:00:00'",
+        "max_point_per_entity_day": f"""WITH {_POINTS} SELECT entity_id, day, value, time FROM points
+            QUALIFY row_number() OVER (PARTITION BY entity_id, day ORDER BY value DESC, time) = 1""",
+        "first_last_data_day": f"""WITH {_POINTS} SELECT entity_id, CAST((SELECT min(time) FROM points) AS DATE) AS first_day, CAST(max(time) AS DATE) AS last_day
+            FROM points GROUP BY entity_id""",
+        "latest_version": f"""WITH {_POINTS} SELECT entity_id, version FROM (SELECT DISTINCT entity_id, version FROM points)
+            QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY CAST(regexp_extract(version, '([0-9]+)$', 1) AS BIGINT) DESC) = 1""",
+        "available_versions": f"WITH {_POINTS} SELECT DISTINCT measurement, version, CAST(regexp_extract(version, '([0-9]+)$', 1) AS BIGINT) AS number FROM points WHERE version <> ''",
+        "unprocessed_days": """WITH ends AS (
+                SELECT 'm' || (user_id % 10) AS entity_id, coalesce(max(CAST(ts AS DATE)) FILTER (WHERE user_id % 10 % 2 = 1 AND CAST(ts AS DATE) <= DATE '2024-01-20'), DATE '2024-01-01') AS last
+                FROM events GROUP BY 1)
+            SELECT entity_id, CAST(d AS DATE) AS day FROM ends, generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d) WHERE d > last""",
+        "missing_entity_days": bought,
+        "last_write_wins_points": f"""WITH {_POINTS} SELECT measurement, entity_id, date_trunc('minute', time) AS time, value FROM points
+            QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, date_trunc('minute', time) ORDER BY event_id DESC) = 1""",
+        "delete_by_predicate": f"""WITH {_POINTS} SELECT event_id, measurement, version, time FROM points
+            WHERE NOT (measurement = 'error' AND version = 'v3' AND time >= '2024-01-05' AND time < '2024-01-25')""",
+        "to_intervals": f"""WITH {_POINTS} SELECT entity_id, day, start, stop, value, round((epoch_us(stop) - epoch_us(start)) / 3.6e9, 9) AS hours
+            FROM (SELECT entity_id, day, time AS start, value, lead(time) OVER (PARTITION BY entity_id, day ORDER BY time, value) AS stop FROM points) WHERE stop IS NOT NULL""",
+        "interval_overlap_import": f"{counted} SELECT entity_id, start, stop, round(import_kwh, 6) AS import_kwh FROM imported",
+        "pv_grid_interval": f"""{counted} SELECT entity_id, stop AS time, 'pv_contribution' AS field, round(pv_contribution, 6) AS value FROM shares
+            UNION ALL SELECT entity_id, stop, 'grid_import', round(grid_import, 6) FROM shares""",
+        "pv_grid_daily": f"{counted} SELECT day, entity_id, round(daily_pv, 6) AS daily_pv, round(daily_grid_import, 6) AS daily_grid_import FROM split_days",
+        "assign_processing_days": """SELECT event_id, CAST(d AS DATE) AS day
+            FROM events, generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) AS g(d)
+            WHERE ts >= d - INTERVAL 5 HOUR AND ts < d + INTERVAL 27 HOUR""",
+        "detect_resets": f"WITH {_SPINE}, {_COUNTERS}, {_RESETS} SELECT entity_id, day, max(n) AS n, max(first_reset) AS first_reset, max(second_reset) AS second_reset FROM resets GROUP BY ALL",
+        "zero_fill_days": f"""SELECT entity_id, day, CASE WHEN k = 24 THEN day + INTERVAL '22:59:59' ELSE day - INTERVAL 1 HOUR + to_hours(k) END AS time, CAST(0 AS DOUBLE) AS value
+            FROM ({bought}), generate_series(0, 24) AS g(k)""",
+        "monotone_clamp": f"""WITH {_POINTS}, {_SPINE}, x AS (
+                SELECT entity_id, day, time, value / 100 AS value, greatest(0, max(value / 100) OVER (PARTITION BY entity_id, day ORDER BY time, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS before
+                FROM points SEMI JOIN spine USING (entity_id, day))
+            SELECT entity_id, time, round(greatest(before, value), 6) AS value, max(before - value > 2.5) OVER (PARTITION BY entity_id, day) AS rejected FROM x""",
+        "repair_counters": f"{repaired} SELECT entity_id, time, round(value, 6) AS value FROM repaired",
+        "repair_rejects": f"{repaired} SELECT entity_id, day, status FROM rejects",
+        "pipeline_totals": f"""{repaired}, {_split_sql("repaired")},
+            tops AS (SELECT CAST(time + INTERVAL 1 HOUR AS DATE) AS day, entity_id, max(value) AS top FROM repaired GROUP BY ALL),
+            day_sums AS (SELECT day, CASE WHEN grouping(entity_id) = 1 THEN 'total' ELSE entity_id END AS entity_id, sum(top) AS daily_sum
+                FROM tops GROUP BY GROUPING SETS ((day, entity_id), (day)))
+            SELECT day, entity_id, round(daily_sum, 6) AS daily_sum, round(daily_pv, 6) AS daily_pv, round(daily_grid_import, 6) AS daily_grid_import
+            FROM day_sums JOIN split_days USING (day, entity_id)""",
+    }

@@ -1,0 +1 @@
+"""Left empty: the meter jobs are daily batches, incremental by day (see gridloom.jobs.pipeline)."""
