@@ -16,8 +16,8 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _matched(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Rows of docs joined to found on (doc_id, _mark), null ids included."""
-    right = found.withColumnRenamed("doc_id", "_id").withColumnRenamed("_mark", "_of")
+    """Rows of docs joined to found on (doc_id, _mark), null ids included; found's other columns get a _ in front."""
+    right = found.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_of"), *[F.col(c).alias(f"_{c}") for c in found.columns if c not in ("doc_id", "_mark")])
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
     return _marked(docs).join(right, on, how)
 
@@ -44,10 +44,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents with every secret replaced by a mark."""
     found = secrets.find_secrets(_marked(docs.select("doc_id", "text")), keep=["doc_id", "_mark"])
     found = found.filter(F.size("spans") > 0).select("doc_id", "_mark", "spans").dropDuplicates(["doc_id", "_mark"])
-    clean = secrets.redacted(F.col("text"), F.col("spans"))
-    met = _matched(docs, found, "left").withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean))
+    clean = secrets.redacted(F.col("text"), F.col("_spans"))
+    met = _matched(docs, found, "left").withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        met = met.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        met = met.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return met.select(*docs.columns)
 
 
@@ -57,7 +57,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     times = taken.groupBy("row", "pass").agg(F.sum("words").alias("words")).join(known.select("row", "size"), "row").filter(F.col("words") * 2 >= F.col("size"))
     copies = times.groupBy("row").agg(F.count("*").cast("int").alias("copies"))
     found = known.join(copies, "row").groupBy(F.col("id").alias("doc_id"), "_mark").agg(F.max("copies").alias("copies"))
-    met = _matched(docs, found, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    met = _matched(docs, found, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return met.select(*docs.columns)
 
 
