@@ -32,7 +32,7 @@ from .common import slices
 
 BUCKETS, DIMENSIONS, NGRAMS = 1 << 19, 4, (3, 4, 5, 6)
 #: Labelled rows of each label that a fit may use at most.
-SAMPLE = 2500
+SAMPLE = 1500
 STEPS, RATE, DECAY = 60, 0.1, 1e-6
 #: Sampled texts that must hold an n-gram for it to be learned.
 TEXTS = 4
@@ -53,7 +53,7 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U)
     length = np.fromiter((len(w) + 2 for w in words), dtype=np.int64, count=len(words))
     start = np.concatenate([[0], np.cumsum(length)[:-1]]) if len(words) else np.empty(0, dtype=np.int64)
-    owner = np.repeat(np.arange(len(words)), length)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), length)
     left = np.repeat(start + length, length) - np.arange(len(code))
     who, what = [], []
     h = np.zeros(len(code), dtype=_U)
@@ -67,7 +67,7 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = (np.arange(len(code)) - np.repeat(start, length)).astype(_U)
     if len(words):
         whole = np.add.reduceat((code + _U(7)) * _bits((place + _U(1)) * _MULTIPLY), start)
-        who.append(np.arange(len(words)))
+        who.append(np.arange(len(words), dtype=np.int32))
         what.append(_bucket(whole))
     owner, grams = np.concatenate(who), np.concatenate(what)
     order = np.argsort(owner, kind="stable")
@@ -80,7 +80,7 @@ def _bits(h: np.ndarray) -> np.ndarray:
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (_bits(h) % _U(BUCKETS)).astype(np.int64)
+    return (_bits(h) % _U(BUCKETS)).astype(np.int32)
 
 
 @dataclass
@@ -119,7 +119,7 @@ def _common(grams: np.ndarray, counts: np.ndarray, starts: np.ndarray, docs: np.
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         n = counts[ids[a:b]]
         at = np.repeat(starts[ids[a:b]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        texts += np.bincount(np.unique(grams[at] << 31 | np.repeat(docs[a:b], n)) >> 31, minlength=BUCKETS).astype(np.int32)
+        texts += np.bincount(np.unique(grams[at].astype(np.int64) << 31 | np.repeat(docs[a:b], n)) >> 31, minlength=BUCKETS).astype(np.int32)
     return texts >= TEXTS
 
 
