@@ -46,19 +46,18 @@ def levels(text: str) -> list[tuple[int, str]]:
 
 
 def own_text(passages: list[tuple[int, str]]) -> str:
-    """What the author wrote: level 0 without the lines that announce a quotation."""
+    """What the author wrote: level 0, without blank lines next to quotes and lines that announce them."""
     kept = []
     for i, (level, text) in enumerate(passages):
         if level:
             continue
         lines = text.split("\n")
-        if i + 1 < len(passages):
-            while lines and not lines[-1].strip():
-                lines.pop()
-            if lines and _INTRODUCED.match(lines[-1]):
-                lines.pop()
+        while i and lines and not lines[0].strip():
+            lines.pop(0)
+        while i + 1 < len(passages) and lines and (not lines[-1].strip() or _INTRODUCED.match(lines[-1])):
+            lines.pop()
         kept.append("\n".join(lines))
-    return "\n".join(kept).strip("\n") if len(passages) > 1 else kept[0] if kept else ""
+    return "\n".join(x for x in kept if x)
 
 
 def hashes(text: str) -> dict[int, int]:

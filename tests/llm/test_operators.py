@@ -1,0 +1,367 @@
+"""Each numbered query against brute force on small tables with every edge."""
+
+import base64
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from gridloom.llm import bpe, mincut, mixing, neardup, quality, queries, quotes, secrets, substrings, syncmers, toxicity
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sha(x):
+    return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_empty_tables(spark, empty, name):
+    assert queries.queries()[name](spark, empty).collect() == []
+
+
+# 1 mixing
+
+
+def fair(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    full = {}
+    while True:
+        left, share = sum(sizes.values()) - sum(full.values()), sum(weight[s] for s in sizes if s not in full)
+        over = [s for s in sizes if s not in full and left * weight[s] / share > 3 * sizes[s]]
+        if not over:
+            return {s: full.get(s, left * weight[s] / share if share else 0.0) for s in sizes}
+        full |= {s: 3.0 * sizes[s] for s in over}
+
+
+def test_mix(answer, folder):
+    _, texts, rows = folder
+    size = {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
+    sums = Counter()
+    for i, n in size.items():
+        sums[rows[i][3]] += n
+    target, taken = fair(sums), Counter()
+    got = answer("op1_mix_sources")
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    for r in got:
+        source = rows[r.doc_id][3]
+        assert (r.size, r.source_size) == (size[r.doc_id], sums[source]) and math.isclose(r.target, target[source])
+        assert 0 <= r.taken <= 3 * r.size
+        taken[source] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 1 for s in sums)
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100}, {"a": 1, "b": 1000}, {"a": 0, "b": 5}, {None: 10, "z": 10, "é": 3}, {"a": 0}])
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    got = {r.source: r.target for r in mixing.targets(frame).collect()}
+    assert got == pytest.approx(fair(sizes))
+
+
+def test_schedule_is_even(spark):
+    aims = spark.createDataFrame([(1, 5000.0), (2, 2000.0), (3, 1000.0)], "k int, target double")
+    slots = mixing.schedule(spark, aims, 801, 10).collect()
+    assert Counter(r.k for r in slots if r.slot < 801).total() == 801
+    for lo in (0, 200, 400):  # every stretch of the mix has about the target shares
+        part = Counter(r.k for r in slots if lo <= r.slot < lo + 200)
+        assert abs(part[1] - 125) <= 6 and abs(part[3] - 25) <= 5
+    for k, n in ((1, 500), (2, 200), (3, 100)):
+        assert set(range(n)) <= {r.rank for r in slots if r.k == k}
+
+
+# 2 toxicity
+
+
+def test_toxicity(answer, folder):
+    got = {r.doc_id: r for r in answer("op2_toxicity")}
+    assert sorted(got) == list(range(len(folder[1])))
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_held_out_accuracy_and_misspellings():
+    rng = np.random.default_rng(2)
+    plain = ["".join(rng.choice(["ba", "ko", "li", "mu", "ter", "sa"], 3)) for _ in range(300)]
+    make = lambda bad: " ".join([*rng.choice(plain, 40), *([rng.choice(["stupid", "moron", "stupidly", "morons"])] if bad else [])])
+    y = np.array([i % 2 for i in range(400)])
+    model = toxicity.fit([make(b) for b in y], y)
+    tested = np.array([i % 3 == 0 for i in range(300)])
+    right = (model.scores([make(b) for b in tested]) >= 0.5) == tested
+    assert right.mean() > 0.95
+    some = model.scores(["bakoli such a stuupid moronn thing", "bakoli muter", "", None])
+    assert some[0] > some[1] and some[2] == some[3] and 0 <= some[2] <= 1
+
+
+# 3 fingerprints
+
+
+def test_fingerprints(answer, folder):
+    texts = [t or "" for t in folder[1]]
+    got = sorted(answer("op3_syncmer_fingerprints"))
+    prints = {}
+    for i, r in enumerate(got):
+        n, after = len(texts[i]), texts[(i + 1) % len(texts)]
+        assert (r.doc_id, r.n_chars, r.edited_sha256) == (i, n, sha(texts[i][: n - n // 4] + after[: n // 4]))
+        assert prints.setdefault(texts[i], r.fingerprint) == r.fingerprint and syncmers.written(syncmers.read(r.fingerprint)) == r.fingerprint
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+    long = [r for r in got if r.n_chars > 300]
+    assert np.mean([r.near_edited for r in long]) > 0.4 and np.median([r.near_next for r in long]) < 0.2
+
+
+def test_syncmers_are_closed_and_context_free():
+    text = "".join(np.random.default_rng(1).choice(list("abcdefgh"), 500))
+    whole = {text[p : p + syncmers.K] for p in syncmers.syncmers(text)[1]}
+    part = {text[100:300][p : p + syncmers.K] for p in syncmers.syncmers(text[100:300])[1]}
+    assert part == {text[p : p + syncmers.K] for p in syncmers.syncmers(text)[1] if 100 <= p <= 300 - syncmers.K}
+    assert 1.4 / (syncmers.K - syncmers.S + 1) < len(whole) / 500 < 3 / (syncmers.K - syncmers.S + 1)
+
+
+# 4 repeated substrings
+
+
+def test_repeated_substrings(answer, folder):
+    got = {r.doc_id: r for r in answer("op4_repeated_substrings")}
+    seen, n = set(), substrings.LENGTH
+    for i, t in enumerate(folder[1]):
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - n + 1):
+            if raw[p : p + n] in seen:
+                gone[p : p + n] = b"\1" * n
+            seen.add(raw[p : p + n])
+        left = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        assert tuple(got[i])[1:] == (len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(left)), i
+
+
+def test_cut_into_chunks_finds_the_same(monkeypatch):
+    text = bytes(np.random.default_rng(3).integers(97, 100, 3000, dtype=np.uint8))
+    whole = substrings.parse(text)
+    monkeypatch.setattr(substrings, "CHUNK", 700)
+    parts = substrings.parse(text)
+    starts = lambda x: sorted(s for a, n in zip(x[2].tolist(), x[3].tolist(), strict=True) for s in range(a, a + n))
+    assert starts(whole) == starts(parts) == list(range(3000 - substrings.LENGTH + 1))
+
+
+def test_repeated_rows_are_one_document(spark):
+    long = "some words that are long enough to be found again, " * 3
+    frame = spark.createDataFrame([(1, long), (1, long), (2, long), (None, "x"), (2, "other " * 30)], "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_removed) for r in substrings.deduplicated(frame).collect())
+    assert got[0] == (-1, 1, 0) and got[1] == got[2] and got[-1][2] <= got[-1][1]
+
+
+# 5 pages
+
+
+def test_pages(answer):
+    got = {r.page_id: (r.text, r.n_chars) for r in answer("op5_main_text")}
+    assert got[0] == ("A & B\nSome long text that ends well.\nMore text here.", 52)
+    assert got[1] == got[2] == got[4] == ("", 0) and got[3][0] == "unclosed bold"
+
+
+def test_least_cut():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        n = 6
+        full = [[float(rng.integers(0, 6)) for _ in range(n)] for _ in range(n)]
+        capacity = [{v: c for v, c in enumerate(row) if c and v != u} for u, row in enumerate(full)]
+        side = mincut._flow([dict(c) for c in capacity], 0, n - 1)
+        cost = lambda s: sum(c for u in s for v, c in capacity[u].items() if v not in s)
+        best = min(cost({0} | {i + 1 for i in range(n - 2) if m >> i & 1}) for m in range(2 ** (n - 2)))
+        assert math.isclose(cost(side), best)
+
+
+# 6 near duplicates
+
+
+def shingles(text):
+    words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def test_near_duplicates(answer, folder):
+    sets = [shingles(t) for t in folder[1]]
+    least = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if a and sets[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                    least[i] = least[j] = min(least[i], least[j])
+    for r in answer("op6_near_duplicates"):
+        assert tuple(r)[1:] == (len(sets[r.doc_id]), least[r.doc_id], least[r.doc_id] == r.doc_id)
+
+
+def test_a_group_around_its_centre(spark):
+    """Copies of one text with edits of their own: only those near the centre or each other are linked."""
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for p in rng.choice(120, int(rng.integers(0, 6)), replace=False):
+            w[p] = f"x{rng.integers(0, 3)}" if rng.random() < 0.7 else f"y{i}"
+        texts.append(" ".join(w))
+    sets, root = [shingles(t) for t in texts], list(range(150))
+    for _ in range(20):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 85 * len(a | b):
+                    root[i] = min(root[i], root[j])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in neardup.near_duplicates(frame).collect()}
+    assert [got[i] for i in range(150)] == root and len(set(root)) > 5
+
+
+def test_registers_estimate_likeness():
+    rng = np.random.default_rng(7)
+    pool = neardup.mixed(np.arange(3000, dtype=np.uint64))
+    for n, shared in ((1000, 900), (60, 54), (1000, 500)):
+        a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:shared], pool[2000 : 2000 + n - shared]]))
+        equal = (np.diff(neardup.registers([a, b]), axis=0) == 0).mean()
+        assert abs(equal - shared / (2 * n - shared)) < 0.17
+    assert rng is not None
+
+
+def test_components(spark):
+    rng = np.random.default_rng(8)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(1000 + i, 1001 + i) for i in range(40)]
+    root = {x: x for p in pairs for x in p}
+    for _ in range(60):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = neardup.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == root
+
+
+# 7 quotations
+
+
+def test_quotations(spark, folder):
+    got = {(r.conv, r.turn): r for r in quotes.conversations(quotes.quoting(spark.read.parquet(f"{folder[0]}/conversations.parquet"))).collect()}
+    talk = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{folder[0]}/conversations.parquet").collect()}
+    assert set(got) == set(talk)
+    for (c, t), text in talk.items():
+        r = got[c, t]
+        if c < 90:
+            assert r.own == text
+            assert (r.to_conv, r.to_turn) == ((c, t - 1) if t else (None, None)) and (r.root_conv, r.root_turn, r.depth) == (c, 0, t)
+    assert got[90, 0].own == "" and got[91, 0].own == "new" and got[91, 0].to_conv is None
+
+
+def test_partial_and_distant_quotes(spark):
+    rows = [(1, 0, "First line\nsecond LINE"), (1, 1, "On Monday Ann wrote:\n> second  line\n\nI agree"), (2, 0, ">> deep\n> first line\nNo"), (3, 5, "First line\nsecond line")]
+    got = {(r.conv, r.turn): r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert got[1, 1].own == "I agree" and (got[1, 1].to_conv, got[1, 1].to_turn) == (1, 0)
+    assert (got[2, 0].to_conv, got[2, 0].to_turn, got[2, 0].own) == (1, 0, "No") and got[3, 5].to_conv is None
+
+
+# 8 secrets
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return sorted(found + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24])
+
+
+def test_secrets(answer, folder):
+    texts = folder[1]
+    got = {r.doc_id: r for r in answer("op8_secrets")}
+    for i, t in enumerate(texts):
+        want = base_spans(t or "")
+        line = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in want)
+        assert [got[i].n_assign, got[i].n_access, got[i].n_hex] == [sum(k == x for _, k, _ in want) for x in range(3)]
+        assert got[i].base_sha256 == sha(line) and set(line.split(",")) - {""} <= set(got[i].spans.split(","))
+    parts = next(r.spans for r in got.values() if texts[r.doc_id] and texts[r.doc_id].startswith("user_id"))
+    assert [x.split(":")[0] for x in parts.split(",")] == ["account", "mixed", "endpoint"]
+    assert next(r.spans for r in got.values() if texts[r.doc_id] == "qWx7ErTy8UiOp9AsDf0GhJk alone") == ""
+
+
+def test_parts_must_be_near(spark):
+    gap = lambda n: "user_id: alice" + " x" * n + " qWx7ErTy8UiOp9AsDf0GhJk"
+    rows = [(n, gap(n)) for n in (10, 140, 160, 700)] + [(5, "https://api.example.com/v1 qWx7ErTy8UiOp9AsDf0GhJk")]
+    got = {r.doc_id: len(r.spans) for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {10: 2, 140: 2, 160: 0, 700: 0, 5: 0}
+
+
+def test_redaction(spark):
+    frame = spark.createDataFrame([("a token=abcdefgh z",), ("token=" + "ab" * 20,), (None,), ("clean",)], "text string")
+    found = secrets.find_secrets(frame.withColumn("copy", F.col("text")))
+    got = {r.copy: r.x for r in found.select("copy", secrets.redacted(F.col("copy"), F.col("spans")).alias("x")).collect()}
+    assert got == {"a token=abcdefgh z": "a [secret] z", "token=" + "ab" * 20: "[secret]", None: None, "clean": "clean"}
+
+
+# 9 quality
+
+
+def test_quality(answer, folder):
+    got = {r.doc_id: r for r in answer("op9_quality_rules")}
+    for i, t in enumerate(folder[1]):
+        words = WORD.findall(t or "")
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        times = Counter(zip(words, words[1:], words[2:], strict=False))
+        again = {i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if times[w] > 1 for k in range(3)}
+        failed = len(words) < 50 or 100 * len(again) > 50 * len(words)
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(again), failed)
+        assert tuple(got[i])[1:7] == want, i
+        assert got[i].kept == (not failed)  # too few labels for any cutoff
+
+
+def tail(n, k, p):
+    return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+@pytest.mark.parametrize(("n", "k"), [(10, 0), (600, 0), (600, 3), (1500, 8), (5, 5)])
+def test_binomial(spark, n, k):
+    got = spark.range(1).select(quality.log_binomial_cdf(F.lit(n).cast("long"), F.lit(k).cast("long"), 0.01).alias("x")).first().x
+    assert got == pytest.approx(math.log(tail(n, k, 0.01)), abs=1e-9)
+
+
+def test_cutoffs_are_the_strictest_valid(spark):
+    rng = np.random.default_rng(9)
+    ratio = {"en": rng.beta(1, 12, 3000), None: rng.beta(1, 12, 300)}
+    rows = [(s, float(x), 0.0, 0.0, 0.0, 0.0) for s, xs in ratio.items() for x in xs]
+    frame = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{r} double" for r in quality.RULES))
+    got = {(r.stratum, r.rule): r.cutoff for r in quality.cutoffs(frame).collect()}
+    limit = quality.ERROR / len(quality.RULES) / 2
+    want = None
+    for c in quality.RULES["symbols_per_word"]:
+        if tail(3000, int((ratio["en"] > c).sum()), quality.RISK) > limit:
+            break
+        want = c
+    assert got["en", "symbols_per_word"] == want and got["en", "repeated_lines"] == 0.1
+    assert not any(s is None for s, _ in got)  # 300 rows can't show a risk of 1 %
+
+
+# 10 tokens
+
+
+def test_tokens(answer, folder):
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(queries.RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in answer("op10_byte_bpe"):
+        t = folder[1][r.doc_id] or ""
+        ids = library.encode_ordinary(t)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(t)), r.doc_id
+
+
+@pytest.mark.parametrize("other", ["byte_bpe_multi_50k.tiktoken"])
+def test_other_ranks_round_trip(spark, folder, other):
+    path = public_tokenizers.path(other)
+    frame = spark.read.parquet(f"{folder[0]}/documents.parquet").select("text", F.lit(1).alias("ids"))
+    back = bpe.decode(bpe.encode(frame, path, public_tokenizers.PATTERN), path)
+    assert back.filter(~F.decode("decoded", "UTF-8").eqNullSafe(F.coalesce("text", F.lit("")))).count() == 0
+
+
+def test_all_queries_have_the_numbers_one_to_ten():
+    numbers = defaultdict(list)
+    for name in queries.queries():
+        numbers[int(re.match(r"op(\d+)_", name)[1])].append(name)
+    assert sorted(numbers) == list(range(1, 11)) and all(len(x) == 1 for x in numbers.values())
