@@ -124,10 +124,11 @@ def cutoffs(good: DataFrame) -> DataFrame:
     rows = good.select("stratum", F.explode(F.array(*level)).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count("*").alias("rows"))
     tests = rows.select("stratum", "rule").distinct()
     steps = F.create_map(*[x for rule, cuts in RULES.items() for x in (F.lit(rule), F.array(*map(F.lit, cuts)))])
-    tests = tests.select("stratum", "rule", F.posexplode(steps[F.col("rule")]).alias("i", "cutoff"))
+    tests = tests.select("stratum", "rule", F.size(steps[F.col("rule")]).alias("m"), F.posexplode(steps[F.col("rule")]).alias("i", "cutoff"))
     r, t = rows.alias("r"), tests.alias("t")
     met = t.join(r, F.col("t.stratum").eqNullSafe(F.col("r.stratum")) & (F.col("t.rule") == F.col("r.rule")))
-    k = F.sum(F.when(F.col("level") > F.col("i"), F.col("rows")).otherwise(0))
+    # the strictest come last, so a row that level cutoffs reject is rejected by the last level ones
+    k = F.sum(F.when(F.col("level") >= F.col("m") - F.col("i"), F.col("rows")).otherwise(0))
     sums = met.groupBy("t.stratum", "t.rule", "i", "cutoff").agg(F.sum("rows").alias("n"), k.alias("k"))
     strata = F.size(F.collect_set(F.coalesce(F.concat(F.lit("="), F.col("stratum").cast("string")), F.lit("null"))).over(W.partitionBy()))
     valid = log_binomial_cdf(F.col("n"), F.col("k"), RISK) <= F.log(F.lit(ERROR / len(RULES)) / strata)
