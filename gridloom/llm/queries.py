@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, quality, quotes, secrets, substrings, syncmers, toxicity
+from . import bpe, mincut, mixing, neardup, oracles, quality, quotes, secrets, substrings, syncmers, toxicity
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -119,9 +119,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op7_quotation_links": """
-            SELECT conv_id, turn, lag(turn) OVER w AS parent_turn, first_value(turn) OVER w AS root_turn,
-                   row_number() OVER w - 1 AS depth, sha256(text) AS text_sha256
-            FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""",
-    }
+    """SQL of the queries that it can say; tests/llm compares all with brute force."""
+    return {"op1_mix_sources": oracles.MIX, "op6_near_duplicates": oracles.NEAR, "op7_quotation_links": oracles.QUOTES, "op9_quality_rules": oracles.QUALITY}
