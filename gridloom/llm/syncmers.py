@@ -127,17 +127,17 @@ def successive(df: DataFrame, compare: Callable[[list[str], list[str]], list[tup
     """
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(id).cast("double"), F.lit(-np.inf)).alias("place"))
     whole = rows.agg(F.count("*").alias("n"), F.max("place").alias("top")).first()
-    parts = whole.n // PART + 1
+    # some ranges for each task, so what comes to the driver or is broadcast is bounded by a setting
+    parts = min(whole.n // PART + 1, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = rows.stat.approxQuantile("place", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
     splits = [-np.inf, *sorted({c for c in cuts if -np.inf < c < whole.top}), np.inf]
     placed = Bucketizer(splits=splits, inputCol="place", outputCol="part").transform(rows) if len(splits) > 2 else rows.withColumn("part", F.lit(0.0))
-    # one number for each range comes to the driver
+    # the first place of each range, and the range before it, to which that row goes as a guest
     first = sorted((r.part, r.low) for r in placed.groupBy("part").agg(F.min("place").alias("low")).collect())
-    hosts = {low: first[i - 1][0] for i, (_, low) in enumerate(first)}
-    host = F.create_map(*[F.lit(x) for pair in hosts.items() for x in pair])[F.col("place")] if hosts else F.lit(None).cast("double")
+    hosts = df.sparkSession.createDataFrame([(low, first[i - 1][0]) for i, (_, low) in enumerate(first)], "place double, host double")
     stays = F.struct(F.col("part").alias("part"), F.lit(0).alias("guest"))
     goes = F.struct(F.coalesce("host", "part").alias("part"), F.lit(1).alias("guest"))
-    sent = placed.withColumn("host", host).withColumn("to", F.explode(F.when(F.col("host").isNull(), F.array(stays)).otherwise(F.array(stays, goes))))
+    sent = placed.join(F.broadcast(hosts), "place", "left").withColumn("to", F.explode(F.when(F.col("host").isNull(), F.array(stays)).otherwise(F.array(stays, goes))))
     dealt = sent.select("id", "text", F.col("to.part").cast("int").alias("part"), F.col("to.guest").alias("guest")).repartition(max(1, len(splits) - 1), "part").sortWithinPartitions("part", "guest", "id", "text")
     out = T.StructType([T.StructField(id, df.schema[id].dataType), *T.StructType.fromDDL(schema).fields])
     arrow = to_arrow_schema(out)
