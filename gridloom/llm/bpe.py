@@ -185,7 +185,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
         v, split = vocabulary(SparkFiles.get(file) if shipped else file), regex.compile(pattern)
         for batch in batches:
             column = batch.column(text)
-            for a, b in slices(texts := column.to_pylist()):
+            for a, b in slices(texts := column.to_pylist(), 1 << 20):
                 ids = v.encode([t or "" for t in texts[a:b]], split)
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))

@@ -49,7 +49,7 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: Sequence[str | None], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about limit characters together, at least one row each."""
     start = held = 0
     for i, t in enumerate(texts):

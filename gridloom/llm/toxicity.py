@@ -126,7 +126,9 @@ def _common(grams: np.ndarray, counts: np.ndarray, starts: np.ndarray, docs: np.
 def fit(texts: list[str | None], labels: np.ndarray, seed: int = 0) -> Model:
     """A model of labelled texts; labels are 0 or 1 and both must occur."""
     words, docs, ids = _bags(texts)
-    grams, counts = word_grams(words)
+    parts = [word_grams(words[i : i + 20_000]) for i in range(0, max(1, len(words)), 20_000)]
+    grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts, words
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
     common = _common(grams, counts, starts, docs, ids)
     used = np.flatnonzero(common)  # the rows of all others stay 0
