@@ -115,15 +115,20 @@ def conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text
     """(conv, turn, own, to_conv, to_turn, root_conv, root_turn, depth) of every row."""
     messages = stored(parsed(df.select(F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).alias("text"))), "messages")
     links = stored(parents(messages), "parents")
-    # up: the message so many steps above; doubled until no message has one
-    up = stored(links.select("conv", "turn", F.col("to_conv").alias("uc"), F.col("to_turn").alias("ut"), F.lit(1).cast("long").alias("steps")), "steps")
+    # up: the message so many steps above; those that have not reached a root go twice as far
+    # in each round, the others stay as they are
+    up = going = stored(links.select("conv", "turn", F.col("to_conv").alias("uc"), F.col("to_turn").alias("ut"), F.lit(1).cast("long").alias("steps")), "steps")
+    ended = None
     while True:
         on = up.select(F.col("conv").alias("uc"), F.col("turn").alias("ut"), F.col("uc").alias("nc"), F.col("ut").alias("nt"), F.col("steps").alias("more"))
-        met = up.join(on, ["uc", "ut"], "left")
+        met = going.join(on, ["uc", "ut"], "left")
         step = met.select("conv", "turn", F.coalesce("nc", "uc").alias("uc"), F.coalesce("nt", "ut").alias("ut"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("nc").isNotNull().alias("moved"))
         step = stored(step, "steps")
-        up = step.drop("moved")
-        if step.filter("moved").isEmpty():
+        still = step.filter("not moved").drop("moved")
+        ended = still if ended is None else ended.union(still)
+        going = step.filter("moved").drop("moved")
+        up = ended.union(going)
+        if going.isEmpty():
             break
     placed = links.join(up, ["conv", "turn"])
     return messages.select("conv", "turn", "own").join(placed, ["conv", "turn"], "left").select(
