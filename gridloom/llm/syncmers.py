@@ -28,7 +28,7 @@ from .common import slices
 
 K, S, SKETCH = 16, 6, 64
 #: Rows in a range that is sorted on its own, about.
-PART = 4000
+PART = 2000
 #: Code points by which the shifts of matches may differ to count as one passage.
 DRIFT = 64
 
@@ -138,7 +138,7 @@ def successive(df: DataFrame, compare: Callable[[list[str], list[str]], list[tup
     stays = F.struct(F.col("part").alias("part"), F.lit(0).alias("guest"))
     goes = F.struct(F.coalesce("host", "part").alias("part"), F.lit(1).alias("guest"))
     sent = placed.join(F.broadcast(hosts), "place", "left").withColumn("to", F.explode(F.when(F.col("host").isNull(), F.array(stays)).otherwise(F.array(stays, goes))))
-    dealt = sent.select("id", "text", F.col("to.part").cast("int").alias("part"), F.col("to.guest").alias("guest")).repartition(max(1, len(splits) - 1), "part").sortWithinPartitions("part", "guest", "id", "text")
+    dealt = sent.select("id", "text", F.col("to.part").cast("int").alias("part"), F.col("to.guest").alias("guest")).repartitionById(max(1, len(splits) - 1), "part").sortWithinPartitions("part", "guest", "id", "text")
     out = T.StructType([T.StructField(id, df.schema[id].dataType), *T.StructType.fromDDL(schema).fields])
     arrow = to_arrow_schema(out)
 
