@@ -20,7 +20,7 @@ So no link among members of a band is lost, and no band's pairs are all made.
 
 Edge cases: null, empty and blank texts have an empty set and link with nothing,
 not even with each other; repeated rows are in one class; a null id counts as
-larger than any id.
+larger than any id. Ids need not be unique: a row is known by its id and its text's hash.
 """
 
 from __future__ import annotations
@@ -126,12 +126,17 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return mixed(key).view(np.int64)
 
 
-def sketched(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, n, node, regs, bands) of each row; node identifies the set, null if it is empty."""
+def digest(s: np.ndarray) -> int:
+    """The number that identifies a set."""
+    return int(mixed((mixed(s ^ _PLACE[13]) * _PLACE[14]).sum(dtype=_U, keepdims=True) + _U(len(s)))[0].view(np.int64))
+
+
+def sketched(df: DataFrame) -> DataFrame:
+    """(id, mark, n, node, regs, bands) of each row (id, mark, text); node identifies the set, null if it is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
+            texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b])
                 some = [s for s in sets if len(s)]
@@ -142,30 +147,31 @@ def sketched(df: DataFrame, id: str, text: str) -> DataFrame:
                         node.append(None), packed.append(None), bands.append(None)
                         continue
                     i = next(at)
-                    node.append(int(mixed((mixed(s ^ _PLACE[13]) * _PLACE[14]).sum(dtype=_U, keepdims=True) + _U(len(s)))[0].view(np.int64)))
+                    node.append(digest(s))
                     packed.append(regs[i].astype("<u2").tobytes())
                     bands.append(keys[i])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(id).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["id", "n", "node", "regs", "bands"]
+                    [batch.column("id").slice(a, b - a), batch.column("mark").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["id", "mark", "n", "node", "regs", "bands"],
                 )
 
-    schema = T.StructType([T.StructField("id", df.schema[id].dataType), *T.StructType.fromDDL("n long, node long, regs binary, bands array<long>").fields])
-    return df.select(id, text).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("id", df.schema["id"].dataType), *T.StructType.fromDDL("mark long, n long, node long, regs binary, bands array<long>").fields])
+    return df.select("id", "mark", "text").mapInArrow(run, schema)
 
 
-def full_sets(df: DataFrame, node: str, text: str) -> DataFrame:
-    """(node, n, grams): the shingle hashes of the text of each row."""
+def full_sets(df: DataFrame) -> DataFrame:
+    """(node, n, grams): the shingle hashes of the text of each row; the node is made from them again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text).to_pylist()
+            texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(node).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "grams"]
+                    [pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "grams"]
                 )
 
-    return df.select(node, text).mapInArrow(run, "node long, n long, grams array<long>")
+    return df.select("text").mapInArrow(run, "node long, n long, grams array<long>")
 
 
 def _estimate(a: Column, b: Column, na: Column, nb: Column) -> Column:
@@ -219,13 +225,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """(id, n_shingles, node, component): one row for each row of df.
+    """(id, n_shingles, node, component, mark, root): one row for each row of df.
 
     component is the least id among all rows reachable over links of at least
-    percent similarity, the row's own included.
+    percent similarity, the row's own included; root is the least node of those, null
+    for an empty set; mark is the hash of the text.
     """
-    docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    sketch = stored(sketched(docs, "id", "text"), "sketches")
+    docs = df.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
+    sketch = stored(sketched(docs), "sketches")
     classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.first("bands").alias("bands"))
     bands = stored(classes.select("node", F.explode("bands").alias("band")), "bands")
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
@@ -245,10 +252,12 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     spread = F.sqrt(goal * (1 - goal) / F.least(F.lit(REGISTERS), "na", "nb"))
     hopeful = pairs.join(left, "a").join(right, "b").filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (_estimate(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")) >= goal - ERRORS * spread))
 
-    owners = stored(sketch.join(ids, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "owners")
+    # the text of one row of each class, whose id may be null or that of other texts too
+    key = F.xxhash64("id", "mark")
+    owners = stored(sketch.join(ids, "node", "left_semi").groupBy("node").agg(F.min(key).alias("key"), F.first("n").alias("n")), "owners")
     with _early_filter(df.sparkSession):
-        words = docs.join(owners.filter("n > 0").drop("n"), "id").select("node", "text")
-        sets = stored(full_sets(words, "node", "text").dropDuplicates(["node"]), "sets")
+        words = docs.withColumn("key", key).join(owners.filter("n > 0").select("key"), "key").select("text")
+        sets = stored(full_sets(words).dropDuplicates(["node"]), "sets")
     links = stored(_confirmed(hopeful, sets, percent), "links")
 
     # bands whose members are in different components yet
@@ -263,8 +272,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     least = classes.join(root, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     lows = least.groupBy("root").agg(F.min("first").alias("component"))
-    named = least.join(lows, "root").select("node", "component")
-    return sketch.select("id", "n", "node").join(named, "node", "left").select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))
+    named = least.join(lows, "root").select("node", "component", "root")
+    return sketch.select("id", "mark", "n", "node").join(named, "node", "left").select(
+        F.col("id").alias(id), F.col("n").alias("n_shingles"), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"), "mark", "root"
+    )
 
 
 def _by_prefix(rest: DataFrame, percent: int) -> DataFrame:

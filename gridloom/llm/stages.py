@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, mixing, neardup, secrets, toxicity
-from .common import table
+from .common import stored, table
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -31,12 +31,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component; of equal rows one."""
-    found = neardup.near_duplicates(docs, "doc_id", "text")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_gone"), F.lit(True).alias("_drop")).distinct()
-    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        docs = docs.dropDuplicates()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left").filter("_drop is null")
+    """One document of each near-duplicate component, that of the least id; of equal rows without words one."""
+    found = stored(neardup.near_duplicates(docs, "doc_id", "text").select("doc_id", F.col("mark").alias("_mark"), "root"), "found")
+    first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_mark")).alias("of"))
+    blank = found.filter("root is null").select("doc_id", "_mark").distinct()
+    kept = _matched(docs, first.select("of.doc_id", "of._mark", F.lit(True).alias("one")).union(blank.withColumn("one", F.lit(False))), "inner")
+    if not found.groupBy("doc_id", "_mark").count().filter("count > 1").isEmpty():
+        kept = kept.filter("_one").dropDuplicates(["doc_id", "_mark"]).union(kept.filter("not _one").dropDuplicates())
     return kept.select(*docs.columns)
 
 

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from gridloom.llm import queries, secrets, stages
+from gridloom.llm import neardup, queries, secrets, stages
 from gridloom.llm.common import stored
 
 from ..oracle import compare, connect
@@ -46,3 +46,23 @@ def test_sql(spark):
     sf = "/root/testdata/sf0.001"
     for name, sql in queries.oracle_sql().items():
         assert compare(queries.queries()[name](spark, sf), connect(sf), sql) > 0
+
+
+def test_copies_with_null_and_repeated_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = lambda i: " ".join([*base[:-1], f"end{i}"])
+    other = lambda i: " ".join(f"o{i}x{k}" for k in range(40))
+    rows = [(1, other(1), "a"), (None, other(1), "a"), (None, other(2), "a"), (None, other(2), "b"), (None, near(0), "a"), (None, near(1), "a"), (5, other(3), "a"), (6, other(3), "a"), (6, other(4), "a"), (7, other(5), "a"), (7, near(2), "a"), (None, "", "a"), (None, "", "b"), (None, "", "b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = Counter((r.doc_id, r.text) for r in stages.without_copies(spark, frame, "").collect())
+    assert kept == {(1, other(1)): 1, (None, other(2)): 1, (5, other(3)): 1, (6, other(4)): 1, (7, other(5)): 1, (7, near(2)): 1, (None, ""): 2}
+
+
+def test_near_copies_whose_ids_are_null_or_repeated(spark):
+    """Links are found by the text of the row itself, whatever other texts have its id."""
+    base = [f"w{i}" for i in range(80)]
+    near = lambda i: " ".join([*base[:-1], f"end{i}"])
+    other = lambda i: " ".join(f"o{i}x{k}" for k in range(40)) + f" tail{i}"
+    rows = [(i, near(i)) for i in range(20)] + [(i, other(i % 5) + (f" z{i}" if i % 2 else "")) for i in range(20)] + [(None, near(50)), (None, near(51))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component) for r in found) == Counter([(i, 0) for i in range(20)] + [(i, i % 5) for i in range(20)] + [(None, 0)] * 2)
