@@ -6,8 +6,9 @@ cost of being called boilerplate, from where it lies, how much of it is link tex
 long it is and how it is punctuated. The costs are the capacities of the block's edges
 to the two terminals. Smoothness edges join neighbours in the page and siblings in the
 tree, heavier the more ancestors they share. The minimum cut, found by maximum flow, is
-the labelling of the least total cost. Blocks inside parts that are never content
-(navigation, scripts, forms, comments of readers and so on) are tied to their side.
+the labelling of the least total cost. Blocks inside elements that are never content
+(navigation, forms, hidden ones and so on) are tied to their side. A class, id or role
+that names a part outside the article only adds a cost, less for much text.
 
 Edge cases: null, empty and text-free pages give an empty text; open tags are closed
 where HTML says so, or at the end; unknown character references stay as they are.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,12 +41,12 @@ CLOSES_P = BLOCK - frozenset("button option optgroup html head body".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 #: Words in class, id or role that name parts outside the article.
 _AWAY = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|footer|header|masthead|sidebar|aside|widget|related|recommended|share|sharing|social|cookie|cookies|consent|gdpr|notice|notices|popup|modal|overlay|subscribe|newsletter|signup|login|comment|comments|respond|reply|disqus|pagination|pager|tags|toolbar|search|hidden|skip|copyright|legal|complementary|contentinfo|dialog|alert)(?:$|[\s_-]|\d)"
+    r"(?:^|(?<!\bhas)(?<!\bwith)(?<!\bno)(?<!\bwithout)[\s_-])(?:ad|ads|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|footer|header|masthead|sidebar|aside|widget|related|recommended|share|sharing|social|cookie|cookies|consent|gdpr|notice|notices|popup|modal|overlay|subscribe|newsletter|signup|login|comment|comments|respond|reply|disqus|pagination|pager|tags|toolbar|search|hidden|skip|copyright|legal|complementary|contentinfo|dialog|alert)(?:$|[\s_-]|\d)"
 )
 _HERE = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|text|body)(?:$|[\s_-])")
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_GONE = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>\"']+)))?")
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _SPACE = re.compile(r"\s+")
 _END = re.compile(r"[.!?…。！？:;][\"'”’)\]]*$")
 
@@ -54,8 +55,9 @@ _END = re.compile(r"[.!?…。！？:;][\"'”’)\]]*$")
 class Node:
     tag: str
     away: bool  # it or an ancestor is never content
-    doubt: bool  # it or an ancestor has a name of a part outside the article
+    doubt: int  # number of the nearest element with a name of a part outside the article, 0 if none
     inside: bool  # it or an ancestor is marked as the article
+    here: bool  # within the element of doubt, one is marked as the article
     path: tuple[int, ...]  # numbers of its ancestors and itself
 
 
@@ -66,9 +68,29 @@ class Piece:
     linked: int  # characters within links
 
 
+def attributes_of(text: str) -> dict[str, str]:
+    """Name -> value of a tag's attributes; the first of equal names counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), next((v for v in values if v), ""))
+    return out
+
+
+def gone(has: dict[str, str]) -> bool:
+    """Whether the attributes hide their element."""
+    return "hidden" in has or has.get("aria-hidden", "").strip().lower() == "true" or bool(_NONE.search(has.get("style", "")))
+
+
+def named(has: dict[str, str]) -> tuple[bool, bool]:
+    """Whether a name in the attributes is of a part outside the article, and one of the article itself."""
+    names = [n for a in ("class", "id", "role") for n in has.get(a, "").lower().split()]
+    outside = [bool(_AWAY.search(n)) for n in names]
+    return any(outside), any(not o and _HERE.search(n) for n, o in zip(names, outside, strict=True))
+
+
 def blocks(page: str) -> list[Piece]:
     """The page's text blocks in order."""
-    root = Node("", False, False, False, (0,))
+    root = Node("", False, 0, False, False, (0,))
     stack, made = [root], 1
     words: list[str] = []
     out: list[Piece] = []
@@ -141,24 +163,38 @@ def blocks(page: str) -> list[Piece]:
                     close(i)
                     break
         above, attributes = stack[-1], m[3]
-        named = " ".join(x.lower() for groups in _NAMED.findall(attributes) for x in groups if x) if "=" in attributes else ""
-        away = above.away or tag in OUTSIDE and not (tag == "header" and above.inside) or bool(attributes) and bool(_GONE.search(attributes))
-        doubt = above.doubt or bool(named) and tag not in ("html", "body", "article", "main") and bool(_AWAY.search(named))
-        inside = above.inside or tag in ("article", "main") or bool(named) and bool(_HERE.search(named))
-        stack.append(Node(tag, away, doubt, inside, (*above.path[-24:], made)))
+        has = attributes_of(attributes) if attributes else {}
+        away = above.away or tag in OUTSIDE and not (tag == "header" and above.inside) or gone(has)
+        doubt, here = above.doubt, above.here
+        out_of, part_of = named(has)
+        part_of = part_of or tag in ("article", "main") and not out_of
+        if out_of and not part_of and tag not in ("html", "body", "article", "main"):
+            doubt, here = made, False
+        elif tag in ("article", "main") and part_of:
+            doubt, here = 0, False
+        elif part_of and doubt:
+            here = True
+        inside = above.inside or part_of or tag in ("article", "main")
+        stack.append(Node(tag, away, doubt, inside, here, (*above.path[-24:], made)))
         made += 1
         links += tag == "a"
     flush()
     return out
 
 
-def costs(piece: Piece, marked: bool) -> tuple[float, float]:
-    """What calling the block boilerplate costs, and calling it content; marked: the page marks an article."""
-    if piece.node.away or piece.node.doubt:
+def costs(piece: Piece, marked: bool, held: int) -> tuple[float, float]:
+    """What calling the block boilerplate costs, and calling it content.
+
+    marked: the page marks an article; held: unlinked characters of the blocks that
+    share the block's element of doubt.
+    """
+    if piece.node.away:
         return 0.0, 1e6
     n, node = len(piece.text), piece.node
     score = 0.3  # log odds of content
-    score += 4.0 if node.inside else -1.2 if marked else 0.0
+    score += 4.0 if node.inside and not node.doubt else -1.2 if marked else 0.0
+    if node.doubt:
+        score -= 7.0 - min(held, 2000) / 400 - min(n, 300) / 300 - 1.5 * node.here
     score += 1.5 if node.tag in ("p", "pre", "blockquote") or re.fullmatch("h[1-6]", node.tag) else -0.5 if node.tag in ("li", "td", "div", "") else 0.0
     score += min(n, 200) / 100 - 0.6
     score += 0.8 if _END.search(piece.text) else -0.2
@@ -214,14 +250,17 @@ def content(pieces: list[Piece]) -> list[bool]:
     source, sink = n, n + 1
     capacity: list[dict[int, float]] = [{} for _ in range(n + 2)]
     last: dict[int, int] = {}
-    marked = any(p.node.inside for p in pieces)
+    marked = any(p.node.inside and not p.node.doubt for p in pieces)
+    held: Counter[int] = Counter()
+    for p in pieces:
+        held[p.node.doubt] += len(p.text) - p.linked
 
     def join(a: int, b: int, c: float) -> None:
         capacity[a][b] = capacity[a].get(b, 0.0) + c
         capacity[b][a] = capacity[b].get(a, 0.0) + c
 
     for i, p in enumerate(pieces):
-        lost, wrong = costs(p, marked)
+        lost, wrong = costs(p, marked, held[p.node.doubt])
         if lost:
             capacity[source][i] = lost
         if wrong:

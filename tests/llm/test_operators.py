@@ -178,6 +178,20 @@ def test_least_cut():
         assert math.isclose(cost(side), best)
 
 
+def test_names_and_hidden_parts():
+    body = [f"Paragraph {i} tells at some length what happened on that day, who was there, and how all of it came to a good end." for i in range(20)]
+    whole = "\n".join(body)
+    inner = "".join(f"<p>{b}</p>" for b in body)
+    for attribute in ('style="overflow:hidden"', 'class="overflow-hidden"', 'title="The hidden garden"', 'data-title="Hidden costs: display:none"', 'class="content has-sidebar"', 'class="page with-header"', 'class="no-comments"', 'class="page sidebar-right"'):
+        for tag in ("div", "body", "article"):
+            assert mincut.main_text(f"<html><{tag} {attribute}>{inner}</{tag}></html>") == whole, (tag, attribute)
+        assert mincut.main_text(f"<div {attribute}><article>{inner}</article></div>") == whole, attribute
+    for attribute in ("hidden", "HIDDEN=''", 'style="color:red; display : none"', "aria-hidden=true", 'class="ad"', 'id="comments"'):
+        assert mincut.main_text(f"<article>{inner}<div {attribute}>Buy this, it is cheap today.</div>{inner}</article>") == f"{whole}\n{whole}", attribute
+    reader = f'<div class="comment"><div class="content"><p>{body[0]}</p></div></div>'
+    assert mincut.main_text(f'<article>{inner}</article><div class="comments">{reader * 30}</div>') == whole
+
+
 # 6 near duplicates
 
 
