@@ -1,12 +1,13 @@
 """Quotation linking: from messages that quote each other to conversations without quotes.
 
 A message's lines are parsed by quote level (the number of > before them). What is left at
-level 0 is the message's own text. The shallowest quoted passages, and their
+level 0 is the message's own text. The quoted passages of all levels, and their
 lines, are normalised (lower case, single spaces) and hashed, as are the own texts and
 their lines. A quote is joined to the nearest earlier message of its conversation with
 an equal hash; if there is none, to the first message of all that has it, so that a text
-that thousands of messages share makes one row. The message that most quoted characters point
-to is the parent. Parents are always earlier in (conversation, turn), so there are no
+that thousands of messages share makes one row. The message that most quoted characters of the
+shallowest level that has a match point to is the parent: if the message answered is missing,
+the one that it quoted. Parents are always earlier in (conversation, turn), so there are no
 circles; roots and depths follow by doubling.
 
 Edge cases: null and empty texts have an empty own text and quote nothing; a message
@@ -72,7 +73,7 @@ def hashes(text: str) -> dict[int, int]:
 
 
 def parsed(df: DataFrame) -> DataFrame:
-    """(conv, turn, own, owned, quoted) of (conv, turn, text); owned and quoted are hash -> characters."""
+    """(conv, turn, own, owned, quoted) of (conv, turn, text); owned is hash -> characters, quoted has the least level of each hash too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,31 +84,31 @@ def parsed(df: DataFrame) -> DataFrame:
                     passages = levels(t or "")
                     own.append(own_text(passages))
                     owned.append(list(hashes(own[-1]).items()))
-                    least = min((level for level, _ in passages if level), default=0)
-                    found: dict[int, int] = {}
-                    for level, passage in passages:
-                        if level and level == least:
-                            found |= hashes(passage)
-                    quoted.append(list(found.items()))
+                    found: dict[int, dict] = {}
+                    for level, passage in sorted((x for x in passages if x[0]), key=lambda x: x[0]):
+                        for h, weight in hashes(passage).items():
+                            found.setdefault(h, {"hash": h, "weight": weight, "level": level})
+                    quoted.append(list(found.values()))
                 kind = pa.map_(pa.int64(), pa.int64())
-                columns = [batch.column("conv").slice(a, b - a), batch.column("turn").slice(a, b - a), pa.array(own), pa.array(owned, kind), pa.array(quoted, kind)]
+                quote = pa.list_(pa.struct([("hash", pa.int64()), ("weight", pa.int64()), ("level", pa.int32())]))
+                columns = [batch.column("conv").slice(a, b - a), batch.column("turn").slice(a, b - a), pa.array(own), pa.array(owned, kind), pa.array(quoted, quote)]
                 yield pa.RecordBatch.from_arrays(columns, ["conv", "turn", "own", "owned", "quoted"])
 
-    return df.mapInArrow(run, "conv long, turn long, own string, owned map<bigint,bigint>, quoted map<bigint,bigint>")
+    return df.mapInArrow(run, "conv long, turn long, own string, owned map<bigint,bigint>, quoted array<struct<hash:bigint,weight:bigint,level:int>>")
 
 
 def parents(messages: DataFrame) -> DataFrame:
     """(conv, turn, to_conv, to_turn) of parsed messages that quote one."""
-    quotes = messages.select("conv", "turn", F.explode("quoted").alias("hash", "weight"), F.lit(False).alias("original"))
-    owns = messages.select("conv", "turn", F.explode("owned").alias("hash", "weight"), F.lit(True).alias("original"))
+    quotes = messages.select("conv", "turn", F.inline("quoted"), F.lit(False).alias("original"))
+    owns = messages.select("conv", "turn", F.explode("owned").alias("hash", "weight"), F.lit(0).alias("level"), F.lit(True).alias("original"))
     before = W.partitionBy("conv", "hash").orderBy("turn", "original").rangeBetween(W.unboundedPreceding, W.currentRow)
     near = quotes.union(owns).withColumn("to_turn", F.max(F.when(F.col("original"), F.col("turn"))).over(before)).filter("not original")
-    here = near.filter("to_turn < turn").select("conv", "turn", "weight", F.col("conv").alias("to_conv"), "to_turn")
-    lost = near.filter("to_turn is null or to_turn >= turn").select("conv", "turn", "hash", "weight")
+    here = near.filter("to_turn < turn").select("conv", "turn", "level", "weight", F.col("conv").alias("to_conv"), "to_turn")
+    lost = near.filter("to_turn is null or to_turn >= turn").select("conv", "turn", "hash", "level", "weight")
     first = owns.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("to"))
-    there = lost.join(first, "hash").filter(F.col("to") < F.struct("conv", "turn")).select("conv", "turn", "weight", "to.conv", "to.turn").toDF("conv", "turn", "weight", "to_conv", "to_turn")
-    sums = here.union(there).groupBy("conv", "turn", "to_conv", "to_turn").agg(F.sum("weight").alias("weight"))
-    best = sums.groupBy("conv", "turn").agg(F.max(F.struct("weight", "to_conv", "to_turn")).alias("best"))
+    there = lost.join(first, "hash").filter(F.col("to") < F.struct("conv", "turn")).select("conv", "turn", "level", "weight", "to.conv", "to.turn").toDF("conv", "turn", "level", "weight", "to_conv", "to_turn")
+    sums = here.union(there).groupBy("conv", "turn", "level", "to_conv", "to_turn").agg(F.sum("weight").alias("weight"))
+    best = sums.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), "weight", "to_conv", "to_turn")).alias("best"))
     return best.select("conv", "turn", "best.to_conv", "best.to_turn")
 
 

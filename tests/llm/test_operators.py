@@ -276,6 +276,14 @@ def test_partial_and_distant_quotes(spark):
     assert (got[2, 0].to_conv, got[2, 0].to_turn, got[2, 0].own) == (1, 0, "No") and got[3, 5].to_conv is None
 
 
+def test_deeper_quotes_where_the_shallow_one_is_missing(spark):
+    rows = [(1, 0, "The root"), (1, 1, "An answer"), (1, 3, ">> An answer\n> a lost message\nSo it is"), (1, 4, ">>> The root, and more of it\n>> An answer\n> So it is\nYes")]
+    rows += [(2, 0, ">>> the root\n>> lost\n> lost too\nOld"), (2, 1, ">> The root, at length\n> Old\nNew"), (2, 2, ">> gone\n> gone too\nAlone")]
+    got = {(r.conv, r.turn): r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert (got[1, 3].to_conv, got[1, 3].to_turn, got[1, 3].own) == (1, 1, "So it is") and (got[1, 4].to_conv, got[1, 4].to_turn) == (1, 3)
+    assert (got[2, 0].to_conv, got[2, 0].to_turn) == (1, 0) and (got[2, 1].to_conv, got[2, 1].to_turn) == (2, 0) and got[2, 2].to_conv is None
+
+
 # 8 secrets
 
 
