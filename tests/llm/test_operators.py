@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -127,10 +128,10 @@ def test_syncmers_are_closed_and_context_free():
 # 4 repeated substrings
 
 
-def test_repeated_substrings(answer, folder):
-    got = {r.doc_id: r for r in answer("op4_repeated_substrings")}
-    seen, n = set(), substrings.LENGTH
-    for i, t in enumerate(folder[1]):
+def without_repeats(texts):
+    """n_bytes, n_removed, n_spans and what is left of each text, by looking at every string."""
+    seen, n, out = set(), substrings.LENGTH, []
+    for t in texts:
         raw = (t or "").encode()
         gone = bytearray(len(raw))
         for p in range(len(raw) - n + 1):
@@ -138,7 +139,37 @@ def test_repeated_substrings(answer, folder):
                 gone[p : p + n] = b"\1" * n
             seen.add(raw[p : p + n])
         left = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
-        assert tuple(got[i])[1:] == (len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(left)), i
+        out.append((len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), left))
+    return out
+
+
+def test_repeated_substrings(answer, folder):
+    got = {r.doc_id: tuple(r)[1:] for r in answer("op4_repeated_substrings")}
+    assert got == {i: (*x, sha(left)) for i, (*x, left) in enumerate(without_repeats(folder[1]))}
+
+
+@pytest.mark.parametrize("hot", [substrings.HOT, 40, 1])
+def test_a_line_in_most_documents(spark, hot):
+    """Its edges give one trigger many phrases; the result is the same however early such triggers are split."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    text = lambda lo, hi: " ".join(rng.choice(words) for _ in range(rng.randrange(lo, hi)))
+    line, texts = text(59, 60), [None, ""]
+    texts += [f"{text(5, 60)} {line} {text(5, 60)}" if i % 5 < 3 else text(5, 300) for i in range(250)] + ["ab" * n for n in range(40, 60)]
+    texts += rng.sample(texts, 30)
+    frame = spark.createDataFrame([(f"{i:04}", t) for i, t in enumerate(texts)], "name string, body string").repartition(5)
+    got = {r.name: (*tuple(r)[1:4], bytes(r.kept)) for r in substrings.deduplicated(frame, "name", "body", hot).collect()}
+    assert got == {f"{i:04}": x for i, x in enumerate(without_repeats(texts))}
+
+
+def test_suffixes_are_sorted():
+    rng = np.random.default_rng(3)
+    pieces = [rng.integers(0, 2, int(n), dtype=np.uint8).tobytes() for n in rng.integers(100, 180, 40)]
+    pieces += [pieces[3], pieces[5] + b"\0" * 3, b"\0" * 150]
+    order, same = substrings.suffix_array(pieces)
+    every = [x[i : i + 100] for x in pieces for i in range(len(x) - 99)]
+    assert order.tolist() == sorted(range(len(every)), key=lambda i: (every[i], i))
+    assert same.tolist() == [bool(k) and every[order[k]] == every[order[k - 1]] for k in range(len(every))]
 
 
 def test_cut_into_chunks_finds_the_same(monkeypatch):
