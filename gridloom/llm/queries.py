@@ -94,7 +94,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids again, and give digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
+    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, apart=bpe.SPACES).drop("text")
     return bpe.decode(ids, RANKS).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -65,5 +65,5 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids) of every document."""
     texts = docs.select("doc_id", "lang", "source", "text")
-    ids = bpe.encode(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
+    ids = bpe.encode(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, apart=bpe.SPACES).drop("text")
     return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")

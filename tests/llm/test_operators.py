@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -405,6 +406,20 @@ def test_tokens(answer, folder):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(t)), r.doc_id
 
 
+def test_odd_texts_with_and_without_known_cuts():
+    """Both ways of encoding give the library's ids for white space of all kinds, signs and marks."""
+    rng = random.Random(1)
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(queries.RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["".join(rng.choice(" \t\n\r\x0b\x1c\x85\xa0\u2003\u3000\u180e'sdtmlrev09ab.,!é日😀") for _ in range(rng.randrange(30))) for _ in range(4000)]
+    texts += [" ".join(rng.choice(["unbelievable", "x" * 300, "antidisestablishment", ""]) for _ in range(20))]
+    known, split = bpe.Vocabulary(queries.RANKS), regex.compile(public_tokenizers.PATTERN)
+    for apart in (None, re.compile(bpe.SPACES)):
+        for _ in range(2):  # new, then remembered
+            ids, ends = known.encode(texts, split, apart)
+            assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [library.encode_ordinary(t) for t in texts]
+
+
 @pytest.mark.parametrize("other", ["byte_bpe_multi_50k.tiktoken"])
 def test_other_ranks_round_trip(spark, folder, other):
     path = public_tokenizers.path(other)
