@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .mixing import BLOCK, BLOCKS
 from .quality import ERROR, LEAST_WORDS, MOST_REPEATED, RISK, RULES
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -11,20 +12,33 @@ MIX = f"""
 WITH docs AS (
     SELECT doc_id, source, len({_WORDS}) AS size, substr(md5('0:' || doc_id), 1, 12) AS h FROM documents),
 sums AS (
-    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM docs GROUP BY source),
-ranked AS (SELECT *, CAST([5, 2, 1][(k - 1) % 3 + 1] AS DOUBLE) AS weight FROM sums),
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM docs GROUP BY source),
+ranked AS (SELECT *, CAST([5, 2, 1][k % 3 + 1] AS DOUBLE) AS weight FROM sums),
 levels AS (
     SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER w, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
     FROM ranked WINDOW w AS (ORDER BY source_size / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 free AS (SELECT *, level * weight <= 3 * source_size AS free FROM levels),
 targets AS (
     SELECT *, CASE WHEN free THEN (SELECT arg_min(level, (source_size / weight, k)) FROM free WHERE free) * weight ELSE 3 * source_size END AS target FROM free),
+-- as many slots, a power of two, as make one no longer than 4096 words and than 1 / 1024 of the mean source
+size_of AS (SELECT sum(source_size) AS words, greatest(1, least({BLOCK}, sum(source_size) // (greatest(1, count(*)) * {BLOCKS}))) AS block FROM sums),
+counts AS (SELECT CAST(ceil(log2(words / block)) AS INT) AS m, words / 2 ** ceil(log2(words / block)) AS share FROM size_of),
+edges AS (SELECT k, source_size, coalesce(lag(hi) OVER (ORDER BY k), 0) AS lo, hi FROM (SELECT k, source_size, sum(target) OVER (ORDER BY k) / sum(target) OVER () AS hi FROM targets WHERE target > 0)),
+points AS (
+    SELECT i AS slot, (SELECT sum(((i >> b) & 1) / 2.0 ** (b + 1)) FROM range(48) AS r(b)) AS point
+    FROM (SELECT unnest(range(CAST(2 ** m AS BIGINT))) AS i FROM counts)),
+won AS (SELECT k, slot, row_number() OVER (PARTITION BY k ORDER BY slot) - 1 AS rank FROM points ASOF JOIN edges ON point >= lo),
+gives AS (SELECT k, least(floor(count(*) * any_value(share)), 3 * any_value(source_size)) AS most FROM won JOIN edges USING (k), counts GROUP BY k),
 line AS (
-    SELECT d.doc_id, size, source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, CAST((
-        SELECT sum(greatest(0, least(p * source_size + place + size, floor(target)) - (p * source_size + place))) FROM range(3) AS r(p)) AS BIGINT) AS taken
-FROM line"""
+    SELECT d.doc_id, k, size, source_size, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+passes AS (SELECT doc_id, k, p * source_size + place AS lo, least(p * source_size + place + size, most) AS hi FROM line JOIN gives USING (k), range(3) AS r(p)),
+pieces AS (SELECT doc_id, k, lo, hi, unnest(range(CAST(greatest(floor(lo / share) - 1, 0) AS BIGINT), CAST(floor(hi / share) AS BIGINT) + 2)) AS rank FROM passes, counts WHERE hi > lo),
+taken AS (
+    SELECT doc_id, slot, least(hi, floor((rank + 1) * share)) - greatest(lo, floor(rank * share)) AS words
+    FROM pieces JOIN won USING (k, rank), counts WHERE least(hi, floor((rank + 1) * share)) > greatest(lo, floor(rank * share)))
+SELECT d.doc_id, size, t.source_size, target, CAST(coalesce(sum(words), 0) AS BIGINT) AS taken, min(slot) AS first_slot, count(DISTINCT slot) AS n_slots
+FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN taken USING (doc_id) GROUP BY ALL"""
 
 NEAR = f"""
 WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),

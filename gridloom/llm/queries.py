@@ -16,10 +16,11 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes from every document."""
+    """Words that the mix takes from every document, the first slot that takes any, and the number of those slots."""
     docs, taken = mixing.mixed(table(spark, sf_dir, "documents"))
-    sums = taken.groupBy("row").agg(F.sum("words").alias("taken"))
-    return docs.join(sums, "row", "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    sums = taken.groupBy("row", "slot").agg(F.sum("words").alias("words")).groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots"))
+    zero = F.lit(0).cast("long")
+    return docs.join(sums, "row", "left").select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", zero).alias("taken"), "first_slot", F.coalesce("n_slots", zero).alias("n_slots"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,13 +53,15 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: once for each pass that takes at least half of their words."""
+    """Documents in the order of the mix, each as often as its slots take it: once for each pass of
+    which they take at least half of its words, at the first of these slots."""
     known, taken = mixing.mixed(_marked(docs), also=["_mark"])
-    times = taken.groupBy("row", "pass").agg(F.sum("words").alias("words")).join(known.select("row", "size"), "row").filter(F.col("words") * 2 >= F.col("size"))
-    copies = times.groupBy("row").agg(F.count("*").cast("int").alias("copies"))
-    found = known.join(copies, "row").groupBy(F.col("id").alias("doc_id"), "_mark").agg(F.max("copies").alias("copies"))
-    met = _matched(docs, found, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return met.select(*docs.columns)
+    times = taken.groupBy("row", "pass").agg(F.sum("words").alias("words"), F.min("slot").alias("slot")).join(known.select("row", "size"), "row").filter(F.col("words") * 2 >= F.col("size"))
+    copies = times.groupBy("row").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    found = known.join(copies, "row").groupBy(F.col("id").alias("doc_id"), "_mark").agg(F.max("slots").alias("slots"))
+    met = _matched(docs, found, "inner").withColumn("_slot", F.explode("_slots"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return met.repartitionByRange(parts, "_slot").sortWithinPartitions("_slot").select(*docs.columns)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,21 +44,65 @@ def fair(sizes):
         full |= {s: 3.0 * sizes[s] for s in over}
 
 
+def mix(rows):
+    """(target of each source, {doc: (taken, first slot, slots)}) of (doc, source, size), word by word of the schedule."""
+    sums = Counter()
+    for _, source, n in rows:
+        sums[source] += n
+    target, words = fair(sums), sum(sums.values())
+    order = [s for s in sorted(sums, key=lambda s: (s is None, s or "")) if target[s] > 0]
+    block = max(1, min(mixing.BLOCK, words // (len(sums) * mixing.BLOCKS)))
+    n = 2 ** math.ceil(math.log2(words / block))
+    upto = np.cumsum([target[s] for s in order]) / sum(target[s] for s in order)
+    won = defaultdict(list)
+    for slot in range(n):
+        point = sum((slot >> b & 1) / 2 ** (b + 1) for b in range(48))
+        won[order[min(int(np.searchsorted(upto, point, "right")), len(order) - 1)]].append(slot)
+    found = defaultdict(lambda: [0, set()])
+    for source in order:
+        line = sorted((hashlib.md5(f"0:{doc}".encode()).hexdigest()[:12], doc, n) for doc, s, n in rows if s == source)
+        words_of = [doc for _, doc, size in line for _ in range(size)] * mixing.REPEATS
+        for rank, slot in enumerate(won[source]):
+            for doc in words_of[math.floor(rank * words / n) : math.floor((rank + 1) * words / n)]:
+                found[doc][0] += 1
+                found[doc][1].add(slot)
+    return target, {doc: (k, min(slots), len(slots)) for doc, (k, slots) in found.items()}
+
+
 def test_mix(answer, folder):
     _, texts, rows = folder
     size = {i: len(WORD.findall(t or "")) for i, t in enumerate(texts)}
     sums = Counter()
     for i, n in size.items():
         sums[rows[i][3]] += n
-    target, taken = fair(sums), Counter()
+    target, want = mix([(i, rows[i][3], n) for i, n in size.items()])
+    taken = Counter()
     got = answer("op1_mix_sources")
     assert sorted(r.doc_id for r in got) == list(range(len(texts)))
     for r in got:
         source = rows[r.doc_id][3]
         assert (r.size, r.source_size) == (size[r.doc_id], sums[source]) and math.isclose(r.target, target[source])
-        assert 0 <= r.taken <= 3 * r.size
+        assert (r.taken, r.first_slot, r.n_slots) == want.get(r.doc_id, (0, None, 0)) and r.taken <= 3 * r.size
         taken[source] += r.taken
-    assert all(abs(taken[s] - target[s]) <= 1 for s in sums)
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] + 2 for s in sums)
+
+
+def test_the_points_decide_the_mix(spark, folder, answer, monkeypatch):
+    monkeypatch.setattr(mixing, "mirrored", lambda place, bits: place)  # 0, 1, 2 ... instead of van der Corput's
+    other = {r.doc_id: r for r in queries.op1_mix_sources(spark, folder[0]).collect()}
+    first = [(r.first_slot, other[r.doc_id].first_slot) for r in answer("op1_mix_sources") if r.taken]
+    assert sum(a != b for a, b in first) > len(first) / 2
+
+
+def test_null_and_repeated_ids_in_a_mix(spark):
+    rows = [(None, f"{w} text of some words", "a") for w in "abcdefgh"] + [(1, "one two", "b"), (1, "one two", "b"), (1, "three", None), (2, None, "c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    results = []
+    for parts in (1, 4):
+        docs, taken = mixing.mixed(frame.repartition(parts, "text"))
+        sums = taken.groupBy("row").agg(F.sum("words").alias("taken"))
+        results.append(sorted((str(r.id), r.size, r.taken or 0) for r in docs.join(sums, "row", "left").collect()))
+    assert results[0] == results[1] and len(results[0]) == len(rows)
 
 
 @pytest.mark.parametrize("sizes", [{"a": 100}, {"a": 1, "b": 1000}, {"a": 0, "b": 5}, {None: 10, "z": 10, "é": 3}, {"a": 0}])
@@ -69,14 +113,15 @@ def test_targets(spark, sizes):
 
 
 def test_schedule_is_even(spark):
-    aims = spark.createDataFrame([(1, 5000.0), (2, 2000.0), (3, 1000.0)], "k int, target double")
-    slots = mixing.schedule(spark, aims, 801, 10).collect()
-    assert Counter(r.k for r in slots if r.slot < 801).total() == 801
+    aims = spark.createDataFrame([(1, 5000.0), (2, 2000.0), (3, 1000.0), (4, 0.0)], "k long, target double")
+    slots = mixing.schedule(aims, 10).collect()
+    assert sorted(r.slot for r in slots) == list(range(1024))
     for lo in (0, 200, 400):  # every stretch of the mix has about the target shares
         part = Counter(r.k for r in slots if lo <= r.slot < lo + 200)
         assert abs(part[1] - 125) <= 6 and abs(part[3] - 25) <= 5
-    for k, n in ((1, 500), (2, 200), (3, 100)):
-        assert set(range(n)) <= {r.rank for r in slots if r.k == k}
+    for k, n in ((1, 640), (2, 256), (3, 128)):
+        own = sorted((r.slot, r.rank) for r in slots if r.k == k)
+        assert [rank for _, rank in own] == list(range(n))
 
 
 # 2 toxicity
