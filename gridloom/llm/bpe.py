@@ -28,16 +28,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import column_slices
 
 _NONE = np.int64(2**62)
 _LOW = np.int64(2**32 - 1)
 #: Stretches, and matches, remembered from earlier rows in one Python worker.
-CACHE = 400_000
+CACHE = 100_000
 #: Where a match of a pattern always begins if its matches hold no space but in front or among white space.
 SPACES = r" (?=\S)"
-#: Characters of texts encoded at a time.
-PART = 1 << 21
+#: Bytes of texts encoded at a time.
+PART = 1 << 20
 
 
 def _rank_table(path: str) -> dict[bytes, int]:
@@ -248,8 +248,8 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
         v, split, cuts = vocabulary(SparkFiles.get(file) if shipped else file), regex.compile(pattern), re.compile(apart) if apart else None
         for batch in batches:
             column = batch.column(text)
-            for a, b in slices(texts := column.to_pylist(), PART):
-                ids, ends = v.encode([t or "" for t in texts[a:b]], split, cuts)
+            for a, b in column_slices(column, PART):
+                ids, ends = v.encode([t or "" for t in column.slice(a, b - a).to_pylist()], split, cuts)
                 yield _with(batch.slice(a, b - a), out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
 
     fields = [f for f in df.schema.fields if f.name != out]

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +62,13 @@ def slices(texts: Sequence[str | None], limit: int = 1 << 18) -> Iterator[tuple[
         held += len(t or "") + 64
     if start < len(texts):
         yield start, len(texts)
+
+
+def column_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about limit bytes of strings together, at least one row each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, "right")))
+        yield start, stop
+        start = stop
