@@ -43,12 +43,12 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark."""
-    found = secrets.find_secrets(_marked(docs.select("doc_id", "text")), keep=["doc_id", "_mark"])
-    found = found.filter(F.size("spans") > 0).select("doc_id", "_mark", "spans").dropDuplicates(["doc_id", "_mark"])
-    clean = secrets.redacted(F.col("text"), F.col("_spans"))
-    met = _matched(docs, found, "left").withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean))
+    found = secrets.find_secrets(_marked(docs.select("doc_id", "text")), keep=["doc_id", "_mark"], runs=True)
+    found = found.filter(F.size("runs") > 0).select("doc_id", "_mark", "runs").dropDuplicates(["doc_id", "_mark"])
+    clean = secrets.redacted(F.col("text"), F.col("_runs"))
+    met = _matched(docs, found, "left").withColumn("text", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        met = met.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        met = met.withColumn("n_chars", F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return met.select(*docs.columns)
 
 
