@@ -121,11 +121,13 @@ def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     bits = max(0, math.ceil(math.log2(max(1, whole.words) / block)))
     share = max(1, whole.words) / 2**bits  # words in a slot
     slots = schedule(aims.select("k", "target"), bits)
-    won = aims.join(slots.groupBy("k").agg(F.count("*").alias("won")), "k").select("k", F.least(F.floor(F.col("won") * share), REPEATS * F.col("source_size")).alias("gives"))
-    known = rows.alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.k", "a.source_size", "a.target")
+    won = slots.groupBy("k").agg(F.count("*").alias("won"))
+    gives = F.least(F.floor(F.coalesce("won", F.lit(0)) * share), REPEATS * F.col("source_size"))
+    aims = stored(aims.join(won, "k", "left").withColumn("gives", gives), "shares")  # one row for each source
+    known = rows.alias("r").join(aims.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source"))).select("r.*", "a.k", "a.source_size", "a.target", "a.gives")
 
     chunks = whole.rows // max(CHUNK, math.isqrt(whole.rows)) + 1
-    line = known.filter("size > 0").join(won, "k").select("row", "k", "size", "source_size", "gives", "h", "tie", F.floor(F.col("h") * chunks / 2**48).alias("chunk"))
+    line = known.filter("size > 0").select("row", "k", "size", "source_size", "gives", "h", "tie", F.floor(F.col("h") * chunks / 2**48).alias("chunk"))
     line = _running(line, ["k"], ["chunk", "h", "tie", "row"], "size", "at")
     lo = F.col("pass") * F.col("source_size") + F.col("at")
     passes = line.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1)))).withColumn("lo", lo).withColumn("hi", F.least(F.col("lo") + F.col("size"), "gives")).filter("hi > lo")
@@ -134,4 +136,4 @@ def mixed(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     words = F.least("hi", F.floor((F.col("rank") + 1) * share)) - F.greatest("lo", F.floor(F.col("rank") * share))
     pieces = passes.select("row", "k", "pass", "lo", "hi", F.explode(near).alias("rank")).select("row", "k", "pass", "rank", words.cast("long").alias("words")).filter("words > 0")
     taken = pieces.join(slots, ["k", "rank"]).select("row", "pass", "slot", "words")
-    return known.drop("k", "h", "tie"), taken
+    return known.drop("k", "h", "tie", "gives"), taken
