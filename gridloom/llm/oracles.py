@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .mixing import BLOCK, BLOCKS
-from .quality import ERROR, LEAST_WORDS, MOST_REPEATED, RISK, RULES
+from .quality import ERROR, LEAST_WORDS, MOST_REPEATED, RISK, RULES, STEPS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -53,7 +53,8 @@ least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, y) AS component_id, doc_id = least(doc_id, y) AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON x = doc_id"""
 
-_CUTS = " UNION ALL ".join(f"SELECT '{rule}' AS rule, unnest({list(cuts)}) AS cutoff" for rule, cuts in RULES.items())
+# the steps of the cutoffs that reject a text, in turn through the rules
+_STEPS = ", ".join(f"CASE WHEN {rule} > {cut} THEN {i * len(RULES) + r} END" for r, (rule, cuts) in enumerate(RULES.items()) for i, cut in enumerate(cuts))
 
 QUALITY = f"""
 WITH words AS (SELECT doc_id, lang, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
@@ -71,20 +72,17 @@ ratios AS (
            coalesce(n_capitals / nullif(word_chars, 0), 0) AS capitals_per_char, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS repeated_lines,
            coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeated_words
     FROM counts),
-long AS (UNPIVOT (SELECT doc_id, lang, CAST(symbols_per_word AS DOUBLE) AS symbols_per_word, CAST(marks_per_word AS DOUBLE) AS marks_per_word, CAST(capitals_per_char AS DOUBLE) AS capitals_per_char,
-    CAST(repeated_lines AS DOUBLE) AS repeated_lines, CAST(repeated_words AS DOUBLE) AS repeated_words FROM ratios) ON {", ".join(RULES)} INTO NAME rule VALUE ratio),
-cuts AS ({_CUTS}),
-good AS (SELECT * FROM long WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-tests AS (SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE ratio > cutoff) AS k FROM good JOIN cuts USING (rule) GROUP BY ALL),
+stepped AS (SELECT *, least({_STEPS}) AS step FROM ratios),
+good AS (SELECT lang, CASE WHEN NOT base_failed THEN step END AS step FROM stepped WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 strata AS (SELECT count(DISTINCT coalesce(lang, '')) AS s FROM good),
+tests AS (SELECT lang, t, count(*) AS n, count(*) FILTER (WHERE step <= t) AS k FROM good, range({STEPS}) AS r(t) GROUP BY lang, t),
 valid AS (
-    SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK}))) FROM range(k + 1) AS r(i)) <= {ERROR / len(RULES)} / s AS ok
+    SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK}))) FROM range(k + 1) AS r(i)) <= {ERROR} / s AS ok
     FROM tests, strata),
-passed AS (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS every FROM valid),
-chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM passed WHERE every GROUP BY ALL),
-rejected AS (SELECT DISTINCT l.doc_id FROM long l JOIN chosen c ON l.lang IS NOT DISTINCT FROM c.lang AND l.rule = c.rule WHERE l.ratio > c.cutoff)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
-FROM ratios"""
+passed AS (SELECT lang, t, bool_and(ok) OVER (PARTITION BY lang ORDER BY t) AS every FROM valid),
+chosen AS (SELECT lang, max(t) AS t FROM passed WHERE every GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(step <= t, false) AS kept
+FROM stepped x LEFT JOIN chosen c ON x.lang IS NOT DISTINCT FROM c.lang"""
 
 QUOTES = """
 SELECT conv_id, turn, lag(turn) OVER w AS parent_turn, first_value(turn) OVER w AS root_turn, row_number() OVER w - 1 AS depth, sha256(text) AS text_sha256

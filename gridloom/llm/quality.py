@@ -2,17 +2,21 @@
 
 Built-in functions only. Every text gets counts (words, symbols, repeated lines and
 word windows ...). Two fixed limits make the base verdict. Beside it, each rule of
-RULES rejects texts with a ratio above a cutoff, and the cutoffs are learned: on the
-labelled rows, separately for each stratum, a cutoff is valid if the exact binomial
-upper bound of its false rejections (rows labelled good that it rejects) lies below
-RISK. The cutoffs of a rule are tested from the loosest to the strictest and the last
-before the first failure is taken, which needs no correction; over rules and strata
-the error probability ERROR is shared (Bonferroni). A rule without a valid cutoff
-rejects nothing in that stratum, as in small tables.
+RULES rejects texts with a ratio above a cutoff, and how strict the rules are is learned.
+The cutoffs of all rules, from the loosest on and in turn (the first of each rule, the
+second of each ...), are steps of one path; a setting has all cutoffs up to some step, so
+settings are nested. On the labelled rows, separately for each stratum, a setting is valid if
+the exact binomial upper bound of its false rejections lies below RISK: of the rows
+labelled good, the share that the base verdict keeps and any of the setting's rules
+rejects. The settings are tested in the order of the path and the last before the first
+failure is taken, which needs no correction; over strata the error probability ERROR is
+shared (Bonferroni). So with probability 1 - ERROR no stratum loses more than RISK of its good
+rows to all rules together, beside what the base verdict takes, which nothing here chooses. A
+stratum without a valid setting, as in small tables, has the base verdict only.
 
 Edge cases: null and blank texts have no words and fail the base verdict; the null
 stratum is a stratum; unlabelled tables have the base verdict only; a row that is
-labelled more than once counts once, as good if any label says so.
+labelled more than once counts once, as good if any label says so; rows with one id share its label.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from .common import WORD, n_words, stored
 
 #: Least words, and the most per cent of words in repeated windows, of the base verdict.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
-#: False rejections allowed to a rule in a stratum, and the chance that any rule has more.
+#: False rejections allowed to all rules in a stratum, and the chance that any stratum has more.
 RISK, ERROR = 0.01, 0.05
 #: Ratios that rules look at, each with its cutoffs from the loosest on.
 RULES = {
@@ -40,9 +44,9 @@ RULES = {
 def counted(df: DataFrame, text: str = "text") -> DataFrame:
     """df without the text, with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_marks, n_capitals.
 
-    n_repeat_words: each word window is one number, a hash above the bits that its place
-    needs. Sorted, equal windows are neighbours, and their places, sorted, cover WINDOW
-    words each. Most texts repeat no window, which a hash set tells without sorting.
+    n_repeat_words: each word window is a 64-bit hash with its place. Sorted, equal windows are
+    neighbours, and their places, sorted, cover WINDOW words each. Most texts repeat no
+    window, which a hash set tells without sorting.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     count = lambda pattern: F.regexp_count(t, F.lit(pattern)).cast("long")
@@ -65,24 +69,22 @@ def counted(df: DataFrame, text: str = "text") -> DataFrame:
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "_keys": F.when(size > 0, F.transform(F.slice("_words", F.lit(1), size), window)).otherwise(none),
-            "_scale": F.pow(F.lit(2.0), F.length(F.bin(F.size("_words")))).cast("long"),
         }
     ).drop("_lines", "_words")
-    place = lambda x: F.pmod(x, F.col("_scale"))
-    packed = F.sort_array(F.transform("_keys", lambda h, i: h - place(h) + i))
-    df = df.withColumn("_sorted", F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), packed).otherwise(none))
-    at = lambda i: F.try_element_at(F.col("_sorted"), i)
+    placed = F.sort_array(F.transform("_keys", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
+    df = df.withColumn("_sorted", F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), placed).otherwise(F.array().cast("array<struct<h:bigint,at:int>>")))
+    key = lambda i: F.try_element_at(F.col("_sorted"), i).getField("h")
     # element_at counts from 1: i is the neighbour before, i + 2 the one after
-    same = lambda x, y: F.coalesce(x - place(x) == y - place(y), F.lit(False))
-    again = F.filter("_sorted", lambda x, i: same(x, at(F.when(i > 0, i))) | same(x, at(i + 2)))
-    df = df.withColumn("_again", F.sort_array(F.transform(again, place)))
+    same = lambda x, y: F.coalesce(x == y, F.lit(False))
+    again = F.filter("_sorted", lambda x, i: same(x.h, key(F.when(i > 0, i))) | same(x.h, key(i + 2)))
+    df = df.withColumn("_again", F.sort_array(F.transform(again, lambda x: x.at.cast("long"))))
     cover = F.aggregate(
         "_again",
         F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("total")),
         lambda held, p: F.struct((p + WINDOW).alias("end"), (held.total + p + WINDOW - F.greatest(held.end, p)).alias("total")),
         lambda held: held.total,
     )
-    return df.withColumn("n_repeat_words", cover).drop("_keys", "_scale", "_sorted", "_again")
+    return df.withColumn("n_repeat_words", cover).drop("_keys", "_sorted", "_again")
 
 
 def base_failed() -> Column:
@@ -114,40 +116,45 @@ def log_binomial_cdf(n: Column, k: Column, p: float) -> Column:
     return F.aggregate(terms, F.struct(first.alias("term"), first.alias("total")), step, lambda held: held.total)
 
 
-def cutoffs(good: DataFrame) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest valid cutoff of each rule in each stratum.
+#: Steps of the path: as many for each rule as the longest list of cutoffs has.
+STEPS = len(RULES) * max(map(len, RULES.values()))
 
-    good has stratum and the columns of ratios() for rows labelled good.
+
+def first_step() -> Column:
+    """The first step of the path at which a rule rejects the row; null if none does."""
+    found = []
+    for r, (rule, cuts) in enumerate(RULES.items()):
+        passed = sum(((F.col(rule) <= c).cast("int") for c in cuts), F.lit(0))
+        found.append(F.when(passed < len(cuts), passed * len(RULES) + r))
+    return F.least(*found)
+
+
+def settings(good: DataFrame) -> DataFrame:
+    """(stratum, step): the last step of the strictest valid setting, for strata that have one.
+
+    good has stratum and step, the first step that rejects the row (null: none), for rows labelled good.
     """
-    # how many cutoffs of its rule reject a row
-    level = [F.struct(F.lit(rule).alias("rule"), sum(((F.col(rule) > c).cast("int") for c in cuts), F.lit(0)).alias("level")) for rule, cuts in RULES.items()]
-    rows = good.select("stratum", F.explode(F.array(*level)).alias("x")).groupBy("stratum", "x.rule", "x.level").agg(F.count("*").alias("rows"))
-    tests = rows.select("stratum", "rule").distinct()
-    steps = F.create_map(*[x for rule, cuts in RULES.items() for x in (F.lit(rule), F.array(*map(F.lit, cuts)))])
-    tests = tests.select("stratum", "rule", F.size(steps[F.col("rule")]).alias("m"), F.posexplode(steps[F.col("rule")]).alias("i", "cutoff"))
-    r, t = rows.alias("r"), tests.alias("t")
-    met = t.join(r, F.col("t.stratum").eqNullSafe(F.col("r.stratum")) & (F.col("t.rule") == F.col("r.rule")))
-    # the strictest come last, so a row that level cutoffs reject is rejected by the last level ones
-    k = F.sum(F.when(F.col("level") >= F.col("m") - F.col("i"), F.col("rows")).otherwise(0))
-    sums = met.groupBy("t.stratum", "t.rule", "i", "cutoff").agg(F.sum("rows").alias("n"), k.alias("k"))
-    strata = F.size(F.collect_set(F.coalesce(F.concat(F.lit("="), F.col("stratum").cast("string")), F.lit("null"))).over(W.partitionBy()))
-    valid = log_binomial_cdf(F.col("n"), F.col("k"), RISK) <= F.log(F.lit(ERROR / len(RULES)) / strata)
-    order = W.partitionBy("stratum", "rule").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
-    passed = sums.withColumn("valid", valid).withColumn("all", F.min(F.col("valid").cast("int")).over(order)).filter(F.col("all") == 1)
-    return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    strata = good.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    rows = good.groupBy("stratum", F.coalesce("step", F.lit(STEPS)).alias("step")).agg(F.count("*").alias("rows"))
+    every = W.partitionBy("stratum")
+    upto = every.orderBy("step").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sums = rows.withColumns({"n": F.sum("rows").over(every), "k": F.sum("rows").over(upto)}).crossJoin(F.broadcast(strata))  # one row
+    valid = lambda k: log_binomial_cdf(F.col("n"), k, RISK) <= F.log(F.lit(ERROR) / F.col("strata"))
+    # between the steps that reject a row first, settings reject the same rows
+    failed = F.min(F.when((F.col("step") < STEPS) & ~valid(F.col("k")), F.col("step")))
+    found = sums.groupBy("stratum").agg(failed.alias("failed"), F.max(valid(F.lit(0).cast("long"))).alias("any"))
+    return found.filter("any").select("stratum", (F.coalesce("failed", F.lit(STEPS)) - 1).alias("step")).filter("step >= 0")
 
 
 def judged(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str = "lang", good: str = "quality") -> DataFrame:
     """(id, counts, base_failed, kept) of every row; labels has id and good (1: must be kept)."""
     marked = df.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), F.col(text).alias("text"))
     known = stored(counted(marked), "counts").withColumn("base_failed", base_failed()).withColumns(ratios())
+    known = known.withColumn("step", first_step())
     wanted = labels.filter(F.col(good) == 1).select(F.col(id).alias("id")).distinct()
-    cuts = stored(cutoffs(known.join(wanted, "id", "left_semi")), "cutoffs")
-    per = cuts.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts"))
-    k, c = known.alias("k"), per.alias("c")
-    met = k.join(c, F.col("k.stratum").eqNullSafe(F.col("c.stratum")), "left")
-    fails = [F.coalesce(F.col(f"k.{rule}") > F.col("c.cuts")[rule], F.lit(False)) for rule in RULES]
-    rejected = F.col("k.base_failed")
-    for f in fails:
-        rejected = rejected | f
-    return met.select("k.*", (~rejected).alias("kept")).withColumnRenamed("id", id)
+    labelled = known.join(wanted, "id", "left_semi").select("stratum", F.when(~F.col("base_failed"), F.col("step")).alias("step"))
+    last = stored(settings(labelled), "settings")
+    k, s = known.alias("k"), last.alias("s")
+    met = k.join(s, F.col("k.stratum").eqNullSafe(F.col("s.stratum")), "left")
+    rejected = F.col("k.base_failed") | F.coalesce(F.col("k.step") <= F.col("s.step"), F.lit(False))
+    return met.select("k.*", (~rejected).alias("kept")).drop("step").withColumnRenamed("id", id)

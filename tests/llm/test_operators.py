@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -445,7 +446,7 @@ def test_quality(answer, folder):
 
 
 def tail(n, k, p):
-    return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    return float(sum(math.comb(n, i) * Fraction(p) ** i * Fraction(1 - p) ** (n - i) for i in range(k + 1))) if n < 100 else math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
 
 
 @pytest.mark.parametrize(("n", "k"), [(10, 0), (600, 0), (600, 3), (1500, 8), (5, 5)])
@@ -454,20 +455,35 @@ def test_binomial(spark, n, k):
     assert got == pytest.approx(math.log(tail(n, k, 0.01)), abs=1e-9)
 
 
-def test_cutoffs_are_the_strictest_valid(spark):
+def test_settings_are_the_strictest_valid(spark):
+    """The last of the nested settings before the first that may lose more than RISK of a stratum's good rows."""
     rng = np.random.default_rng(9)
-    ratio = {"en": rng.beta(1, 12, 3000), None: rng.beta(1, 12, 300)}
-    rows = [(s, float(x), 0.0, 0.0, 0.0, 0.0) for s, xs in ratio.items() for x in xs]
+    rows, steps = [], list(quality.RULES.items())
+    for stratum, n, scale in (("en", 3000, 0.1), ("de", 2500, 0.5), ("xx", 300, 0.1), (None, 700, 0.0)):
+        rows += [(stratum, *(float(x) for x in rng.beta(1, 12, len(steps)) * scale * 5)) for _ in range(n)]
     frame = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{r} double" for r in quality.RULES))
-    got = {(r.stratum, r.rule): r.cutoff for r in quality.cutoffs(frame).collect()}
-    limit = quality.ERROR / len(quality.RULES) / 2
-    want = None
-    for c in quality.RULES["symbols_per_word"]:
-        if tail(3000, int((ratio["en"] > c).sum()), quality.RISK) > limit:
-            break
-        want = c
-    assert got["en", "symbols_per_word"] == want and got["en", "repeated_lines"] == 0.1
-    assert not any(s is None for s, _ in got)  # 300 rows can't show a risk of 1 %
+    got = {r.stratum: r.step for r in quality.settings(frame.withColumn("step", quality.first_step())).collect()}
+    want = {}
+    for stratum in ("en", "de", "xx", None):
+        own = [r[1:] for r in rows if r[0] == stratum]
+        for step in range(quality.STEPS):
+            on = [(rule, cut) for i in range(step // len(steps) + 1) for rule, (_, cuts) in enumerate(steps) for cut in cuts[i : i + 1] if i * len(steps) + rule <= step]
+            k = sum(any(x[rule] > cut for rule, cut in on) for x in own)
+            if tail(len(own), k, quality.RISK) > quality.ERROR / 4:
+                break
+            want[stratum] = step
+    assert got == want and got[None] == quality.STEPS - 1 and "xx" not in got and got["de"] < got["en"]
+
+
+def test_good_rows_are_lost_at_the_stated_rate_only(spark):
+    """All rules together reject at most RISK of the good rows that the base verdict keeps, and what they can of the others."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    texts = [" ".join((word() + ("!" * 4 if bad else "")) for _ in range(60)) for bad in [i % 10 == 0 for i in range(1200)]]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(1200)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality.judged(docs, labels).collect()}
+    assert all(kept[i] == (i % 10 > 0) for i in kept)
 
 
 # 10 tokens
