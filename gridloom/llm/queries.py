@@ -26,7 +26,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
     model = toxicity.train(toxicity.sample(labels, "toxic", "doc_id").join(docs, "doc_id"))
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -2,17 +2,18 @@
 
 A word is the bag of its character n-grams (with marks for its ends) and the whole
 word, each hashed to a row of an embedding table. The mean of the bag's rows goes into
-a linear softmax; a document is toxic as soon as one of its distinct words is (noisy
-or), so that a long text does not dilute a short insult. Table and softmax are
+a linear softmax, and so does the mean over all distinct words of a document. A document
+is toxic as soon as it as a whole or one of its words is (noisy or), so that a long text does
+not dilute a short insult. Table and softmax are
 trained jointly in numpy, by gradient steps over all sampled labels. Misspelled and
 unseen words share the n-grams of known ones.
 
-As the mean is linear, a trained model gives each n-gram one number, and scoring
-adds numbers. Only a bounded sample of labelled rows (SAMPLE of each label, in hash
-order) is brought to the driver to fit; scoring covers every row.
+As the means are linear, a trained model gives each n-gram one number, and scoring
+adds numbers. Only a bounded sample of labelled rows (SAMPLE rows of each label and BYTES of their
+texts, the first in hash order) is brought to the driver to fit; scoring covers every row.
 
-Edge cases: null and empty texts get the model's prior, the score of one unknown word; rows without labels are scored like others;
-without labelled rows of both kinds every score is 0.
+Edge cases: null and empty texts get the score of a document whose mean is zero; rows without labels are scored like others;
+without labelled rows of both kinds every score is 0; labels that are neither 0 nor 1 are not learned.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,8 @@ from .common import slices
 BUCKETS, DIMENSIONS, NGRAMS = 1 << 19, 4, (3, 4, 5, 6)
 #: Labelled rows of each label that a fit may use at most.
 SAMPLE = 1500
+#: Bytes of the texts of each label that a fit may use at most; a text that would go beyond is left out whole.
+BYTES = 1 << 23
 STEPS, RATE, DECAY = 60, 0.1, 1e-6
 #: Sampled texts that must hold an n-gram for it to be learned.
 TEXTS = 4
@@ -99,9 +103,11 @@ class Model:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Probability of each text."""
         words, docs, ids = _bags(texts)
-        total = np.bincount(docs, weights=np.logaddexp(0, self.words(words) + self.bias)[ids], minlength=len(texts))
-        blank = np.bincount(docs, minlength=len(texts)) == 0
-        return -np.expm1(-np.where(blank, np.logaddexp(0, self.bias), total))
+        own = self.words(words)[ids]
+        size = np.bincount(docs, minlength=len(texts))
+        mean = np.bincount(docs, weights=own, minlength=len(texts)) / np.maximum(size, 1)
+        total = np.bincount(docs, weights=np.logaddexp(0, own + self.bias), minlength=len(texts)) + np.logaddexp(0, mean + self.bias)
+        return -np.expm1(-total)
 
 
 def _bags(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -136,6 +142,13 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 0) -> Model:
     slot[used] = np.arange(len(used))
     owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[common[grams]]
     grams = slot[grams[common[grams]]]
+    # the pairs of words and n-grams, sorted by word, and by n-gram
+    by_word = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, dtype=np.int64)
+    filled = owner[by_word]
+    order = np.argsort(grams, kind="stable")
+    owners = owner[order]
+    by_gram = np.searchsorted(grams[order], np.arange(len(used)))
+    del order, owner, starts
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (len(used), DIMENSIONS)).astype(np.float32)
     weight = rng.normal(0, 1, (DIMENSIONS, 2))
@@ -144,16 +157,23 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 0) -> Model:
     y = np.asarray(labels, dtype=np.float64)
     share = np.where(y == 1, 0.35 / max(1, y.sum()), 0.65 / max(1, (1 - y).sum())) * len(y) / 10
     sign, inverse = np.array([-1.0, 1.0]), 1 / counts
-    for _ in range(STEPS):
-        mean = np.stack([np.bincount(owner, weights=table[grams, d], minlength=len(counts)) * inverse for d in range(DIMENSIONS)], axis=1)
+    size = np.bincount(docs, minlength=len(y))
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+    for _ in range(STEPS if len(used) else 0):
+        mean = np.zeros((len(counts), DIMENSIONS))
+        for d in range(DIMENSIONS):
+            mean[filled, d] = np.add.reduceat(table[grams, d], by_word)
+        mean *= inverse[:, None]
         z = (mean @ weight + offset) @ sign
-        keep = np.bincount(docs, weights=np.logaddexp(0, z)[ids], minlength=len(y))
-        # d loss / d z of a word in a text: sigmoid(z) for label 0, -sigmoid(z) (1 - p) / p for label 1
+        # a document's mean is that of its words' means, and so are the log odds
+        whole = np.where(size, np.bincount(docs, weights=z[ids], minlength=len(y)) / np.maximum(size, 1), (offset * sign).sum())
+        keep = np.bincount(docs, weights=np.logaddexp(0, z)[ids], minlength=len(y)) + np.logaddexp(0, whole)
+        # d loss / d z of a part of a text: sigmoid(z) for label 0, -sigmoid(z) (1 - p) / p for label 1
         ratio = np.where(y == 1, -1 / np.maximum(np.expm1(np.minimum(keep, 500)), 1e-6), 1.0) * share
-        dz = np.bincount(ids, weights=ratio[docs], minlength=len(counts)) / (1 + np.exp(-np.clip(z, -60, 60)))
+        dz = np.bincount(ids, weights=ratio[docs], minlength=len(counts)) * sigmoid(z) + np.bincount(ids, weights=(ratio * sigmoid(whole) / np.maximum(size, 1))[docs], minlength=len(counts))
         both = dz[:, None] * sign
-        back = both @ weight.T * inverse[:, None]
-        to_table = np.stack([np.bincount(grams, weights=back[owner, d], minlength=len(used)) for d in range(DIMENSIONS)], axis=1)
+        back = (both @ weight.T * inverse[:, None]).astype(np.float32)
+        to_table = np.stack([np.add.reduceat(back[owners, d], by_gram) for d in range(DIMENSIONS)], axis=1)
         for x, g, s in zip((table, weight, offset), (to_table + DECAY * table, mean.T @ both, both.sum(axis=0)), squares, strict=True):
             s += g * g
             x -= (RATE * g / np.sqrt(s)).astype(x.dtype)
@@ -169,13 +189,15 @@ def sample(labelled: DataFrame, label: str, id: str, rows: int = SAMPLE) -> Data
     return first.filter(F.col(label) == 1).orderBy("_h", id).limit(rows).union(first.filter(F.col(label) == 0).orderBy("_h", id).limit(rows)).drop("_h")
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "toxic", id: str = "doc_id", rows: int = SAMPLE) -> Model:
-    """Fit on a bounded sample of labelled rows; see SAMPLE."""
-    got = sample(labelled.select(id, text, label), label, id, rows).orderBy(id, label).toPandas()
-    y = got[label].to_numpy()
+def train(labelled: DataFrame, text: str = "text", label: str = "toxic", id: str = "doc_id", rows: int = SAMPLE, size: int = BYTES) -> Model:
+    """Fit on a bounded sample of labelled rows; see SAMPLE and BYTES."""
+    known = sample(labelled.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label")), "label", "id", rows)
+    upto = W.partitionBy("label").orderBy(F.xxhash64("id"), "id", "text").rowsBetween(W.unboundedPreceding, W.currentRow)  # over rows at most
+    got = known.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).filter(F.col("upto") <= size).orderBy("id", "label", "text").select("text", "label").toPandas()
+    y = got["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(BUCKETS, dtype=np.float32), -np.inf)
-    return fit(got[text].tolist(), y)
+    return fit(got["text"].tolist(), y)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

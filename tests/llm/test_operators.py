@@ -148,6 +148,31 @@ def test_held_out_accuracy_and_misspellings():
     assert some[0] > some[1] and some[2] == some[3] and 0 <= some[2] <= 1
 
 
+def test_held_out_rows_of_the_given_labels(spark):
+    """Learned from the other labels, the model finds the held-out toxic documents and leaves the others alone."""
+    sf = "/root/testdata/sf0.1"
+    got = queries.op2_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
+    bad = [r.predicted for r in got if r.toxic]
+    good = [r.predicted for r in got if r.toxic == 0]
+    assert len(bad) > 80 and sum(bad) >= 0.88 * len(bad) and sum(good) <= 0.04 * len(good)
+
+
+def test_what_a_fit_may_use(spark):
+    rows = [(i, "fine words here " * (i + 1), 0) for i in range(20)] + [(100 + i, "bad words here", 1) for i in range(20)] + [(None, None, 1), (7, "x", 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    seen = []
+    for size in (10, 500, 1 << 20):
+        used = []
+        fit = toxicity.fit
+        toxicity.fit = lambda texts, y: used.append((texts, y.tolist())) or fit(texts, y)
+        toxicity.train(frame, size=size)
+        toxicity.fit = fit
+        for texts, y in used:
+            assert all(sum(len(t) for t, z in zip(texts, y, strict=True) if z == k) <= size for k in (0, 1))
+        seen.append(sum(len(t) for t, _ in used))
+    assert seen[0] == 0 < seen[1] < seen[2] == 41
+
+
 # 3 fingerprints
 
 
