@@ -26,12 +26,11 @@ larger than any id. Ids need not be unique: a row is known by its id and its tex
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,22 +199,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
-@contextmanager
-def _early_filter(spark: SparkSession) -> Iterator[None]:
-    """Joins run meanwhile drop rows without a partner before the shuffle, by Spark's
-    Bloom filter, whose size is bounded by a setting of its own whatever it is made from."""
-    prefix = "spark.sql.optimizer.runtime.bloomFilter"
-    wanted = {f"{prefix}.enabled": "true", f"{prefix}.applicationSideScanSizeThreshold": "1MB", f"{prefix}.creationSideThreshold": "1TB"}
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) whose full sets reach the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
@@ -233,7 +216,9 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
     sketch = stored(sketched(docs), "sketches")
-    classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.first("bands").alias("bands"))
+    # a class is known by one row of it, whose id may be null or that of other texts too
+    key = F.xxhash64("id", "mark")
+    classes = sketch.filter("node is not null").groupBy("node").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands"))
     bands = stored(classes.select("node", F.explode("bands").alias("band")), "bands")
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     crowd = stored(bands.join(sizes, "band"), "crowd")
@@ -243,21 +228,16 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     starred = stored(ranked.join(hubs, "band").select("band", F.col("node").alias("a"), "b"), "starred")
     pairs = starred.filter("a != b").select("a", "b").distinct()
 
-    ids = ranked.select("node").distinct()
-    seen = sketch.join(ids, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("regs").alias("regs"), F.min(F.struct("id")).alias("one"))
-    seen = stored(seen, "seen")
+    # an inner join, as a semi join would be made before the classes and deal out all rows of large ones
+    seen = stored(classes.drop("bands").join(ranked.select("node").distinct(), "node"), "seen")
     left = seen.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
     right = seen.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
     goal = percent / 100
     spread = F.sqrt(goal * (1 - goal) / F.least(F.lit(REGISTERS), "na", "nb"))
     hopeful = pairs.join(left, "a").join(right, "b").filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (_estimate(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")) >= goal - ERRORS * spread))
 
-    # the text of one row of each class, whose id may be null or that of other texts too
-    key = F.xxhash64("id", "mark")
-    owners = stored(sketch.join(ids, "node", "left_semi").groupBy("node").agg(F.min(key).alias("key"), F.first("n").alias("n")), "owners")
-    with _early_filter(df.sparkSession):
-        words = docs.withColumn("key", key).join(owners.filter("n > 0").select("key"), "key").select("text")
-        sets = stored(full_sets(words).dropDuplicates(["node"]), "sets")
+    words = docs.withColumn("key", key).join(seen.select("key"), "key").select("text")
+    sets = stored(full_sets(words).dropDuplicates(["node"]), "sets")
     links = stored(_confirmed(hopeful, sets, percent), "links")
 
     # bands whose members are in different components yet
