@@ -1,7 +1,14 @@
-"""What the pipeline does with the operators' findings: docs in, docs out."""
+"""What the pipeline does with the operators' findings: docs in, docs out.
+
+Each stage gets and gives the columns of documents and any others, whatever their names
+and kinds: while a stage is at work, columns that it does not know have numbers for names.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +17,22 @@ from . import bpe, mixing, neardup, secrets, toxicity
 from .common import stored, table
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _own_names(stage: Stage) -> Stage:
+    """The stage on docs whose other columns can't clash with names of its own."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in _KNOWN else f"x{i}" for i, c in enumerate(docs.columns)]
+        made = stage(spark, docs.toDF(*names), sf_dir)
+        return made.toDF(*docs.columns) if made.columns == names else made
+
+    return run
+
+
 def _marked(docs: DataFrame) -> DataFrame:
     """docs with a key that tells rows with one id and different texts apart."""
     return docs.withColumn("_mark", F.xxhash64("text"))
@@ -22,6 +45,7 @@ def _matched(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return _marked(docs).join(right, on, how)
 
 
+@_own_names
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labels that are not held out, doesn't call toxic."""
     texts = docs.select("doc_id", "text")
@@ -30,6 +54,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return toxicity.score(docs, model, out="_score").filter("_score < 0.5").drop("_score")
 
 
+@_own_names
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, that of the least id; of equal rows without words one."""
     found = stored(neardup.near_duplicates(docs, "doc_id", "text").select("doc_id", F.col("mark").alias("_mark"), "root"), "found")
@@ -37,10 +62,13 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     blank = found.filter("root is null").select("doc_id", "_mark").distinct()
     kept = _matched(docs, first.select("of.doc_id", "of._mark", F.lit(True).alias("one")).union(blank.withColumn("one", F.lit(False))), "inner")
     if not found.groupBy("doc_id", "_mark").count().filter("count > 1").isEmpty():
-        kept = kept.filter("_one").dropDuplicates(["doc_id", "_mark"]).union(kept.filter("not _one").dropDuplicates())
+        whole = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})  # maps can't be compared
+        blank = kept.filter("not _one").withColumn("_row", F.md5(whole)).dropDuplicates(["_row"]).drop("_row")
+        kept = kept.filter("_one").dropDuplicates(["doc_id", "_mark"]).union(blank)
     return kept.select(*docs.columns)
 
 
+@_own_names
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark."""
     found = secrets.find_secrets(_marked(docs.select("doc_id", "text")), keep=["doc_id", "_mark"], runs=True)
@@ -52,6 +80,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return met.select(*docs.columns)
 
 
+@_own_names
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the mix, each as often as its slots take it: once for each pass of
     which they take at least half of its words, at the first of these slots."""
@@ -64,6 +93,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return met.repartitionByRange(parts, "_slot").sortWithinPartitions("_slot").select(*docs.columns)
 
 
+@_own_names
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids) of every document."""
     texts = docs.select("doc_id", "lang", "source", "text")

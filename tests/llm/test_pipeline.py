@@ -3,6 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from gridloom.llm import neardup, queries, secrets, stages
 from gridloom.llm.common import stored
 
@@ -66,3 +68,18 @@ def test_near_copies_whose_ids_are_null_or_repeated(spark):
     rows = [(i, near(i)) for i in range(20)] + [(i, other(i % 5) + (f" z{i}" if i % 2 else "")) for i in range(20)] + [(None, near(50)), (None, near(51))]
     found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter((r.doc_id, r.component) for r in found) == Counter([(i, 0) for i in range(20)] + [(i, i % 5) for i in range(20)] + [(None, 0)] * 2)
+
+
+def test_columns_of_any_name_and_kind(spark, folder):
+    """Names that the stages use themselves, maps, null and repeated ids: every stage gives back what it got."""
+    frame = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    frame = frame.union(frame.filter("doc_id < 6")).withColumn("doc_id", F.when(F.col("doc_id") % 7 != 3, F.col("doc_id")))
+    for name in ("_mark", "_score", "_drop", "_id", "_of", "_slot", "_copies", "_one", "_row", "_h", "x0", "slots", "spans", "row", "one", "ids", "n_tokens"):
+        frame = frame.withColumn(name, F.create_map(F.lit(name), F.col("size")) if name in ("_one", "_drop") else F.lit(name))
+    docs = stored(frame, "named")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stored(stage(spark, docs, folder[0]), "named-" + name.replace(" ", "-"))
+        if name != "tokens":
+            assert docs.columns == before.columns and docs.dtypes == before.dtypes
+            assert docs.filter("_mark != '_mark' or ids != 'ids' or element_at(_one, '_one') != size").isEmpty()
+    assert docs.count() > 10 and docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
