@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.localtime import ZONE, day_start, next_day_start
 from gridloom.operators import daily, lookup, repair, split
-from gridloom.sources.points import read_points, select_points, write_points
+from gridloom.sources.points import exists, read_points, replace_partitions, select_points, valid_entities, write_points
+from gridloom.sources.scratch import stored
 
 log = logging.getLogger(__name__)
 
@@ -36,9 +37,10 @@ class Job:
 
 @dataclass(frozen=True)
 class Work:
-    """What a job writes: points in write order, and the days that it rejects."""
+    """What a job writes: points in write order, the days (entity_id, day) that it did, and those that it rejects."""
 
     points: DataFrame
+    days: DataFrame
     rejects: DataFrame
     order: tuple[str, ...] = ("value",)
 
@@ -85,15 +87,23 @@ def read_config(config: Mapping[str, Any]) -> list[Job]:
 
 def _todo(spark: SparkSession, job: Job, names: list[str], field: str, have: DataFrame | None, first: date, as_of: date) -> DataFrame:
     """(entity_id, day) still to do, by what the job has written."""
-    entities = spark.createDataFrame([(n,) for n in names], "entity_id string")
+    entities = valid_entities(spark.createDataFrame([(n,) for n in names], "entity_id string"))
     done = select_points(have, field=field, measurement=job.output_measurement, version=job.version) if have is not None else spark.createDataFrame([], "entity_id string, time timestamp")
-    return lookup.unprocessed_days(entities, done, F.lit(first), as_of)
+    return stored(lookup.unprocessed_days(entities, done, F.lit(first), as_of), "days")
 
 
-def _between(df: DataFrame, days: DataFrame, zone: str) -> DataFrame:
-    """Points of days, by the bounds of all of them."""
+def bounds(df: DataFrame, lo: date, hi: date, before: int = 0, after: int = 0, zone: str = ZONE) -> DataFrame:
+    """Points of the local days lo to hi, and so many hours before and after; partitions of other days are not read."""
+    around = lambda hours: timedelta(days=-(-hours // 24))
+    hours = lambda n: F.make_dt_interval(hours=F.lit(n))
+    start, stop = day_start(F.lit(lo), zone) - hours(before), next_day_start(F.lit(hi), zone) + hours(after)
+    return df.filter(F.col("day").between(lo - around(before), hi + around(after)) & (F.col("time") >= start) & (F.col("time") < stop))
+
+
+def _ends(days: DataFrame) -> tuple[date, date] | None:
+    """The first and the last of the days; None without any."""
     lo, hi = days.agg(F.min("day"), F.max("day")).first()
-    return df.filter((F.col("time") >= day_start(F.lit(lo), zone)) & (F.col("time") < next_day_start(F.lit(hi), zone)))
+    return None if lo is None else (lo, hi)
 
 
 def _cleaned(job: Job, have: DataFrame | None, first: str) -> DataFrame:
@@ -107,64 +117,87 @@ def _cleaned(job: Job, have: DataFrame | None, first: str) -> DataFrame:
 
 def repair_job(spark: SparkSession, job: Job, raw: DataFrame, have: DataFrame | None, first: date, as_of: date, zone: str) -> Work | None:
     days = _todo(spark, job, list(job.entities), "value", have, first, as_of)
-    if days.isEmpty():
+    ends = _ends(days)
+    if ends is None:
         return None
-    written, bad = repair.repair(select_points(raw, entities=job.entities), days, zone)
+    # one hour more on each side, as a change of clocks makes read windows longer
+    near = bounds(select_points(raw, entities=job.entities), *ends, repair.BEFORE + 1, repair.AFTER + 1, zone)
+    written, bad = repair.repair(near.drop("day"), days, zone, hold=lambda rows: stored(rows, "repaired"))
     tags = {"measurement": job.output_measurement, "field": "value", "version": job.version, "scenario": "", "unit": "kWh"}
     points = written.select(*[F.lit(v).alias(k) for k, v in tags.items()], "entity_id", "time", "value", "day", "seq")
-    return Work(points, bad, ("day", "seq"))
+    return Work(points, days, bad, ("day", "seq"))
 
 
 def daily_job(spark: SparkSession, job: Job, raw: DataFrame, have: DataFrame | None, first: date, as_of: date, zone: str) -> Work | None:
     days = _todo(spark, job, [job.output_entity_id], "daily_sum", have, first, as_of)
-    if days.isEmpty():
+    ends = _ends(days)
+    if ends is None:
         return None
-    cleaned = _between(select_points(_cleaned(job, have, job.entities[0]), entities=job.entities), days, zone)
+    cleaned = bounds(select_points(_cleaned(job, have, job.entities[0]), entities=job.entities), *ends, zone=zone)
+    cleaned = cleaned.filter(daily.within_day(F.col("time"), zone))
     spine = days.select(F.explode(F.array(*map(F.lit, job.entities))).alias("entity_id"), "day")
-    bad = daily.rejects(spine, cleaned, zone)
+    bad = stored(daily.rejects(spine, cleaned, zone), "rejects")
     whole = days.join(bad.select("day").distinct(), "day", "left_anti")
     sums = daily.daily_sums(cleaned, job.output_entity_id, zone).join(whole.select("day"), "day", "left_semi")
-    return Work(daily.daily_points(sums, job.output_measurement, job.version, zone), bad)
+    return Work(daily.daily_points(sums, job.output_measurement, job.version, zone), spine, bad)
 
 
 def split_job(spark: SparkSession, job: Job, raw: DataFrame, have: DataFrame | None, first: date, as_of: date, zone: str) -> Work | None:
     """The last entity is the grid meter, the others are the pumps."""
     days = _todo(spark, job, [job.output_entity_id], "daily_pv", have, first, as_of)
-    if days.isEmpty():
+    ends = _ends(days)
+    if ends is None:
         return None
     *pumps, grid = job.entities
-    cleaned = _between(select_points(_cleaned(job, have, job.entities[0]), entities=pumps), days, zone)
-    power = _between(select_points(raw, entities=[grid]), days, zone)
+    cleaned = bounds(select_points(_cleaned(job, have, job.entities[0]), entities=pumps), *ends, zone=zone)
+    power = bounds(select_points(raw, entities=[grid]), *ends, zone=zone)
     roles = spark.createDataFrame([(p, grid, job.output_entity_id) for p in pumps], "pump_entity string, grid_entity string, output_entity string")
     found = split.split_intervals(cleaned, power, roles, zone)
-    found = found.join(days.select("day"), "day", "left_semi")
+    found = stored(found.join(days.select("day"), "day", "left_semi"), "shares")
     bad = found.filter("status is not null").select("entity_id", "day", "status").distinct()
     good = found.join(bad.select("day").distinct(), "day", "left_anti")
-    spine = days.select(F.explode(F.array(*map(F.lit, pumps))).alias("entity_id"), F.lit(job.output_entity_id).alias("output_entity"), "day")
-    spine = spine.join(bad.select("day").distinct(), "day", "left_anti")
-    return Work(split.split_points(good, split.split_days(good, spine), job.output_measurement, job.version, zone), bad)
+    every = days.select(F.explode(F.array(*map(F.lit, pumps))).alias("entity_id"), F.lit(job.output_entity_id).alias("output_entity"), "day")
+    spine = every.join(bad.select("day").distinct(), "day", "left_anti")
+    return Work(split.split_points(good, split.split_days(good, spine), job.output_measurement, job.version, zone), every.select("entity_id", "day"), bad)
 
 
 JOBS: dict[str, Callable[..., Work | None]] = {"repair": repair_job, "daily": daily_job, "split": split_job}
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return read_points(spark, path) if there else None
+    return read_points(spark, path) if exists(spark, path) else None
+
+
+def _first_day(raw: DataFrame) -> date | None:
+    """The UTC date of the earliest point, read from the first partitions only."""
+    low = raw.agg(F.min("day")).first()[0]
+    # the UTC date may be the one before the local day, or the one after it
+    return None if low is None else lookup.first_day(raw.filter(F.col("day") <= low + timedelta(days=2))).first().first_day
+
+
+def write_rejects(work: Work, job: str, path: str) -> None:
+    """Keep the rejects of the days that a job did in place of those that it had for them before."""
+    done = work.days.select("entity_id", "day").distinct().join(work.rejects, ["entity_id", "day"], "left")
+    replace_partitions(done.select(F.lit(job).alias("job"), "entity_id", "day", "status"), path, ("job", "day"))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(job, entity_id, day, status) of the days that are rejected as things stand."""
+    return spark.read.schema("entity_id string, status string, job string, day date").parquet(path).filter("status is not null")
 
 
 def run_pipeline(spark: SparkSession, config: Mapping[str, Any], as_of: date, on_error: str = "raise", zone: str = ZONE) -> list[str]:
     """Run the configured jobs for the days before as_of; returns the kinds that wrote something.
 
     on_error "raise": a day that can't be done stops the run before its job writes anything.
-    "quarantine": such days go to the table <output>_rejects, the others are written.
+    "quarantine": such days go to the table <output>_rejects, the others are written; a day
+    that is done again has its latest rejects only.
     """
     if on_error not in ("raise", "quarantine"):
         raise ValueError("on_error is raise or quarantine")
     jobs = read_config(config)
     raw = read_points(spark, config["input"])
-    first = lookup.first_day(raw).first().first_day
+    first = _first_day(raw)
     if first is None:
         log.warning("there are no points")
         return []
@@ -178,8 +211,7 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any], as_of: date, on
             if example is not None:
                 raise ValueError(f"{job.kind}: {example.entity_id} on {example.day}: {example.status}")
         else:
-            rejected = work.rejects.select(F.lit(job.kind).alias("job"), "entity_id", "day", "status")
-            rejected.write.mode("append").parquet(f"{config['output'].rstrip('/')}_rejects")
+            write_rejects(work, job.kind, f"{config['output'].rstrip('/')}_rejects")
         order: list[Column] = [F.col(c) for c in work.order]
         write_points(work.points, config["output"], order, zone)
         ran.append(job.kind)

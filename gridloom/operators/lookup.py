@@ -41,12 +41,6 @@ def latest_version(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return named.groupBy(*keys).agg(F.max(version_rank(F.col("version"))).alias("top")).select(*keys, F.col("top.version").alias("version"))
 
 
-def at_latest_version(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The points of the highest version, for each of keys."""
-    top = latest_version(df, keys)
-    return df.join(top, [*keys, "version"], "left_semi")
-
-
 def unprocessed_days(entities: DataFrame, done: DataFrame, first: Column, as_of: date, key: str = "entity_id") -> DataFrame:
     """(key, day): for each entity the days after its last one in done, or from first on, up to the day before as_of."""
     last = F.coalesce("last_day", F.date_sub(first, 1))

@@ -6,6 +6,8 @@ count from 0 in the day's read window; an inserted first row has position -1.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -162,13 +164,14 @@ def anchor(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_written", written).select("entity_id", "day", F.explode("_written").alias("x")).select("entity_id", "day", "x.*")
 
 
-def repair(points: DataFrame, spine: DataFrame, zone: str = ZONE, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
+def repair(points: DataFrame, spine: DataFrame, zone: str = ZONE, tolerance: float = TOLERANCE, hold: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[DataFrame, DataFrame]:
     """(written, rejects) for each row of the spine (entity_id, day).
 
     written: (entity_id, day, seq, time, value), where a later (day, seq) with the same time
     replaces an earlier one. rejects: (entity_id, day, status), of which nothing is written.
+    hold: may store the rows that both are made of, so that they are computed once.
     """
-    rows = clamp(retime(place_resets(detect_resets(windows(points, spine, zone)))), tolerance)
+    rows = hold(clamp(retime(place_resets(detect_resets(windows(points, spine, zone)))), tolerance))
     bad = rows.filter("status is not null").groupBy("entity_id", "day").agg(F.first("status").alias("status"))
     return anchor(rows.filter("status is null")), bad
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions.localtime import ZONE, day_start, local_day, next_day_start
+from gridloom.sources.scratch import stored
 
 TAGS = ("version", "scenario", "unit")
 #: Two points with one key are the same point; the later write stays.
@@ -24,13 +24,15 @@ POINTS = T.StructType(
     ]
 )
 PARTITIONS = ("measurement", "version", "day")
+#: Fixed value: the measurement of points that come without one.
+MEASUREMENT = "home_assistant"
 
 
-def points(df: DataFrame, now: datetime | None = None) -> DataFrame:
+def points(df: DataFrame, now: datetime | None = None, measurement: str = MEASUREMENT) -> DataFrame:
     """df in the schema of points: absent tags are empty, values double, an absent time is now."""
     have = set(df.columns)
     columns = {t: F.coalesce(F.col(t), F.lit("")) if t in have else F.lit("") for t in TAGS}
-    columns["measurement"] = F.col("measurement") if "measurement" in have else F.lit("home_assistant")
+    columns["measurement"] = F.col("measurement") if "measurement" in have else F.lit(measurement)
     columns["field"] = F.col("field") if "field" in have else F.lit("value")
     default = F.lit(now) if now else F.current_timestamp()
     columns["time"] = F.coalesce(F.col("time").cast("timestamp"), default) if "time" in have else default
@@ -78,41 +80,41 @@ def last_write_wins(df: DataFrame, order: Sequence[Column], key: Sequence[str] =
     return df.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
 
 
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table: points, and rows without an entity in partitions that have lost all."""
+    table = spark.read.schema(T.StructType([*POINTS.fields, T.StructField("day", T.DateType())])).parquet(path)
+    # an empty partition value is read as null
+    return table.withColumns({c: F.coalesce(c, F.lit("")) for c in ("measurement", "version")})
+
+
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """A table written by write_points; day is the local date, a partition column."""
-    table = spark.read.schema(T.StructType([*POINTS.fields, T.StructField("day", T.DateType())])).parquet(path)
-    return table.withColumn("version", F.coalesce("version", F.lit("")))  # an empty partition value is read as null
+    return _parts(spark, path).filter("entity_id is not null")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _swap(df: DataFrame, path: str) -> None:
-    """Replace the partitions that df has. They are first written beside the table, as df may read from it."""
-    spark = df.sparkSession
-    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.parquet(beside)
-    kept = spark.read.schema(df.schema).parquet(beside)
-    kept.repartition(*PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
-    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(beside)
-    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write df; the partitions that it has replace those of the table in one commit, all others stay."""
+    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def write_points(df: DataFrame, path: str, order: Sequence[Column] = (), zone: str = ZONE) -> None:
     """Upsert: new points replace kept ones with their key; only touched partitions are rewritten.
 
-    order tells which of several new points with one key came last.
+    order tells which of several new points with one key came last. df is computed once.
     """
     spark = df.sparkSession
     new = last_write_wins(df, order or [F.col("value")])
-    new = new.select(*POINTS.names).withColumn("day", local_day(F.col("time"), zone)).withColumn("_write", F.lit(1))
-    if _exists(spark, path):
+    new = stored(new.select(*POINTS.names).withColumn("day", local_day(F.col("time"), zone)).withColumn("_write", F.lit(1)), "points")
+    if exists(spark, path):
         touched = new.select(*PARTITIONS).distinct()
         kept = read_points(spark, path).join(touched, list(PARTITIONS), "left_semi").withColumn("_write", F.lit(0))
         new = last_write_wins(kept.select(*POINTS.names, "day", "_write").unionByName(new), [F.col("_write")])
-    _swap(new.drop("_write"), path)
+    replace_partitions(new.drop("_write"), path, PARTITIONS)
 
 
 def matching(start: Column, stop: Column, measurement: str | None = None, entity_id: str | None = None, version: str | None = None) -> Column:
@@ -127,17 +129,11 @@ def matching(start: Column, stop: Column, measurement: str | None = None, entity
 def delete_points(spark: SparkSession, path: str, hit: Column) -> None:
     """Delete points for which hit holds; other partitions than theirs stay untouched.
 
-    A partition of which nothing stays keeps no file.
+    The touched partitions are replaced in one commit by what stays of them. Each gets a row
+    without an entity, too, which readers leave out, so that one of which nothing stays is replaced as well.
     """
     table = read_points(spark, path)
-    touched = table.filter(hit).select(*PARTITIONS).distinct()
-    rows = table.join(touched, list(PARTITIONS), "left_semi")
-    emptied = rows.groupBy(*PARTITIONS).agg(F.min(hit.cast("int")).alias("all")).filter(F.col("all") == 1).drop("all").collect()
-    left = rows.filter(~hit).select(*POINTS.names, "day")
-    if not left.isEmpty():
-        _swap(left, path)
-    paths = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for row in emptied:  # one path for each emptied partition
-        version = row["version"] or "__HIVE_DEFAULT_PARTITION__"
-        gone = paths.Path(f"{path}/measurement={row['measurement']}/version={version}/day={row['day']}")
-        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    touched = stored(table.filter(hit).select(*PARTITIONS).distinct(), "touched")
+    left = table.join(touched, list(PARTITIONS), "left_semi").filter(~F.coalesce(hit, F.lit(False))).select(*POINTS.names, "day")
+    nothing = touched.select(*[F.col(c) if c in PARTITIONS else F.lit(None).cast(POINTS[c].dataType).alias(c) for c in POINTS.names], "day")
+    replace_partitions(left.unionByName(nothing), path, PARTITIONS)

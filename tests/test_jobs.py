@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import localtime
 from gridloom.functions.versions import version_rank
-from gridloom.jobs.pipeline import read_config, run_pipeline
+from gridloom.jobs.pipeline import bounds, read_config, read_rejects, run_pipeline
 from gridloom.operators import daily, intervals, lookup, split
 from gridloom.sources import points as store
 
@@ -184,6 +184,54 @@ def test_bad_days(spark, tmp_path):
         run_pipeline(spark, config, date(2024, 1, 16))
     assert not (tmp_path / "out").exists()
     assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
-    bad = spark.read.parquet(config["output"] + "_rejects").collect()
-    assert {(r.job, r.entity_id, r.status) for r in bad} >= {("repair", "p", "no_first_reset")}
+    bad = sorted(map(tuple, read_rejects(spark, config["output"] + "_rejects").collect()))
+    assert ("p", "no_first_reset", "repair", date(2024, 1, 15)) in bad
     assert store.read_points(spark, config["output"]).filter("entity_id = 'q'").count() > 0
+    # the same days once more: what is rejected still is there once, what is good now is gone
+    hit = store.matching(F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp"))
+    store.delete_points(spark, config["output"], hit)
+    assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
+    assert sorted(map(tuple, read_rejects(spark, config["output"] + "_rejects").collect())) == bad
+    store.write_points(raw(spark, [("p", t, 0.0)]), config["input"])
+    store.delete_points(spark, config["output"], hit)
+    assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
+    assert not [r for r in read_rejects(spark, config["output"] + "_rejects").collect() if r.day == date(2024, 1, 15)]
+
+
+def test_jobs_that_cannot_be_done(spark, tmp_path):
+    """No repaired counters to read; a null in a window; a share below 0."""
+    t = datetime(2024, 1, 15, 10)
+    config = {"input": str(tmp_path / "in"), "output": str(tmp_path / "out"), "jobs": {"daily": CONFIG["daily"] | {"cleaned_measurement": "clean"}}}
+    store.write_points(raw(spark, [("p", t, None), ("p", t + timedelta(hours=1), 1.0)]), config["input"])
+    with pytest.raises(ValueError, match="no repaired counters"):
+        run_pipeline(spark, config, date(2024, 1, 16))
+    with pytest.raises(ValueError, match="null_value"):
+        run_pipeline(spark, config | {"jobs": {"repair": CONFIG["repair"]}}, date(2024, 1, 16))
+    falling = raw(spark, [("p", t, 2.0), ("p", t + timedelta(hours=1), 1.0)])
+    roles = spark.createDataFrame([("p", "g", "all")], "pump_entity string, grid_entity string, output_entity string")
+    assert [r.status for r in split.split_intervals(falling, raw(spark, []), roles).collect()] == ["negative_share"]
+
+
+def test_any_tag_can_be_deleted(spark, tmp_path):
+    path, t = str(tmp_path / "points"), datetime(2024, 1, 15, 10)
+    names = ["a:b/c", "", "100%=x", "plain"]
+    rows = [(m, "e", "value", v, "", "", t, 1.0) for m in names for v in ("", "v/1")]
+    store.write_points(spark.createDataFrame(rows, POINT), path)
+    read = lambda: sorted(plain(store.read_points(spark, path), "measurement", "version"))
+    assert read() == sorted((m, v) for m in names for v in ("", "v/1"))
+    left = set(read())
+    for m, v in sorted(left):
+        store.delete_points(spark, path, (F.col("measurement") == m) & (F.col("version") == v))
+        left.discard((m, v))
+        assert read() == sorted(left)
+    store.write_points(spark.createDataFrame(rows[:2], POINT), path)
+    assert read() == [("a:b/c", ""), ("a:b/c", "v/1")]
+
+
+def test_partitions_of_other_days_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "points")
+    store.write_points(raw(spark, [("p", datetime(2024, 1, d, 10), 1.0) for d in range(1, 20)]), path)
+    found = bounds(store.select_points(store.read_points(spark, path), entities=["p"]), date(2024, 1, 5), date(2024, 1, 7), 5, 5)
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [" in plan and "IsNotNull(time)" in plan
