@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.localtime import hours_between, local_day
 from gridloom.functions.versions import version_rank
+from gridloom.jobs.pipeline import run_pipeline
 from gridloom.operators import daily, intervals, lookup, repair, split
-from gridloom.sources.events import counters, event_points, grid_power
-from gridloom.sources.points import last_write_wins, matching, select_points, whole_day
+from gridloom.sources.events import PER_GRID, counters, event_points, grid_power
+from gridloom.sources.points import delete_points, last_write_wins, matching, points, read_points, select_points, whole_day, write_points
+from gridloom.sources.scratch import new_path, stored
 
-FIRST, LAST = date(2024, 1, 2), date(2024, 1, 30)
 #: Look-up days: the last one counted as done, and the day of the run.
 DONE, TODAY = date(2024, 1, 20), date(2024, 1, 28)
 DAY = date(2024, 1, 15)
@@ -33,9 +34,11 @@ def _instant(text: str) -> Column:
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(entity_id, day) of every meter and every day from FIRST to LAST."""
-    meters = event_points(spark, sf_dir).select("entity_id").distinct()
-    return meters.withColumn("day", F.explode(F.sequence(F.lit(FIRST), F.lit(LAST), F.expr("INTERVAL 1 DAY"))))
+    """(entity_id, day) of every meter and every local day from the first to the last of the table."""
+    points = event_points(spark, sf_dir)
+    ends = points.agg(local_day(F.min("time")).alias("lo"), local_day(F.max("time")).alias("hi"))
+    days = ends.filter("lo is not null").select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    return points.select("entity_id").distinct().crossJoin(F.broadcast(days))  # one row for each day
 
 
 def daily_sum_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def daily_sum_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_filter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = select_points(event_points(spark, sf_dir), _instant("2024-01-10 06:00:00"), _instant("2024-01-20 18:30:00"), entities=["m1", "m4"], measurement="click")
+    found = select_points(event_points(spark, sf_dir), _instant("2024-01-10 06:00:00"), _instant("2024-01-20 18:30:00"), entities=["m0", "m4"], measurement="click")
     return found.select("entity_id", _plain("time").alias("time"), "value")
 
 
@@ -61,7 +64,7 @@ def max_point_per_entity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_last_data_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir)
     last = lookup.last_day(points.filter("time >= '1970-01-01'"), ["entity_id"])
-    return last.join(lookup.first_day(points)).select("entity_id", "first_day", "last_day")
+    return last.crossJoin(F.broadcast(lookup.first_day(points))).select("entity_id", "first_day", "last_day")
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +77,11 @@ def available_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Meters are done up to different days: those with an odd number to DONE, the others not at all."""
+    """Meters are done up to different days: those with an odd number to DONE, the others not at all; they start with their own first day."""
     points = event_points(spark, sf_dir)
-    done = points.filter((F.substring("entity_id", 2, 1).cast("int") % 2 == 1) & (F.to_date("time") <= F.lit(DONE)))
-    return lookup.unprocessed_days(points.select("entity_id").distinct(), done, F.lit(FIRST), TODAY)
+    done = points.filter((F.substring("entity_id", 2, 9).cast("int") % 2 == 1) & (F.to_date("time") <= F.lit(DONE)))
+    ends = points.groupBy("entity_id").agg(F.to_date(F.min("time")).alias("first"))
+    return lookup.unprocessed_days(ends, done, F.col("first"), TODAY)
 
 
 def missing_entity_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +110,8 @@ def to_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     meters = event_points(spark, sf_dir).select("entity_id").distinct()
-    return meters.select(F.col("entity_id").alias("pump_entity"), F.lit("grid").alias("grid_entity"), F.lit("total").alias("output_entity"))
+    grid = F.concat(F.lit("g"), F.floor(F.substring("entity_id", 2, 9).cast("int") / PER_GRID).cast("long"))
+    return meters.select(F.col("entity_id").alias("pump_entity"), grid.alias("grid_entity"), F.lit("total").alias("output_entity"))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +123,11 @@ def interval_overlap_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), F.round("import_kwh", 6).alias("import_kwh"))
 
 
+def split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals whose shares are below 0, as where a counter starts anew, or have no value."""
+    return _split(spark, sf_dir).filter("status is not null").select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), "status")
+
+
 def pv_grid_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _split(spark, sf_dir).filter("status is null").withColumnRenamed("stop", "time")
     long = split.long_form(found, ["entity_id", "time"], split.INTERVAL_FIELDS)
@@ -140,13 +150,19 @@ def detect_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zero_fill_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Those days, filled with zeros."""
-    empty = missing_entity_days(spark, sf_dir)
-    none = counters(spark, sf_dir).filter("false")
-    written, _ = repair.repair(none, empty)
+    """Zeros for the days that have no points in their read window."""
+    spine, rows = _spine(spark, sf_dir), counters(spark, sf_dir)
+    empty = spine.join(repair.assign_days(rows).select("entity_id", "day").distinct(), ["entity_id", "day"], "left_anti")
+    written, _ = repair.repair(rows, empty)
     return written.select("entity_id", "day", _plain("time").alias("time"), "value")
 
 
+def repair_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each day's resets are placed: the number of its rows, the mode, and why it is rejected."""
+    rows = repair.clamp(repair.retime(repair.place_resets(repair.detect_resets(repair.windows(counters(spark, sf_dir), _spine(spark, sf_dir))))))
+    return rows.groupBy("entity_id", "day").agg(F.max("n").alias("n"), F.first("mode").alias("mode"), F.first("status").alias("status"))
+
+
 def monotone_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running maxima of each meter and local day, and whether any fall is too large."""
     points = event_points(spark, sf_dir)
@@ -170,8 +186,8 @@ def repair_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repair, then daily sums and daily shares, in one plan."""
-    kept = repair.stored_points(_repaired(spark, sf_dir)[0])
+    """Repair, then daily sums and daily shares; the repaired points are computed once."""
+    kept = stored(repair.stored_points(_repaired(spark, sf_dir)[0]).select("entity_id", "time", "value"), "repaired")
     sums = daily.daily_sums(kept, "total")
     shares = split.split_intervals(kept, grid_power(spark, sf_dir), _roles(spark, sf_dir)).filter("status is null")
     days = split.split_days(shares, _spine(spark, sf_dir).withColumn("output_entity", F.lit("total")))
@@ -179,6 +195,50 @@ def pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("day", "entity_id", *[F.round(c, 6).alias(c) for c in ("daily_sum", "daily_pv", "daily_grid_import")])
 
 
+def _written(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A table of the events of even numbers, then of the others, each batch over what is there."""
+    path = new_path(spark, name)
+    minutes = event_points(spark, sf_dir).withColumns({"time": F.date_trunc("minute", "time"), "measurement": F.concat(F.lit("e:"), "measurement", F.lit("/x")), "version": F.when(F.col("measurement") == "click", "").otherwise("v1")})
+    for part in (0, 1):
+        batch = minutes.filter(F.col("event_id") % 2 == part)
+        write_points(batch.withColumns({"scenario": F.lit(""), "unit": F.lit("")}), path, [F.col("event_id")])
+    return path
+
+
+def upsert_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches written one over the other, read back."""
+    kept = read_points(spark, _written(spark, sf_dir, "upsert"))
+    return kept.select("measurement", "entity_id", "version", _plain("time").alias("time"), "value", "day")
+
+
+def delete_points_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, less the clicks without a version, and all errors of some days."""
+    path = _written(spark, sf_dir, "delete")
+    delete_points(spark, path, (F.col("measurement") == "e:click/x") & (F.col("version") == ""))
+    delete_points(spark, path, matching(_instant("2024-01-05 00:00:00"), _instant("2024-01-25 00:00:00"), measurement="e:error/x"))
+    return read_points(spark, path).select("measurement", "entity_id", "version", _plain("time").alias("time"), "value", "day")
+
+
+#: The meters of the incremental run; the last is their grid meter.
+RUN = ("m0", "m1", "g0")
+
+
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs up to DAY and again up to TODAY, for the first meters: what is in their table then."""
+    given, made = new_path(spark, "raw"), new_path(spark, "made")
+    raw = counters(spark, sf_dir).select("entity_id", "time", "value").union(grid_power(spark, sf_dir)).filter(F.col("entity_id").isin(*RUN))
+    write_points(points(raw, measurement="raw"), given)
+    *pumps, _ = RUN
+    jobs = {
+        "repair": {"version": "v1", "entities": pumps, "output_measurement": "clean"},
+        "daily": {"version": "v1", "entities": pumps, "output_entity_id": "total", "output_measurement": "stat"},
+        "split": {"version": "v1", "entities": list(RUN), "output_entity_id": "total", "output_measurement": "stat"},
+    }
+    for day in (DAY, TODAY):
+        run_pipeline(spark, {"input": given, "output": made, "jobs": jobs}, day, "quarantine")
+    return read_points(spark, made).select("measurement", "entity_id", "field", _plain("time").alias("time"), F.round("value", 6).alias("value"))
+
+
 _QUERIES = [
     daily_sum_with_total,
     range_filter_points,
@@ -193,6 +253,7 @@ _QUERIES = [
     delete_by_predicate,
     to_intervals,
     interval_overlap_import,
+    split_rejects,
     pv_grid_interval,
     pv_grid_daily,
     assign_processing_days,
@@ -200,8 +261,12 @@ _QUERIES = [
     zero_fill_days,
     monotone_clamp,
     repair_counters,
+    repair_modes,
     repair_rejects,
     pipeline_totals,
+    upsert_points,
+    delete_points_roundtrip,
+    incremental_run,
 ]
 
 
@@ -210,20 +275,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _POINTS = """points AS (
-    SELECT event_type AS measurement, 'm' || (user_id % 10) AS entity_id, 'v' || (event_id % 12 + 1) AS version, ts AS time, value, event_id,
+    SELECT event_type AS measurement, 'm' || (user_id // 15) AS entity_id, 'v' || (event_id % 12 + 1) AS version, ts AS time, value, event_id,
            CAST(ts + INTERVAL 1 HOUR AS DATE) AS day
     FROM events)"""
 _SPINE = """spine AS (
     SELECT entity_id, CAST(d AS DATE) AS day
-    FROM (SELECT DISTINCT 'm' || (user_id % 10) AS entity_id FROM events), generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-30', INTERVAL 1 DAY) AS g(d))"""
-_COUNTERS = """started AS (
-    SELECT event_id, ts AS time, user_id % 10 AS meter, CAST(round(value * 100) AS BIGINT) AS cents,
-           CAST(ts + INTERVAL 1 HOUR + to_minutes(CAST([-40, -20, 0, 20, 40][(user_id % 10) % 5 + 1] AS BIGINT)) AS DATE) AS day
-    FROM events),
+    FROM (SELECT DISTINCT 'm' || (user_id // 15) AS entity_id FROM events),
+         generate_series((SELECT date_trunc('day', min(ts) + INTERVAL 1 HOUR) FROM events), (SELECT date_trunc('day', max(ts) + INTERVAL 1 HOUR) FROM events), INTERVAL 1 DAY) AS g(d))"""
+# plan(d) and begin(d): what goes wrong with a meter's day, and when its counter starts
+_COUNTERS = """moments AS (
+    SELECT event_id, ts AS time, ts + INTERVAL 1 HOUR AS local, user_id // 15 AS meter, CAST(round(value * 100) AS BIGINT) AS cents,
+           unnest([-1, 0, 1]) AS off FROM events),
+around AS (
+    SELECT *, CAST(local AS DATE) + off AS d, (meter + dayofyear(CAST(local AS DATE) + off)) % 17 AS plan,
+           CAST(CAST(local AS DATE) + off AS TIMESTAMP) - to_minutes(CAST([-40, 20, 0, 40, -20][(meter + dayofyear(CAST(local AS DATE) + off)) % 5 + 1] AS BIGINT)) AS begin
+    FROM moments),
+days_of AS (
+    SELECT event_id, time, local, hour(local) AS h, meter, cents, max(d) FILTER (WHERE begin <= local OR off = -1) AS day, max(plan) FILTER (WHERE off = -1) AS before,
+           max(plan) FILTER (WHERE off = 0) AS today, max(plan) FILTER (WHERE off = 1) AS after, max(begin) FILTER (WHERE off = 1) AS next_begin
+    FROM around GROUP BY ALL),
+started AS (SELECT *, CASE WHEN (meter + dayofyear(day)) % 17 = 0 THEN day - 1 ELSE day END AS counted FROM days_of),
 counters AS (
-    SELECT 'm' || meter AS entity_id, time, event_id,
-           floor(CAST(sum(cents) OVER (PARTITION BY meter, day ORDER BY time, event_id) - cents AS DOUBLE) / 10) / 1000 - CASE WHEN event_id % 211 = 0 THEN 0.4 ELSE 0 END AS value
-    FROM started)"""
+    SELECT 'm' || meter AS entity_id, time, event_id, value FROM (
+        SELECT *, CASE WHEN event_id % 997 <> 0 THEN
+                floor(CAST(sum(cents) OVER (PARTITION BY meter, counted ORDER BY time, event_id) - cents AS DOUBLE) / 10) / 1000 - CASE WHEN event_id % 211 = 0 THEN 0.4 ELSE 0 END END AS value
+        FROM started)
+    WHERE NOT (today IN (1, 5) OR h >= 20 AND after IN (1, 2, 3) OR h < 4 AND before IN (1, 5) OR h < 2 AND today = 3 OR h >= 20 AND after = 4 AND local < next_begin))"""
 # the read windows of all days, and the resets found in them
 _RESETS = """assigned AS (
     SELECT * FROM (
@@ -231,7 +308,7 @@ _RESETS = """assigned AS (
         FROM (SELECT *, CAST(time + INTERVAL 1 HOUR AS DATE) AS l, hour(time + INTERVAL 1 HOUR) AS h FROM counters)) WHERE day IS NOT NULL),
 r0 AS (
     SELECT s.entity_id, s.day, s.day - INTERVAL 1 HOUR AS ds, s.day + INTERVAL '22:59:59' AS de, a.time, a.value,
-           CAST(row_number() OVER (PARTITION BY s.entity_id, s.day ORDER BY a.time, a.value) - 1 AS BIGINT) AS idx, count(a.time) OVER (PARTITION BY s.entity_id, s.day) AS n
+           CAST(row_number() OVER (PARTITION BY s.entity_id, s.day ORDER BY a.time, a.value NULLS FIRST) - 1 AS BIGINT) AS idx, count(a.time) OVER (PARTITION BY s.entity_id, s.day) AS n
     FROM spine s LEFT JOIN assigned a ON s.entity_id = a.entity_id AND s.day = a.day),
 r1 AS (
     SELECT *, round(value, 3) AS v, abs(epoch_us(time) - epoch_us(ds)) <= abs(epoch_us(de) - epoch_us(time)) AS early,
@@ -244,18 +321,19 @@ r5 AS (SELECT *, min(CASE WHEN idx > one AND NOT early AND v < top2 THEN idx END
 resets AS (SELECT entity_id, day, ds, de, idx, n, time, value, one AS first_reset, CASE WHEN one IS NULL THEN fall ELSE fall2 END - 1 AS second_reset FROM r5)"""
 _REPAIR = """p0 AS (
     SELECT entity_id, day, ds, de, idx, n, time, value, first_reset, coalesce(second_reset, n - 1) AS two,
-           max(CASE WHEN idx = 0 THEN time END) OVER g AS t0, max(CASE WHEN idx = 0 THEN value END) OVER g AS v0
+           max(CASE WHEN idx = 0 THEN time END) OVER g AS t0, max(CASE WHEN idx = 0 THEN value END) OVER g AS v0,
+           count(*) FILTER (WHERE time IS NOT NULL AND value IS NULL) OVER g AS lost
     FROM resets WINDOW g AS (PARTITION BY entity_id, day)),
 p1 AS (
     SELECT *, CASE WHEN first_reset IS NOT NULL THEN 'found' WHEN v0 = 0 AND t0 BETWEEN ds AND de THEN 'stay'
                    WHEN t0 >= ds AND v0 > 0 THEN 'insert' WHEN t0 < ds AND v0 = 0 THEN 'move' ELSE 'none' END AS how
     FROM p0),
 p2 AS (
-    SELECT entity_id, day, ds, de, idx, n, CASE WHEN how = 'move' AND idx = 0 THEN ds ELSE time END AS time, value, two, how, v0,
+    SELECT entity_id, day, ds, de, idx, n, CASE WHEN how = 'move' AND idx = 0 THEN ds ELSE time END AS time, value, two, how, v0, lost,
            CASE WHEN how = 'insert' THEN -1 WHEN how IN ('stay', 'move') THEN 0 ELSE first_reset END AS one
     FROM p1
     UNION ALL
-    SELECT entity_id, day, ds, de, -1, n, ds, 0.0, two, how, v0, -1 FROM p1 WHERE how = 'insert' AND idx = 0),
+    SELECT entity_id, day, ds, de, -1, n, ds, 0.0, two, how, v0, lost, -1 FROM p1 WHERE how = 'insert' AND idx = 0),
 p3 AS (
     SELECT *, max(CASE WHEN idx = one THEN time END) OVER g AS ft, max(CASE WHEN idx = two THEN time END) OVER g AS st,
            lead(time) OVER (PARTITION BY entity_id, day ORDER BY idx) AS after
@@ -263,7 +341,7 @@ p3 AS (
 p4 AS (
     SELECT *, CASE WHEN n = 0 OR (n = 1 AND how <> 'insert' AND ft = st AND ft BETWEEN ds AND de AND v0 = 0) THEN 'zero'
                    WHEN ft >= ds AND st <= de THEN 'keep' WHEN ft < ds AND st <= de THEN 'early' WHEN ft >= ds THEN 'late' ELSE 'both' END AS mode,
-           CASE WHEN n > 0 AND how = 'none' THEN 'no_first_reset' END AS bad
+           CASE WHEN lost > 0 THEN 'null_value' WHEN n > 0 AND how = 'none' THEN 'no_first_reset' END AS bad
     FROM p3),
 p5 AS (SELECT *, mode IN ('early', 'both') AND time < ds AND idx > one AS moved FROM p4 WHERE mode = 'zero' OR bad IS NOT NULL OR idx BETWEEN one AND two),
 p6 AS (SELECT *, count(*) FILTER (WHERE moved) OVER (PARTITION BY entity_id, day) AS m FROM p5),
@@ -302,16 +380,16 @@ def _split_sql(pumps: str) -> str:
     SELECT * FROM (
         SELECT entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) AS day, time AS start, value,
                lead(time) OVER w AS stop, lead(value) OVER w AS next_value
-        FROM {pumps} WINDOW w AS (PARTITION BY entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) ORDER BY time, value)) WHERE stop IS NOT NULL),
+        FROM {pumps} WINDOW w AS (PARTITION BY entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) ORDER BY time, value NULLS FIRST)) WHERE stop IS NOT NULL),
 power AS (
     SELECT * FROM (
-        SELECT CAST(ts + INTERVAL 1 HOUR AS DATE) AS day, ts AS start, (value - 50) * 100 AS w,
-               lead(ts) OVER (PARTITION BY CAST(ts + INTERVAL 1 HOUR AS DATE) ORDER BY ts, value) AS stop
-        FROM events WHERE event_type = 'view') WHERE stop > start),
+        SELECT grid, CAST(ts + INTERVAL 1 HOUR AS DATE) AS day, ts AS start, (value - 50) * 100 AS w,
+               lead(ts) OVER (PARTITION BY grid, CAST(ts + INTERVAL 1 HOUR AS DATE) ORDER BY ts, value) AS stop
+        FROM (SELECT user_id // 150 AS grid, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)) WHERE stop > start),
 sums AS (
     SELECT u.entity_id, u.start, u.stop, sum(CASE WHEN w >= 0 THEN w * (epoch_us(p.stop) - epoch_us(p.start)) / 3.6e12 ELSE 0 END) AS energy,
            sum((epoch_us(p.stop) - epoch_us(p.start)) / 3.6e9) AS hours
-    FROM used u JOIN power p ON u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL),
+    FROM used u JOIN power p ON CAST(substr(u.entity_id, 2) AS INT) // 10 = p.grid AND u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL),
 imported AS (
     SELECT u.*, u.next_value - u.value AS diff, CASE WHEN s.hours > 0 THEN energy * ((epoch_us(u.stop) - epoch_us(u.start)) / 3.6e9) / s.hours ELSE 0 END AS import_kwh
     FROM used u LEFT JOIN sums s USING (entity_id, start, stop)),
@@ -327,6 +405,35 @@ split_days AS (
     GROUP BY GROUPING SETS ((s.day, s.entity_id), (s.day)))"""
 
 
+_BATCHES = """batches AS (
+    SELECT 'e:' || event_type || '/x' AS measurement, 'm' || (user_id // 15) AS entity_id, CASE WHEN event_type = 'click' THEN '' ELSE 'v1' END AS version,
+           date_trunc('minute', ts) AS time, value, CAST(date_trunc('minute', ts) + INTERVAL 1 HOUR AS DATE) AS day, event_id
+    FROM events),
+kept AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY event_id % 2 DESC, event_id DESC) = 1)"""
+# days from the first (in UTC) of the raw points to the one before the last run; a day with a reject has no sums and no shares
+_RUN_SQL = f"""WITH given AS (SELECT min(time) AS lo FROM (SELECT time FROM counters_of UNION ALL SELECT ts FROM events WHERE event_type = 'view' AND user_id < 150)),
+spine AS (SELECT entity_id, CAST(d AS DATE) AS day FROM (VALUES ('m0'), ('m1')) AS m(entity_id), given, generate_series(date_trunc('day', lo), TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d)),
+{_RESETS.replace("FROM counters)", "FROM counters_of)")}, {_REPAIR}, {_split_sql("repaired")},
+tops AS (SELECT CAST(time + INTERVAL 1 HOUR AS DATE) AS day, entity_id, max(value) AS top FROM repaired WHERE time + INTERVAL 1 HOUR < CAST(time + INTERVAL 1 HOUR AS DATE) + INTERVAL '23:59:59.999999' GROUP BY ALL),
+whole AS (SELECT day FROM spine LEFT JOIN tops USING (entity_id, day) GROUP BY day HAVING count(top) = count(*)),
+sums_of AS (SELECT day, CASE WHEN grouping(entity_id) = 1 THEN 'total' ELSE entity_id END AS entity_id, sum(top) AS value FROM tops SEMI JOIN whole USING (day) GROUP BY GROUPING SETS ((day, entity_id), (day))),
+failed AS (SELECT DISTINCT day FROM imported ANTI JOIN shares USING (entity_id, start, stop)),
+fine AS (SELECT * FROM shares WHERE day IN (SELECT day FROM spine) AND day NOT IN (SELECT day FROM failed)),
+totals AS (
+    SELECT s.day, CASE WHEN grouping(s.entity_id) = 1 THEN 'total' ELSE s.entity_id END AS entity_id, coalesce(sum(pv), 0) AS pv, coalesce(sum(bought), 0) AS bought
+    FROM spine s LEFT JOIN (SELECT entity_id, day, sum(pv_contribution) AS pv, sum(grid_import) AS bought FROM fine GROUP BY ALL) x USING (entity_id, day)
+    WHERE s.day NOT IN (SELECT day FROM failed) GROUP BY GROUPING SETS ((s.day, s.entity_id), (s.day))),
+made AS (
+    SELECT 'clean' AS measurement, entity_id, 'value' AS field, time, value FROM repaired
+    UNION ALL SELECT 'stat', entity_id, 'daily_sum', day + INTERVAL '22:59:59.999999', value FROM sums_of
+    UNION ALL SELECT 'stat', entity_id, 'pv_contribution', stop, pv_contribution FROM fine
+    UNION ALL SELECT 'stat', entity_id, 'grid_import', stop, grid_import FROM fine
+    UNION ALL SELECT 'stat', entity_id, 'daily_pv', day + INTERVAL '22:59:59.999999', pv FROM totals
+    UNION ALL SELECT 'stat', entity_id, 'daily_grid_import', day + INTERVAL '22:59:59.999999', bought FROM totals)
+SELECT measurement, entity_id, field, time, round(value, 6) AS value FROM made"""
+_RUN_SQL = _RUN_SQL.replace("WITH given AS", f"WITH {_COUNTERS}, counters_of AS (SELECT * FROM counters WHERE entity_id IN ('m0', 'm1')), given AS")
+
+
 def oracle_sql() -> dict[str, str]:
     bought = f"WITH {_POINTS}, {_SPINE} SELECT entity_id, day FROM spine ANTI JOIN (SELECT entity_id, day FROM points WHERE measurement = 'purchase' AND value > 120) USING (entity_id, day)"
     repaired = f"WITH {_SPINE}, {_COUNTERS}, {_RESETS}, {_REPAIR}"
@@ -336,7 +443,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT day, CASE WHEN grouping(entity_id) = 1 THEN 'total' ELSE entity_id END AS entity_id, round(sum(top), 6) AS daily_sum
             FROM tops GROUP BY GROUPING SETS ((day, entity_id), (day))""",
         "range_filter_points": f"""WITH {_POINTS} SELECT entity_id, time, value FROM points
-            WHERE time >= '2024-01-10 06:00:00' AND time < '2024-01-20 18:30:00' AND entity_id IN ('m1', 'm4') AND measurement = 'click'""",
+            WHERE time >= '2024-01-10 06:00:00' AND time < '2024-01-20 18:30:00' AND entity_id IN ('m0', 'm4') AND measurement = 'click'""",
         "whole_day_points": f"WITH {_POINTS} SELECT entity_id, time, value FROM points WHERE time >= '2024-01-14 23:00:00' AND time < '2024-01-15 23:00:00'",
         "max_point_per_entity_day": f"""WITH {_POINTS} SELECT entity_id, day, value, time FROM points
             QUALIFY row_number() OVER (PARTITION BY entity_id, day ORDER BY value DESC, time) = 1""",
@@ -346,9 +453,9 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY CAST(regexp_extract(version, '([0-9]+)$', 1) AS BIGINT) DESC) = 1""",
         "available_versions": f"WITH {_POINTS} SELECT DISTINCT measurement, version, CAST(regexp_extract(version, '([0-9]+)$', 1) AS BIGINT) AS number FROM points WHERE version <> ''",
         "unprocessed_days": """WITH ends AS (
-                SELECT 'm' || (user_id % 10) AS entity_id, coalesce(max(CAST(ts AS DATE)) FILTER (WHERE user_id % 10 % 2 = 1 AND CAST(ts AS DATE) <= DATE '2024-01-20'), DATE '2024-01-01') AS last
+                SELECT 'm' || (user_id // 15) AS entity_id, coalesce(max(CAST(ts AS DATE)) FILTER (WHERE user_id // 15 % 2 = 1 AND CAST(ts AS DATE) <= DATE '2024-01-20'), min(CAST(ts AS DATE)) - 1) AS last
                 FROM events GROUP BY 1)
-            SELECT entity_id, CAST(d AS DATE) AS day FROM ends, generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d) WHERE d > last""",
+            SELECT entity_id, CAST(d AS DATE) AS day FROM ends, generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d) WHERE d > last""",
         "missing_entity_days": bought,
         "last_write_wins_points": f"""WITH {_POINTS} SELECT measurement, entity_id, date_trunc('minute', time) AS time, value FROM points
             QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, date_trunc('minute', time) ORDER BY event_id DESC) = 1""",
@@ -357,6 +464,7 @@ def oracle_sql() -> dict[str, str]:
         "to_intervals": f"""WITH {_POINTS} SELECT entity_id, day, start, stop, value, round((epoch_us(stop) - epoch_us(start)) / 3.6e9, 9) AS hours
             FROM (SELECT entity_id, day, time AS start, value, lead(time) OVER (PARTITION BY entity_id, day ORDER BY time, value) AS stop FROM points) WHERE stop IS NOT NULL""",
         "interval_overlap_import": f"{counted} SELECT entity_id, start, stop, round(import_kwh, 6) AS import_kwh FROM imported",
+        "split_rejects": f"{counted} SELECT entity_id, start, stop, 'negative_share' AS status FROM imported ANTI JOIN shares USING (entity_id, start, stop)",
         "pv_grid_interval": f"""{counted} SELECT entity_id, stop AS time, 'pv_contribution' AS field, round(pv_contribution, 6) AS value FROM shares
             UNION ALL SELECT entity_id, stop, 'grid_import', round(grid_import, 6) FROM shares""",
         "pv_grid_daily": f"{counted} SELECT day, entity_id, round(daily_pv, 6) AS daily_pv, round(daily_grid_import, 6) AS daily_grid_import FROM split_days",
@@ -364,13 +472,15 @@ def oracle_sql() -> dict[str, str]:
             FROM events, generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) AS g(d)
             WHERE ts >= d - INTERVAL 5 HOUR AND ts < d + INTERVAL 27 HOUR""",
         "detect_resets": f"WITH {_SPINE}, {_COUNTERS}, {_RESETS} SELECT entity_id, day, max(n) AS n, max(first_reset) AS first_reset, max(second_reset) AS second_reset FROM resets GROUP BY ALL",
-        "zero_fill_days": f"""SELECT entity_id, day, CASE WHEN k = 24 THEN day + INTERVAL '22:59:59' ELSE day - INTERVAL 1 HOUR + to_hours(k) END AS time, CAST(0 AS DOUBLE) AS value
-            FROM ({bought}), generate_series(0, 24) AS g(k)""",
+        "zero_fill_days": f"""WITH {_SPINE}, {_COUNTERS}, {_RESETS}
+            SELECT entity_id, day, CASE WHEN k = 24 THEN day + INTERVAL '22:59:59' ELSE day - INTERVAL 1 HOUR + to_hours(k) END AS time, CAST(0 AS DOUBLE) AS value
+            FROM (SELECT entity_id, day FROM resets WHERE n = 0), generate_series(0, 24) AS g(k)""",
         "monotone_clamp": f"""WITH {_POINTS}, {_SPINE}, x AS (
                 SELECT entity_id, day, time, value / 100 AS value, greatest(0, max(value / 100) OVER (PARTITION BY entity_id, day ORDER BY time, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS before
                 FROM points SEMI JOIN spine USING (entity_id, day))
             SELECT entity_id, time, round(greatest(before, value), 6) AS value, max(before - value > 2.5) OVER (PARTITION BY entity_id, day) AS rejected FROM x""",
         "repair_counters": f"{repaired} SELECT entity_id, time, round(value, 6) AS value FROM repaired",
+        "repair_modes": f"{repaired} SELECT entity_id, day, max(n) AS n, any_value(mode) AS mode, min(bad) AS status FROM pe GROUP BY ALL",
         "repair_rejects": f"{repaired} SELECT entity_id, day, status FROM rejects",
         "pipeline_totals": f"""{repaired}, {_split_sql("repaired")},
             tops AS (SELECT CAST(time + INTERVAL 1 HOUR AS DATE) AS day, entity_id, max(value) AS top FROM repaired GROUP BY ALL),
@@ -378,4 +488,8 @@ def oracle_sql() -> dict[str, str]:
                 FROM tops GROUP BY GROUPING SETS ((day, entity_id), (day)))
             SELECT day, entity_id, round(daily_sum, 6) AS daily_sum, round(daily_pv, 6) AS daily_pv, round(daily_grid_import, 6) AS daily_grid_import
             FROM day_sums JOIN split_days USING (day, entity_id)""",
+        "upsert_points": f"WITH {_BATCHES} SELECT measurement, entity_id, version, time, value, day FROM kept",
+        "delete_points_roundtrip": f"""WITH {_BATCHES} SELECT measurement, entity_id, version, time, value, day FROM kept
+            WHERE NOT (measurement = 'e:click/x' AND version = '') AND NOT (measurement = 'e:error/x' AND time >= '2024-01-05' AND time < '2024-01-25')""",
+        "incremental_run": f"{_RUN_SQL}",
     }
