@@ -25,6 +25,7 @@ larger than any id. Ids need not be unique: a row is known by its id and its tex
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -271,12 +272,16 @@ def _by_prefix(rest: DataFrame, percent: int) -> DataFrame:
     front = front.select("node", "n", "root", at.alias("at"), F.col("x.gram").alias("gram"))
     front = stored(front, "front")
     # under each shingle those outside its commonest root meet all the others, so a
-    # large component makes no pairs within itself
+    # large component makes no pairs within itself; sets of too different sizes don't meet, as
+    # the ratio of sizes is at least percent for sets of neighbouring cells only
     roots = front.groupBy("gram", "root").agg(F.count("*").alias("size")).groupBy("gram").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
-    front = stored(front.join(roots.filter("roots > 1").select("gram", F.col("main.root").alias("main")), "gram"), "front")
-    other = front.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("bt"))
+    roots = stored(roots.filter("roots > 1").select("gram", F.col("main.root").alias("main")), "roots")
+    cell = F.floor(F.log(F.col("n")) / math.log(100 / percent)) if percent < 100 else F.col("n")
+    front = stored(front.join(roots, "gram").withColumn("cell", cell), "front")
+    near = F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)]))
+    other = front.select("gram", near.alias("cell"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("bt"))
     # the first shingle that a pair shares leaves at least the needed number in both
     enough = F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("bt")) * (100 + percent) >= (F.col("n") + F.col("nb")) * percent
-    met = front.filter("root != main").withColumnRenamed("node", "a").join(other, "gram")
+    met = front.filter("root != main").withColumnRenamed("node", "a").join(other, ["gram", "cell"])
     met = met.filter((F.col("root") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & enough)
     return met.select("a", "b").distinct()

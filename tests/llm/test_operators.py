@@ -346,6 +346,22 @@ def test_registers_estimate_likeness():
     assert rng is not None
 
 
+@pytest.mark.parametrize(("lo", "hi"), [(5, 20), (20, 100), (100, 600)])
+def test_pairs_at_the_threshold_share_a_band(lo, hi):
+    """Of pairs that are just similar enough none is missed, however few shingles they have."""
+    rng = np.random.default_rng(lo)
+    sets = []
+    for _ in range(1500):
+        n = int(rng.integers(lo, hi))
+        union = neardup.mixed(rng.integers(0, 2**63, n, dtype=np.uint64))
+        differ = n - math.ceil(n * 0.85)
+        out = rng.permutation(n)[:differ]
+        side = rng.random(differ) < rng.random()
+        sets += [np.unique(np.delete(union, out[side])), np.unique(np.delete(union, out[~side]))]
+    keys = neardup.band_keys(neardup.registers(sets))
+    assert (keys[0::2] == keys[1::2]).any(axis=1).all()
+
+
 def test_components(spark):
     rng = np.random.default_rng(8)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(1000 + i, 1001 + i) for i in range(40)]
