@@ -44,8 +44,8 @@ _AWAY = re.compile(
     r"(?:^|(?<!\bhas)(?<!\bwith)(?<!\bno)(?<!\bwithout)[\s_-])(?:ad|ads|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|footer|header|masthead|sidebar|aside|widget|related|recommended|share|sharing|social|cookie|cookies|consent|gdpr|notice|notices|popup|modal|overlay|subscribe|newsletter|signup|login|comment|comments|respond|reply|disqus|pagination|pager|tags|toolbar|search|hidden|skip|copyright|legal|complementary|contentinfo|dialog|alert)(?:$|[\s_-]|\d)"
 )
 _HERE = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|text|body)(?:$|[\s_-])")
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>\"']+)))?")
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$))|[^>])*)(?:>|$)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=>/]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]+)))?")
 _NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _SPACE = re.compile(r"\s+")
 _END = re.compile(r"[.!?…。！？:;][\"'”’)\]]*$")
@@ -58,7 +58,9 @@ class Node:
     doubt: int  # number of the nearest element with a name of a part outside the article, 0 if none
     inside: bool  # it or an ancestor is marked as the article
     here: bool  # within the element of doubt, one is marked as the article
-    path: tuple[int, ...]  # numbers of its ancestors and itself
+    number: int
+    up: int  # number of the element above
+    depth: int  # elements above, and itself
 
 
 @dataclass
@@ -66,6 +68,7 @@ class Piece:
     text: str
     node: Node
     linked: int  # characters within links
+    shared: int  # elements above both this block's element, itself included, and that of the block before
 
 
 def attributes_of(text: str) -> dict[str, str]:
@@ -90,18 +93,21 @@ def named(has: dict[str, str]) -> tuple[bool, bool]:
 
 def blocks(page: str) -> list[Piece]:
     """The page's text blocks in order."""
-    root = Node("", False, 0, False, False, (0,))
+    root = Node("", False, 0, False, False, 0, -1, 1)
     stack, made = [root], 1
     words: list[str] = []
     out: list[Piece] = []
     linked, home, links = 0, root, 0
+    low = 1  # the least depth since the last block
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, low
         if words:
             text = _SPACE.sub(" ", "".join(words)).strip()
             if text:
-                out.append(Piece(text, home, min(linked, len(text))))
+                before = out[-1].node.depth if out else 0
+                out.append(Piece(text, home, min(linked, len(text)), min(low, before, home.depth)))
+                low = len(stack)
             words.clear()
             linked = 0
 
@@ -117,7 +123,8 @@ def blocks(page: str) -> list[Piece]:
             linked += len(text.strip())
 
     def close(upto: int) -> None:
-        nonlocal links
+        nonlocal links, low
+        low = min(low, upto)
         for n in stack[upto:]:
             links -= n.tag == "a"
         del stack[upto:]
@@ -175,7 +182,7 @@ def blocks(page: str) -> list[Piece]:
         elif part_of and doubt:
             here = True
         inside = above.inside or part_of or tag in ("article", "main")
-        stack.append(Node(tag, away, doubt, inside, here, (*above.path[-24:], made)))
+        stack.append(Node(tag, away, doubt, inside, here, made, above.number, above.depth + 1))
         made += 1
         links += tag == "a"
     flush()
@@ -266,10 +273,8 @@ def content(pieces: list[Piece]) -> list[bool]:
         if wrong:
             capacity[i][sink] = wrong
         if i:
-            before = pieces[i - 1].node.path
-            shared = sum(x == y for x, y in zip(before, p.node.path, strict=False))
-            join(i - 1, i, 0.6 * shared / max(len(before), len(p.node.path)))
-        up = p.node.path[-2] if len(p.node.path) > 1 else 0
+            join(i - 1, i, 0.6 * p.shared / max(pieces[i - 1].node.depth, p.node.depth))
+        up = max(p.node.up, 0)
         if up in last and last[up] != i - 1:
             join(last[up], i, 0.3)
         last[up] = i
