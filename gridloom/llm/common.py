@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -13,34 +11,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from gridloom.sources.scratch import stored
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's spark.checkpoint.dir.
-
-    Only where that is unset (tests, a notebook) a local folder is made and set.
-    """
-    sc = spark.sparkContext
-    given = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
-    return sc.getCheckpointDir()
+__all__ = ["WORD", "column_slices", "n_words", "numbered", "slices", "stored", "table"]
 
+#: A word is a run of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read back.
 
-    It cuts the lineage and is computed once; a lost executor takes nothing
-    with it, as the files lie in the shared folder.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def numbered(df: DataFrame, id: str, out: str) -> DataFrame:
+    """df with the long column out: numbers that sort like the column id, null where it is null."""
+    names = df.select(F.col(id).alias("_name")).filter(F.col("_name").isNotNull()).distinct().orderBy("_name")
+    names = stored(names.select("_name", F.monotonically_increasing_id().alias(out)), "names")
+    return df.join(names, F.col(id) == F.col("_name"), "left").drop("_name")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

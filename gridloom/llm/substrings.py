@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import numbered, slices, stored
 
 LENGTH, TRIGGER = 100, 24
 #: Bytes of a text that are parsed at a time, and of phrases whose suffixes are sorted at a time.
@@ -365,8 +365,7 @@ def _numbered(df: DataFrame, id: str) -> DataFrame:
     """df with doc: a number of its id that sorts like the id."""
     if isinstance(df.schema[id].dataType, T.IntegralType):
         return df.withColumn("doc", F.coalesce(F.col(id).cast("long"), F.lit(_NULL)))
-    names = stored(df.select(id).filter(F.col(id).isNotNull()).distinct().orderBy(id).select(F.col(id).alias("_name"), F.monotonically_increasing_id().alias("_n")), "names")
-    return df.join(names, F.col(id) == F.col("_name"), "left").withColumn("doc", F.coalesce("_n", F.lit(_NULL))).drop("_name", "_n")
+    return numbered(df, id, "doc").withColumn("doc", F.coalesce("doc", F.lit(_NULL)))
 
 
 def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:

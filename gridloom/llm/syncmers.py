@@ -10,6 +10,7 @@ k-mers do not count as copied text.
 
 Edge cases: texts of less than four k-mers' length take k-mers of a quarter of it; the
 fingerprint of a null or empty text is the empty string, like only another empty text.
+Ids may be of any type that can be sorted. Rows with one id, and those without any, are in one range.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import slices
+from .common import numbered, slices
 
 K, S, SKETCH = 16, 6, 64
 #: Rows in a range that is sorted on its own, about.
@@ -125,7 +126,10 @@ def successive(df: DataFrame, compare: Callable[[list[str], list[str]], list[tup
     the last the first. Ranges of id, of about PART rows, are sorted each on its own;
     each also gets the first row of the next range as a guest.
     """
-    rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(id).cast("double"), F.lit(-np.inf)).alias("place"))
+    rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if not isinstance(df.schema[id].dataType, T.IntegralType):
+        rows = numbered(rows, "id", "place")
+    rows = rows.withColumn("place", F.coalesce(F.col("place" if "place" in rows.columns else "id").cast("double"), F.lit(-np.inf)))
     whole = rows.agg(F.count("*").alias("n"), F.max("place").alias("top")).first()
     # some ranges for each task, so what comes to the driver or is broadcast is bounded by a setting
     parts = min(whole.n // PART + 1, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -197,6 +197,63 @@ def test_syncmers_are_closed_and_context_free():
     assert 1.4 / (syncmers.K - syncmers.S + 1) < len(whole) / 500 < 3 / (syncmers.K - syncmers.S + 1)
 
 
+def plain_fingerprint(text, k=syncmers.K, s=syncmers.S):
+    """The fingerprint by its rules, k-mer by k-mer: closed syncmers, the least hashes, repeats counted."""
+    code = np.array([ord(c) for c in text], dtype=np.uint64)
+    if not len(code):
+        return []
+    if len(code) < 4 * k:
+        k, s = max(1, len(code) // 4), max(1, len(code) * s // (4 * k))
+    inner, outer = syncmers._hashes(code, s).tolist(), syncmers._hashes(code, k).tolist()
+    windows = [inner[i : i + k - s + 1] for i in range(len(code) - k + 1)]
+    chosen = [i for i, w in enumerate(windows) if min(w) in (w[0], w[-1])] or [min(range(len(windows)), key=lambda i: (windows[i][0], i))]
+    seen, found = Counter(), {}
+    for i in chosen:
+        h = outer[i]
+        if seen[h]:
+            with np.errstate(over="ignore"):
+                h = int(syncmers._bits(np.array([h], dtype=np.uint64) + np.uint64(seen[h]) * syncmers._BASE)[0])
+        seen[outer[i]] += 1
+        found.setdefault(h, i)
+    return sorted(found.items())[: syncmers.SKETCH]
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(a == b)
+    if a == b:
+        return 1.0
+    cut = min([x[-1][0] for x in (a, b) if len(x) == syncmers.SKETCH], default=2**64)
+    every = {h for h, _ in a + b if h <= cut}
+    shifts = [p - dict(b)[h] for h, p in a if h <= cut and h in dict(b)]
+    agree = len(shifts) if len(shifts) < 3 else sum(sum(abs(x - y) <= syncmers.DRIFT for y in shifts) > 1 for x in shifts)
+    return agree / len(every)
+
+
+def test_fingerprints_by_their_rules(answer, folder):
+    texts = [t or "" for t in folder[1]]
+    got = sorted(answer("op3_syncmer_fingerprints"))
+    written = lambda x: ",".join(f"{h:016x}@{p}" for h, p in x)
+    for i, r in enumerate(got):
+        text, after = texts[i], texts[(i + 1) % len(texts)]
+        if len(text) + len(after) > 9000:
+            continue
+        edit = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+        own, new, following = map(plain_fingerprint, (text, edit, after))
+        assert (r.fingerprint, r.edited_fingerprint) == (written(own), written(new)), i
+        assert (r.near_edited, r.near_next) == pytest.approx((plain_likeness(own, new), plain_likeness(own, following))), i
+
+
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_the_row_that_follows_whatever_the_ids(spark, kind):
+    ids = [None, *(2**60 + i for i in range(50)), 3, 3, -7]
+    rows = [(i if i is None or kind == "long" else f"id{i}", f"text {n}") for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, f"name {kind}, body string").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or (0 if kind == "long" else ""), r[1]))
+    got = {(r.name, r.a, r.b) for r in syncmers.successive(frame, lambda own, after: list(zip(own, after, strict=True)), "a string, b string", "name", "body").collect()}
+    assert got == {(*r, order[(n + 1) % len(order)][1]) for n, r in enumerate(order)}
+
+
 # 4 repeated substrings
 
 
@@ -295,6 +352,26 @@ def test_names_and_hidden_parts():
     assert mincut.main_text(f'<article>{inner}</article><div class="comments">{reader * 30}</div>') == whole
 
 
+def test_tags_as_browsers_read_them():
+    """Apostrophes and signs in tags, deep nesting, and pages whose article is known."""
+    first, second = "The first of two paragraphs, which is long enough to be an article's.", "The second one says what happened after that, and how it ended."
+    for tag in ("<p it's>", "<p title=Joe's>", "<p title='a>b'>", '<p title="it\'s > that">', "<p data-x = 'y>' z>", "<p/ a=b>"):
+        assert mincut.main_text(f"<article>{tag}{first}</p><p>{second}</p></article>") == f"{first}\n{second}", tag
+    deep = "<div>" * 40
+    page = mincut.blocks(f"{deep}<p>{first}</p><p>{second}</p>{'</div>' * 20}<p>third")
+    assert [p.shared for p in page] == [0, 41, 21] and [p.node.depth for p in page] == [42, 42, 22]
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randrange(2, 9))) for _ in range(200)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+    for i in range(60):
+        body = [line(rng.randrange(12, 60)) for _ in range(rng.randrange(3, 12))]
+        inner = f"<h1>{body[0]}</h1>" + "".join(f"<p>{b}</p>" for b in body[1:])
+        links = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in rng.sample(words, 6))
+        shell = rng.choice(["<article>{}</article>", "<main><div class=post>{}</div></main>", "<div id=content><div>{}</div></div>"])
+        page = f"<html><head><title>{line(3)}</title><script>if (a<b) x='</p>'</script></head><body><nav><ul>{links}</ul></nav><header>{line(4)}</header>{shell.format(inner)}<aside>{line(9)}</aside><div class='sidebar widget'><ul>{links}</ul></div><div class=comments><p>{line(14)}</p></div><footer>&copy; {line(5)}</footer></body></html>"
+        assert mincut.main_text(page) == "\n".join(body), i
+
+
 # 6 near duplicates
 
 
