@@ -73,7 +73,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations whose messages quote the two before them, linked again and without quotes."""
-    mails = quotes.quoting(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    talks = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text")
+    mails = quotes.quoting(talks)
     linked = quotes.conversations(mails)
     return linked.select(F.col("conv").alias("conv_id"), "turn", F.col("to_turn").alias("parent_turn"), F.col("root_turn"), "depth", F.sha2("own", 256).alias("text_sha256"))
 

@@ -12,7 +12,8 @@ circles; roots and depths follow by doubling.
 
 Edge cases: null and empty texts have an empty own text and quote nothing; a message
 that only quotes has an empty own text; rows with equal conversation and turn are
-all answered alike, the first own text in order counts as the original.
+all answered alike, the first own text in order counts as the original; conversations and turns
+may be of any type that can be sorted.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, stored
 
@@ -94,7 +96,8 @@ def parsed(df: DataFrame) -> DataFrame:
                 columns = [batch.column("conv").slice(a, b - a), batch.column("turn").slice(a, b - a), pa.array(own), pa.array(owned, kind), pa.array(quoted, quote)]
                 yield pa.RecordBatch.from_arrays(columns, ["conv", "turn", "own", "owned", "quoted"])
 
-    return df.mapInArrow(run, "conv long, turn long, own string, owned map<bigint,bigint>, quoted array<struct<hash:bigint,weight:bigint,level:int>>")
+    made = T.StructType.fromDDL("own string, owned map<bigint,bigint>, quoted array<struct<hash:bigint,weight:bigint,level:int>>")
+    return df.mapInArrow(run, T.StructType([df.schema["conv"], df.schema["turn"], *made.fields]))
 
 
 def parents(messages: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def parents(messages: DataFrame) -> DataFrame:
 
 def conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """(conv, turn, own, to_conv, to_turn, root_conv, root_turn, depth) of every row."""
-    messages = stored(parsed(df.select(F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).alias("text"))), "messages")
+    messages = stored(parsed(df.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(text).alias("text"))), "messages")
     links = stored(parents(messages), "parents")
     # up: the message so many steps above; those that have not reached a root go twice as far
     # in each round, the others stay as they are

@@ -480,6 +480,13 @@ def test_deeper_quotes_where_the_shallow_one_is_missing(spark):
     assert (got[2, 0].to_conv, got[2, 0].to_turn) == (1, 0) and (got[2, 1].to_conv, got[2, 1].to_turn) == (2, 0) and got[2, 2].to_conv is None
 
 
+def test_conversations_and_turns_of_other_types(spark):
+    rows = [("a", "2024-01-01", "A question\nabout it"), ("a", "2024-01-02", "> A question\nAn answer"), ("b", "2024-01-03", "> An answer\nThanks"), (None, None, None)]
+    got = {(r.conv, r.turn): r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id string, turn string, text string")).collect()}
+    assert (got["b", "2024-01-03"].to_conv, got["b", "2024-01-03"].root_turn, got["b", "2024-01-03"].depth) == ("a", "2024-01-01", 2)
+    assert got["a", "2024-01-02"].own == "An answer" and got[None, None].own == ""
+
+
 # 8 secrets
 
 
