@@ -36,4 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._stored_path = path
+    return made
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored() frames that no result yet to be computed reads."""
+    for frame in frames:
+        sc = frame.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(frame._stored_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
