@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.sources.scratch import stored
+from gridloom.sources.scratch import discard, stored
 
-__all__ = ["WORD", "column_slices", "n_words", "numbered", "slices", "stored", "table"]
+__all__ = ["WORD", "column_slices", "discard", "n_words", "numbered", "slices", "stored", "table"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored
+from .common import discard, slices, stored
 
 SHINGLE, REGISTERS, MANTISSA, BANDS, ROWS = 5, 256, 10, 36, 7
 #: Standard errors that the register estimate may lie below the threshold.
@@ -189,14 +189,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     label, so labels travel twice as far each time.
     """
     both = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).distinct(), "edges")
-    label = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("root")), "labels")
+    label = old = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("root")), "labels")
     while True:
         near = both.join(label.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
         step = label.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("to"))
         on = label.select(F.col("node").alias("to"), F.col("root").alias("next"))
         done = stored(step.join(on, "to").select("node", "was", F.least("to", "next").alias("root")), "labels")
-        label = done.select("node", "root")
+        discard(old)
+        label, old = done.select("node", "root"), done
         if done.filter(F.col("was") != F.col("root")).isEmpty():
+            discard(both)
             return label
 
 
@@ -223,9 +225,11 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     bands = stored(classes.select("node", F.explode("bands").alias("band")), "bands")
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     crowd = stored(bands.join(sizes, "band"), "crowd")
+    discard(bands)
     central = crowd.groupBy("node").agg(F.sum("size").alias("weight"))
     ranked = stored(crowd.join(central, "node").select("band", "node", "weight"), "ranked")
     hubs = ranked.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub")).select("band", F.col("hub.node").alias("b"))
+    discard(crowd)
     starred = stored(ranked.join(hubs, "band").select("band", F.col("node").alias("a"), "b"), "starred")
     pairs = starred.filter("a != b").select("a", "b").distinct()
 
@@ -240,16 +244,22 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     words = docs.withColumn("key", key).join(seen.select("key"), "key").select("text")
     sets = stored(full_sets(words).dropDuplicates(["node"]), "sets")
     links = stored(_confirmed(hopeful, sets, percent), "links")
+    discard(ranked, seen)
 
     # bands whose members are in different components yet
     root = components(links)
     placed = starred.join(root.withColumnRenamed("node", "a"), "a", "left").select("band", "a", F.coalesce("root", "a").alias("root"))
     torn = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
     rest = placed.join(torn, "band", "left_semi").select(F.col("a").alias("node"), "root").distinct()
-    more = _by_prefix(stored(sets.join(rest, "node"), "rest"), percent)
-    links = stored(links.union(_confirmed(more, sets, percent)), "links")
+    rest = stored(sets.join(rest, "node"), "rest")
+    discard(starred)
+    first, more = links, stored(_by_prefix(rest, percent), "more")
+    discard(rest)
+    links = stored(first.union(_confirmed(more, sets, percent)), "links")
+    discard(first, more, sets)
 
     root = components(links)
+    discard(links)
     classes = sketch.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     least = classes.join(root, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     lows = least.groupBy("root").agg(F.min("first").alias("component"))
@@ -270,14 +280,15 @@ def _by_prefix(rest: DataFrame, percent: int) -> DataFrame:
     at = F.col("n") - F.col("own") + F.col("i")
     front = own.withColumn("own", F.size("seen")).filter(take > 0).select("node", "n", "root", "own", F.posexplode(F.slice("seen", F.lit(1), take)).alias("i", "x"))
     front = front.select("node", "n", "root", at.alias("at"), F.col("x.gram").alias("gram"))
-    front = stored(front, "front")
+    whole = stored(front, "front")
     # under each shingle those outside its commonest root meet all the others, so a
     # large component makes no pairs within itself; sets of too different sizes don't meet, as
     # the ratio of sizes is at least percent for sets of neighbouring cells only
-    roots = front.groupBy("gram", "root").agg(F.count("*").alias("size")).groupBy("gram").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
+    roots = whole.groupBy("gram", "root").agg(F.count("*").alias("size")).groupBy("gram").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
     roots = stored(roots.filter("roots > 1").select("gram", F.col("main.root").alias("main")), "roots")
     cell = F.floor(F.log(F.col("n")) / math.log(100 / percent)) if percent < 100 else F.col("n")
-    front = stored(front.join(roots, "gram").withColumn("cell", cell), "front")
+    front = stored(whole.join(roots, "gram").withColumn("cell", cell), "front")
+    discard(whole, roots)
     near = F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)]))
     other = front.select("gram", near.alias("cell"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("bt"))
     # the first shingle that a pair shares leaves at least the needed number in both
