@@ -10,7 +10,8 @@ unseen words share the n-grams of known ones.
 
 As the means are linear, a trained model gives each n-gram one number, and scoring
 adds numbers. Only a bounded sample of labelled rows (SAMPLE rows of each label and BYTES of their
-texts, the first in hash order) is brought to the driver to fit; scoring covers every row.
+texts, the first in hash order) is brought to one task to fit, and the model, of fixed size, to the
+driver; scoring covers every row.
 
 Edge cases: null and empty texts get the score of a document whose mean is zero; rows without labels are scored like others;
 without labelled rows of both kinds every score is 0; labels that are neither 0 nor 1 are not learned.
@@ -193,11 +194,19 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", id: str
     """Fit on a bounded sample of labelled rows; see SAMPLE and BYTES."""
     known = sample(labelled.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label")), "label", "id", rows)
     upto = W.partitionBy("label").orderBy(F.xxhash64("id"), "id", "text").rowsBetween(W.unboundedPreceding, W.currentRow)  # over rows at most
-    got = known.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).filter(F.col("upto") <= size).orderBy("id", "label", "text").select("text", "label").toPandas()
-    y = got["label"].to_numpy()
-    if len(set(y.tolist())) < 2:
-        return Model(np.zeros(BUCKETS, dtype=np.float32), -np.inf)
-    return fit(got["text"].tolist(), y)
+    bounded = known.withColumn("upto", F.sum(F.octet_length("text")).over(upto)).filter(F.col("upto") <= size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            labels += batch.column("label").to_pylist()
+        if len(set(labels)) == 2:
+            model = fit(texts, np.array(labels))
+            yield pa.RecordBatch.from_arrays([pa.array([model.gram.tobytes()], pa.binary()), pa.array([model.bias])], ["gram", "bias"])
+
+    made = bounded.repartition(1).sortWithinPartitions("id", "label", "text").select("text", "label").mapInArrow(run, "gram binary, bias double").first()
+    return Model(np.frombuffer(made.gram, dtype=np.float32), made.bias) if made else Model(np.zeros(BUCKETS, dtype=np.float32), -np.inf)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -160,17 +160,18 @@ def test_held_out_rows_of_the_given_labels(spark):
 def test_what_a_fit_may_use(spark):
     rows = [(i, "fine words here " * (i + 1), 0) for i in range(20)] + [(100 + i, "bad words here", 1) for i in range(20)] + [(None, None, 1), (7, "x", 5)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    seen = []
-    for size in (10, 500, 1 << 20):
+    models = [toxicity.train(frame, size=size) for size in (10, 500, 1 << 20)]
+    assert models[0].bias == -np.inf and not models[0].gram.any()  # the shortest text of label 1 is longer
+    first = frame.filter("toxic < 2").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    for model, size in zip(models[1:], (500, 1 << 20), strict=True):
         used = []
-        fit = toxicity.fit
-        toxicity.fit = lambda texts, y: used.append((texts, y.tolist())) or fit(texts, y)
-        toxicity.train(frame, size=size)
-        toxicity.fit = fit
-        for texts, y in used:
-            assert all(sum(len(t) for t, z in zip(texts, y, strict=True) if z == k) <= size for k in (0, 1))
-        seen.append(sum(len(t) for t, _ in used))
-    assert seen[0] == 0 < seen[1] < seen[2] == 41
+        for label in (0, 1):
+            held = 0
+            for r in (r for r in first if r.toxic == label):
+                held += len(r.text or "")
+                used += [(r.doc_id is not None, r.doc_id or 0, label, r.text or "")] if held <= size else []
+        want = toxicity.fit([t for *_, t in sorted(used)], np.array([y for *_, y, _ in sorted(used)]))
+        assert model.bias == pytest.approx(want.bias) and np.allclose(model.gram, want.gram, atol=1e-4)
 
 
 # 3 fingerprints
