@@ -219,20 +219,21 @@ def delete_points_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_points(spark, path).select("measurement", "entity_id", "version", _plain("time").alias("time"), "value", "day")
 
 
-#: The meters of the incremental run; the last is their grid meter.
-RUN = ("m0", "m1", "g0")
-
-
 def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs up to DAY and again up to TODAY, for the first meters: what is in their table then."""
+    """All jobs up to DAY and again up to TODAY, for all meters and the mean power of each hour: what is in their table then.
+
+    A job's meters are named in its configuration, so their names, and only these, come to the driver.
+    """
     given, made = new_path(spark, "raw"), new_path(spark, "made")
-    raw = counters(spark, sf_dir).select("entity_id", "time", "value").union(grid_power(spark, sf_dir)).filter(F.col("entity_id").isin(*RUN))
+    views = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("event_type") == "view")
+    power = views.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time")).agg(((F.avg("value") - 50) * 100).alias("value"))
+    raw = counters(spark, sf_dir, faults=False).select("entity_id", "time", "value").union(power.select(F.lit("grid"), "time", "value"))
     write_points(points(raw, measurement="raw"), given)
-    *pumps, _ = RUN
+    pumps = sorted(r.entity_id for r in event_points(spark, sf_dir).select("entity_id").distinct().collect())
     jobs = {
         "repair": {"version": "v1", "entities": pumps, "output_measurement": "clean"},
         "daily": {"version": "v1", "entities": pumps, "output_entity_id": "total", "output_measurement": "stat"},
-        "split": {"version": "v1", "entities": list(RUN), "output_entity_id": "total", "output_measurement": "stat"},
+        "split": {"version": "v1", "entities": [*pumps, "grid"], "output_entity_id": "total", "output_measurement": "stat"},
     }
     for day in (DAY, TODAY):
         run_pipeline(spark, {"input": given, "output": made, "jobs": jobs}, day, "quarantine")
@@ -375,7 +376,12 @@ repaired AS (
     FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, time ORDER BY day DESC, seq DESC) AS nth FROM written) WHERE nth = 1)"""
 
 
-def _split_sql(pumps: str) -> str:
+_VIEWS = """SELECT grid, CAST(ts + INTERVAL 1 HOUR AS DATE) AS day, ts AS start, (value - 50) * 100 AS w,
+               lead(ts) OVER (PARTITION BY grid, CAST(ts + INTERVAL 1 HOUR AS DATE) ORDER BY ts, value) AS stop
+        FROM (SELECT user_id // 150 AS grid, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)"""
+
+
+def _split_sql(pumps: str, power: str = _VIEWS, grid: str = "CAST(substr(u.entity_id, 2) AS INT) // 10") -> str:
     return f"""used AS (
     SELECT * FROM (
         SELECT entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) AS day, time AS start, value,
@@ -383,13 +389,11 @@ def _split_sql(pumps: str) -> str:
         FROM {pumps} WINDOW w AS (PARTITION BY entity_id, CAST(time + INTERVAL 1 HOUR AS DATE) ORDER BY time, value NULLS FIRST)) WHERE stop IS NOT NULL),
 power AS (
     SELECT * FROM (
-        SELECT grid, CAST(ts + INTERVAL 1 HOUR AS DATE) AS day, ts AS start, (value - 50) * 100 AS w,
-               lead(ts) OVER (PARTITION BY grid, CAST(ts + INTERVAL 1 HOUR AS DATE) ORDER BY ts, value) AS stop
-        FROM (SELECT user_id // 150 AS grid, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)) WHERE stop > start),
+        {power}) WHERE stop > start),
 sums AS (
     SELECT u.entity_id, u.start, u.stop, sum(CASE WHEN w >= 0 THEN w * (epoch_us(p.stop) - epoch_us(p.start)) / 3.6e12 ELSE 0 END) AS energy,
            sum((epoch_us(p.stop) - epoch_us(p.start)) / 3.6e9) AS hours
-    FROM used u JOIN power p ON CAST(substr(u.entity_id, 2) AS INT) // 10 = p.grid AND u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL),
+    FROM used u JOIN power p ON {grid} = p.grid AND u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL),
 imported AS (
     SELECT u.*, u.next_value - u.value AS diff, CASE WHEN s.hours > 0 THEN energy * ((epoch_us(u.stop) - epoch_us(u.start)) / 3.6e9) / s.hours ELSE 0 END AS import_kwh
     FROM used u LEFT JOIN sums s USING (entity_id, start, stop)),
@@ -410,11 +414,20 @@ _BATCHES = """batches AS (
            date_trunc('minute', ts) AS time, value, CAST(date_trunc('minute', ts) + INTERVAL 1 HOUR AS DATE) AS day, event_id
     FROM events),
 kept AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY event_id % 2 DESC, event_id DESC) = 1)"""
-# days from the first (in UTC) of the raw points to the one before the last run; a day with a reject has no sums and no shares
-_RUN_SQL = f"""WITH given AS (SELECT min(time) AS lo FROM (SELECT time FROM counters_of UNION ALL SELECT ts FROM events WHERE event_type = 'view' AND user_id < 150)),
-spine AS (SELECT entity_id, CAST(d AS DATE) AS day FROM (VALUES ('m0'), ('m1')) AS m(entity_id), given, generate_series(date_trunc('day', lo), TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d)),
-{_RESETS.replace("FROM counters)", "FROM counters_of)")}, {_REPAIR}, {_split_sql("repaired")},
-tops AS (SELECT CAST(time + INTERVAL 1 HOUR AS DATE) AS day, entity_id, max(value) AS top FROM repaired WHERE time + INTERVAL 1 HOUR < CAST(time + INTERVAL 1 HOUR AS DATE) + INTERVAL '23:59:59.999999' GROUP BY ALL),
+_EVEN = (
+    _COUNTERS.replace("CASE WHEN (meter + dayofyear(day)) % 17 = 0 THEN day - 1 ELSE day END", "day")
+    .replace("CASE WHEN event_id % 997 <> 0 THEN", "").replace(" - CASE WHEN event_id % 211 = 0 THEN 0.4 ELSE 0 END END", "")
+)
+_EVEN = _EVEN[: _EVEN.index("    WHERE NOT (today")].rstrip() + ")"
+# days from the first (in UTC) of the points to the one before the last run; a day with a reject has no sums and no shares
+_RUN_SQL = f"""WITH {_EVEN},
+spine AS (
+    SELECT entity_id, CAST(d AS DATE) AS day FROM (SELECT DISTINCT 'm' || (user_id // 15) AS entity_id FROM events),
+           generate_series((SELECT date_trunc('day', least(min(ts), min(date_trunc('hour', ts)) FILTER (WHERE event_type = 'view'))) FROM events), TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d)),
+{_RESETS}, {_REPAIR},
+hours AS (SELECT date_trunc('hour', ts) AS start, (avg(value) - 50) * 100 AS w FROM events WHERE event_type = 'view' GROUP BY ALL),
+{_split_sql("repaired", "SELECT 0 AS grid, CAST(start + INTERVAL 1 HOUR AS DATE) AS day, start, w, lead(start) OVER (PARTITION BY CAST(start + INTERVAL 1 HOUR AS DATE) ORDER BY start) AS stop FROM hours", "0")},
+tops AS (SELECT CAST(time + INTERVAL 1 HOUR AS DATE) AS day, entity_id, max(value) AS top FROM repaired GROUP BY ALL),
 whole AS (SELECT day FROM spine LEFT JOIN tops USING (entity_id, day) GROUP BY day HAVING count(top) = count(*)),
 sums_of AS (SELECT day, CASE WHEN grouping(entity_id) = 1 THEN 'total' ELSE entity_id END AS entity_id, sum(top) AS value FROM tops SEMI JOIN whole USING (day) GROUP BY GROUPING SETS ((day, entity_id), (day))),
 failed AS (SELECT DISTINCT day FROM imported ANTI JOIN shares USING (entity_id, start, stop)),
@@ -431,7 +444,6 @@ made AS (
     UNION ALL SELECT 'stat', entity_id, 'daily_pv', day + INTERVAL '22:59:59.999999', pv FROM totals
     UNION ALL SELECT 'stat', entity_id, 'daily_grid_import', day + INTERVAL '22:59:59.999999', bought FROM totals)
 SELECT measurement, entity_id, field, time, round(value, 6) AS value FROM made"""
-_RUN_SQL = _RUN_SQL.replace("WITH given AS", f"WITH {_COUNTERS}, counters_of AS (SELECT * FROM counters WHERE entity_id IN ('m0', 'm1')), given AS")
 
 
 def oracle_sql() -> dict[str, str]:
