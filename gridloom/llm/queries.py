@@ -9,10 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mincut, mixing, neardup, oracles, quality, quotes, secrets, substrings, syncmers, toxicity
+from gridloom.sources.scratch import new_path
+
+from . import bpe, idfiles, mincut, mixing, neardup, oracles, quality, quotes, secrets, substrings, syncmers, toxicity, wordtokens
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE, END = public_tokenizers.path("word_bpe_49k.json"), 1
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +108,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, written to files in the order of documents and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = wordtokens.tokenized(docs, WORD_BPE, out="packed", end=END, form=idfiles.packed, kind="binary")
+    path = new_path(spark, "token-files")
+    idfiles.write(ids, path)
+    return idfiles.read(spark, path, docs.schema["doc_id"].dataType.simpleString(), with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -117,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_quality_rules": op9_quality_rules,
         "op10_byte_bpe": op10_byte_bpe,
+        "op13_token_files": op13_token_files,
     }
 
 
