@@ -87,3 +87,29 @@ FROM stepped x LEFT JOIN chosen c ON x.lang IS NOT DISTINCT FROM c.lang"""
 QUOTES = """
 SELECT conv_id, turn, lag(turn) OVER w AS parent_turn, first_value(turn) OVER w AS root_turn, row_number() OVER w - 1 AS depth, sha256(text) AS text_sha256
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)"""
+
+
+def _clusters(rounds: int = 10, k: int = 8) -> str:
+    """A step of assigning and a step of averaging for each round."""
+    distance = "CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(x, c)]) AS BIGINT)"
+    steps = [
+        f"""kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT) FOR v IN embedding] AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len([v FOR v IN embedding IF v IS NOT NULL AND isfinite(v)]) = 64),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x AS c
+    FROM (SELECT *, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept ORDER BY h, x LIMIT {k}))"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, arg_min(k, (d, k)) AS k, min(d) AS d FROM (SELECT r, k, {distance} AS d FROM kept CROSS JOIN c{i}) GROUP BY r)")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+    FROM (SELECT k, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM (SELECT k, unnest(x) AS v, unnest(range(64)) AS i FROM a{i} JOIN kept USING (r)) GROUP BY k, i) GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m.c, o.c) AS c FROM c{i} o LEFT JOIN m{i} m USING (k))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(k AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} USING (k)"""
+
+
+CLUSTERS = _clusters()

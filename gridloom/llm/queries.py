@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.sources.scratch import new_path
 
-from . import bpe, idfiles, mincut, mixing, neardup, oracles, quality, quotes, secrets, substrings, syncmers, toxicity, wordtokens
+from . import bpe, exponion, idfiles, mincut, mixing, neardup, oracles, quality, quotes, secrets, substrings, syncmers, toxicity, whitening, wordtokens
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -108,6 +108,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds."""
+    found, centroids = exponion.clustered(table(spark, sf_dir, "embeddings"))
+    if not len(centroids):
+        return found.withColumn("centroid_sha256", F.lit(""))
+    digests = F.create_map(*[F.lit(v) for c, x in enumerate(centroids) for v in (c, exponion.centroid_digest(x))])
+    return found.withColumn("centroid_sha256", digests[F.col("cluster")])
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every vector."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, written to files in the order of documents and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -129,10 +143,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_quality_rules": op9_quality_rules,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_whitening": op12_whitening,
         "op13_token_files": op13_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can say; tests/llm compares all with brute force."""
-    return {"op1_mix_sources": oracles.MIX, "op6_near_duplicates": oracles.NEAR, "op7_quotation_links": oracles.QUOTES, "op9_quality_rules": oracles.QUALITY}
+    return {"op1_mix_sources": oracles.MIX, "op6_near_duplicates": oracles.NEAR, "op7_quotation_links": oracles.QUOTES, "op9_quality_rules": oracles.QUALITY, "op11_centroid_clusters": oracles.CLUSTERS}

@@ -39,13 +39,18 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").write.parquet(str(path / "conversations.parquet"))
     pages = [(0, "u", "<article><h1>A &amp; B</h1><p>Some long text that ends well.<p>More\n text<br>here.</article><nav>Menu</nav>"), (1, "v", None), (2, None, ""), (3, "w", "<p>unclosed <b>bold"), (4, "x", "<script>x<y</script><footer>&copy; me</footer>")]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(path / "pages.parquet"))
+    near = [[rng.gauss(0, 0.1) + (c % 5) * 0.2 for _ in range(64)] for c in range(120)]
+    odd = [None, [], near[0][:63], [*near[0], 0.5], [float("nan"), *near[1][1:]], [*near[1][:-1], float("inf")], [None, *near[1][1:]]]
+    vectors = [(i, v, 1, b"x", 0.5, 7) for i, v in enumerate([*near, near[3], near[3], near[4], [0.0] * 64, *odd])]
+    vectors += [(5, near[6], 1, b"x", 0.5, 7), (5, near[7], 1, b"x", 0.5, 7), (None, near[8], 1, b"x", 0.5, 7), (None, near[8], 1, b"x", 0.5, 7)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, cluster int, x binary, upper double, _id long").repartition(3).write.parquet(str(path / "embeddings.parquet"))
     return str(path), texts, {i: r for i, r in enumerate(rows)}
 
 
 @pytest.fixture(scope="session")
 def empty(spark, folder, tmp_path_factory):
     path = tmp_path_factory.mktemp("none")
-    for name in ("documents", "labels", "conversations", "pages"):
+    for name in ("documents", "labels", "conversations", "pages", "embeddings"):
         spark.read.parquet(f"{folder[0]}/{name}.parquet").filter("false").write.parquet(str(path / f"{name}.parquet"))
     return str(path)
 
