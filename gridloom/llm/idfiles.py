@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import rans
-from .common import stored
+from .common import column_slices, stored
 
 #: Ids of a record and of a file, about, and files whose ids are summed in one group.
 PART, FILE, GROUP = 1 << 22, 1 << 24, 256
@@ -129,10 +129,11 @@ def _counts(rows: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for data in batch.column("packed"):
-                more = np.bincount(unpack(data.as_py()))
-                if len(more) > 1 << rans.SCALE:
+            for a, b in column_slices(batch.column("packed"), PART):
+                ids = np.concatenate([unpack(data.as_py()) for data in batch.column("packed").slice(a, b - a)])
+                if len(ids) and ids.max() >= 1 << rans.SCALE:
                     raise ValueError(f"ids must lie below {1 << rans.SCALE}")
+                more = np.bincount(ids)
                 if len(more) > len(total):
                     total = np.concatenate([total, np.zeros(len(more) - len(total), dtype=np.int64)])
                 total[: len(more)] += more

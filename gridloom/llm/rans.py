@@ -19,7 +19,7 @@ import numpy as np
 SCALE, BLOCK, CHECK, LANES = 20, 1 << 16, 1 << 14, 32
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
-_BITS = np.uint64(SCALE)
+_BITS, _SUM = np.uint64(SCALE), np.uint64(1 << SCALE)
 _MASK = np.uint64((1 << SCALE) - 1)
 #: A state of at least a frequency times this gives a word away first.
 _ROOM = np.uint64(63 - SCALE)
@@ -91,16 +91,20 @@ def encode(ids: np.ndarray, table: Table) -> Coded:
     out, given = np.zeros((steps, blocks, LANES), dtype=np.uint32), np.zeros((steps, blocks, LANES), dtype=bool)
     kept = np.full((blocks, BLOCK // CHECK, LANES), _LOW, dtype=np.uint64)
     state = np.full((blocks, LANES), _LOW, dtype=np.uint64)
+    every, some = live.all(axis=(0, 2)), live.any(axis=(0, 2))
     for t in range(steps - 1, -1, -1):
-        on, symbol = live[:, t], grid[:, t]
-        if on.any():
-            share = np.where(on, table.frequency[symbol], np.uint64(1))
-            full = on & (state >= share << _ROOM)
-            out[t], given[t] = state.astype(np.uint32), full
-            state = np.where(full, state >> _WORD, state)
-            whole = state // share
-            coded = (whole << _BITS) + (state - whole * share) + table.first[symbol]
-            state = np.where(on, coded, state)
+        if some[t]:
+            on, symbol = live[:, t], grid[:, t]
+            share = table.frequency[symbol]
+            full = state >= share << _ROOM
+            if not every[t]:
+                share, full = np.where(on, share, np.uint64(1)), full & on
+            out[t], given[t] = state, full
+            moved = np.where(full, state >> _WORD, state)
+            whole = moved // share
+            # whole << SCALE, the rest of the division, and the first slot
+            coded = whole * (_SUM - share) + moved + table.first[symbol]
+            state = coded if every[t] else np.where(on, coded, state)
         if t % (CHECK // LANES) == 0:
             kept[:, t // (CHECK // LANES)] = state
     given = given.transpose(1, 0, 2)

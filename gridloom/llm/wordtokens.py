@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .bpe import Memory
 from .common import column_slices
 
 #: Pieces, and words, remembered in one Python worker, and bytes of texts at a time.
-CACHE, PART = 600_000, 1 << 20
+CACHE, PART = 600_000, 1 << 22
 #: New words that are encoded in one string.
 JOINED = 2048
 
@@ -38,8 +38,8 @@ JOINED = 2048
 class Rules:
     """What of a tokenizer's splitting can be done before it.
 
-    apart: a string that ends every word and leaves nothing behind; plain: pieces that lower-case and split
-    as word does it; ending: what the last token of a word ends with in the vocabulary.
+    apart: a string that ends every word and leaves nothing behind; plain: pieces whose words are the matches of word in
+    their lower-case text, to the bytes of which the vocabulary applies; ending: what the last token of a word ends with.
     """
 
     apart: str = " "
@@ -53,6 +53,10 @@ class Words:
 
     def __init__(self, path: str, rules: Rules) -> None:
         self.tokenizer, self.rules = Tokenizer.from_file(path), rules
+        # for words that are found already: neither a normalizer nor a pattern
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(rules.apart, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(True)
         self.size = max(vocabulary.values()) + 1
         self.last = np.zeros(self.size, dtype=bool)
@@ -62,38 +66,50 @@ class Words:
         self.plain, self.word = re.compile(rules.plain), re.compile(f"{rules.word}|{re.escape(rules.apart)}")
         self.pieces, self.words = Memory(), Memory()
 
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _library(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), dtype=np.int64), np.array([len(i) for i in found], dtype=np.int64)
 
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one after the other, and how many each has."""
-        ids, _ = self._library([self.rules.apart.join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+        ids, _ = self._library(self.bare, [self.rules.apart.join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):  # a vocabulary without ends of words
-            return self._library(words)
+            return self._library(self.bare, words)
         return ids, np.diff(ends, prepend=0)
 
+    def _is_plain(self, text: str) -> bool:
+        return bool(self.plain.fullmatch(text)) and not (self.special and self.special.search(text))
+
+    @staticmethod
+    def _places(memory: Memory, keys: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """Where the keys are remembered; new ones are learned."""
+        at = memory.look(keys)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            lacking = [keys[i] for i in missing.tolist()]
+            learn(list(dict.fromkeys(lacking)))
+            at[missing] = memory.look(lacking)
+        return at
+
     def _learn(self, keys: list[str]) -> None:
-        is_plain = [bool(self.plain.fullmatch(k)) and not (self.special and self.special.search(k)) for k in keys]
-        odd = [k for k, p in zip(keys, is_plain, strict=True) if not p]
-        if odd:
-            self.pieces.add(odd, *self._library(odd))
-        plain = [k for k, p in zip(keys, is_plain, strict=True) if p]
-        if not plain:
-            return
-        apart = self.rules.apart
-        words = self.word.findall(apart.join(plain).lower())
-        at = self.words.look(words)
-        new = list(dict.fromkeys(words[i] for i in np.flatnonzero(at < 0)))
-        if apart in new:
-            new.remove(apart)
+        apart, plain = self.rules.apart, keys
+        joined = apart.join(keys)
+        if not self._is_plain(joined):
+            is_plain = [self._is_plain(k) for k in keys]
+            odd = [k for k, p in zip(keys, is_plain, strict=True) if not p]
+            self.pieces.add(odd, *self._library(self.tokenizer, odd))
+            plain = [k for k, p in zip(keys, is_plain, strict=True) if p]
+            if not plain:
+                return
+            joined = apart.join(plain)
+        if apart not in self.words.place:
             self.words.add([apart], np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
-        if new:
-            self.words.add(new, *self._joined(new))
-        at = self.words.look(words)
+        words = self.word.findall(joined.lower())
+        at = self._places(self.words, words, lambda new: self.words.add(new, *self._joined(new)))
         ids, ends = self.words.take(at)
-        between = ends[np.flatnonzero(at == self.words.place.get(apart, -1))]
+        between = ends[np.flatnonzero(at == self.words.place[apart])]
         self.pieces.add(plain, ids, np.diff(np.concatenate([[0], between, [len(ids)]])))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +118,7 @@ class Words:
             if len(memory.place) > CACHE:
                 memory.clear()
         parts = [t.split(self.rules.apart) for t in texts]
-        keys = list(chain.from_iterable(parts))
-        at = self.pieces.look(keys)
-        if (at < 0).any():
-            self._learn(list(dict.fromkeys(keys[i] for i in np.flatnonzero(at < 0))))
-            at = self.pieces.look(keys)
-        ids, ends = self.pieces.take(at)
+        ids, ends = self.pieces.take(self._places(self.pieces, list(chain.from_iterable(parts)), self._learn))
         return ids, ends[np.cumsum([0, *map(len, parts)])]
 
 
