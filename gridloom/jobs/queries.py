@@ -7,7 +7,7 @@ time as one hour ahead.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,9 @@ from gridloom.functions.localtime import hours_between, local_day
 from gridloom.functions.versions import version_rank
 from gridloom.jobs.pipeline import run_pipeline
 from gridloom.operators import daily, intervals, lookup, repair, split
-from gridloom.sources.events import PER_GRID, counters, event_points, grid_power
-from gridloom.sources.points import delete_points, last_write_wins, matching, points, read_points, select_points, whole_day, write_points
+from gridloom.sources.events import LOST, PER_GRID, counters, event_points, grid_power
+from gridloom.sources.ledger import read_ledger
+from gridloom.sources.points import compact, delete_points, delete_range, last_write_wins, matching, points, read_points, select_points, whole_day, write_points
 from gridloom.sources.scratch import new_path, stored
 
 #: Look-up days: the last one counted as done, and the day of the run.
@@ -195,13 +196,17 @@ def pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("day", "entity_id", *[F.round(c, 6).alias(c) for c in ("daily_sum", "daily_pv", "daily_grid_import")])
 
 
+def _batch(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """The events with even numbers, or the others, as points of whole minutes."""
+    minutes = event_points(spark, sf_dir).withColumns({"time": F.date_trunc("minute", "time"), "measurement": F.concat(F.lit("e:"), "measurement", F.lit("/x")), "version": F.when(F.col("measurement") == "click", "").otherwise("v1")})
+    return minutes.filter(F.col("event_id") % 2 == part).withColumns({"scenario": F.lit(""), "unit": F.lit("")})
+
+
 def _written(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A table of the events of even numbers, then of the others, each batch over what is there."""
     path = new_path(spark, name)
-    minutes = event_points(spark, sf_dir).withColumns({"time": F.date_trunc("minute", "time"), "measurement": F.concat(F.lit("e:"), "measurement", F.lit("/x")), "version": F.when(F.col("measurement") == "click", "").otherwise("v1")})
     for part in (0, 1):
-        batch = minutes.filter(F.col("event_id") % 2 == part)
-        write_points(batch.withColumns({"scenario": F.lit(""), "unit": F.lit("")}), path, [F.col("event_id")])
+        write_points(_batch(spark, sf_dir, part), path, [F.col("event_id")])
     return path
 
 
@@ -220,26 +225,57 @@ def delete_points_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs up to DAY and again up to TODAY, for all meters and the mean power of each hour: what is in their table then.
-
-    A job's meters are named in its configuration, so their names, and only these, come to the driver.
-    """
+    """All jobs up to DAY and again up to TODAY, for all meters and the mean power of each hour: what is in their table then."""
     given, made = new_path(spark, "raw"), new_path(spark, "made")
     views = spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("event_type") == "view")
     power = views.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("time")).agg(((F.avg("value") - 50) * 100).alias("value"))
     raw = counters(spark, sf_dir, faults=False).select("entity_id", "time", "value").union(power.select(F.lit("grid"), "time", "value"))
     write_points(points(raw, measurement="raw"), given)
-    pumps = sorted(r.entity_id for r in event_points(spark, sf_dir).select("entity_id").distinct().collect())
+    meters = new_path(spark, "meters")
+    event_points(spark, sf_dir).select("entity_id", F.lit("grid").alias("grid_entity")).distinct().write.parquet(meters)
     jobs = {
-        "repair": {"version": "v1", "entities": pumps, "output_measurement": "clean"},
-        "daily": {"version": "v1", "entities": pumps, "output_entity_id": "total", "output_measurement": "stat"},
-        "split": {"version": "v1", "entities": [*pumps, "grid"], "output_entity_id": "total", "output_measurement": "stat"},
+        "repair": {"version": "v1", "entities": {"table": meters}, "output_measurement": "clean"},
+        "daily": {"version": "v1", "entities": {"table": meters}, "output_entity_id": "total", "output_measurement": "stat"},
+        "split": {"version": "v1", "entities": {"table": meters}, "output_entity_id": "total", "output_measurement": "stat"},
     }
     for day in (DAY, TODAY):
         run_pipeline(spark, {"input": given, "output": made, "jobs": jobs}, day, "quarantine")
     return read_points(spark, made).select("measurement", "entity_id", "field", _plain("time").alias("time"), F.round("value", 6).alias("value"))
 
 
+def days_after_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of every day after a first repair, and after a second one for which the lost values have been
+    written over the points without one; again: whether the second one did the day."""
+    given, made, meters = new_path(spark, "raw"), new_path(spark, "made"), new_path(spark, "meters")
+    write_points(points(counters(spark, sf_dir).select("entity_id", "time", "value"), measurement="raw"), given)
+    event_points(spark, sf_dir).select("entity_id").distinct().write.parquet(meters)
+    config = {"input": given, "output": made, "jobs": {"repair": {"version": "v1", "entities": {"table": meters}, "output_measurement": "clean"}}}
+    run_pipeline(spark, config, TODAY, "quarantine")
+    first = stored(read_ledger(spark, made), "first")
+    found = counters(spark, sf_dir, lost=False).filter(F.col("event_id") % LOST == 0)
+    write_points(points(found.select("entity_id", "time", "value"), measurement="raw"), given)
+    run_pipeline(spark, config, TODAY, "quarantine")
+    met = first.alias("a").join(read_ledger(spark, made).alias("b"), ["entity_id", "day"])
+    return met.select("entity_id", "day", F.col("a.status").alias("before"), F.col("b.status").alias("after"), (F.col("b.run") > F.col("a.run")).alias("again"))
+
+
+def delete_ranges_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of points; ranges deleted between them and after them, some days of a meter written once more. Read before and after the ranges are worked into the points."""
+    path = new_path(spark, "ranges")
+    first, second = (_batch(spark, sf_dir, part) for part in (0, 1))
+    write_points(first, path, [F.col("event_id")])
+    delete_range(spark, path, datetime(2024, 1, 3), datetime(2024, 1, 9, 12), measurement="e:view/x")
+    write_points(second, path, [F.col("event_id")])
+    delete_range(spark, path, datetime(2024, 1, 12), datetime(2024, 1, 20, 7, 30), version="v1")
+    delete_range(spark, path, datetime(2024, 1, 18), datetime(2024, 1, 26), entity_id="m0")
+    again = first.filter((F.col("entity_id") == "m0") & (F.col("time") >= "2024-01-24"))
+    write_points(again, path, [F.col("event_id")])
+    read = lambda: read_points(spark, path).select("measurement", "entity_id", "version", _plain("time").alias("time"), "value", "day")
+    before = stored(read().withColumn("state", F.lit("ranges")), "before")
+    compact(spark, path)
+    return before.unionByName(read().withColumn("state", F.lit("compacted")))
+
+
 _QUERIES = [
     daily_sum_with_total,
     range_filter_points,
@@ -268,6 +304,8 @@ _QUERIES = [
     upsert_points,
     delete_points_roundtrip,
     incremental_run,
+    days_after_rejects,
+    delete_ranges_compacted,
 ]
 
 
@@ -446,6 +484,31 @@ made AS (
 SELECT measurement, entity_id, field, time, round(value, 6) AS value FROM made"""
 
 
+_ALL_VALUES = _COUNTERS.replace("CASE WHEN event_id % 997 <> 0 THEN", "").replace("THEN 0.4 ELSE 0 END END AS value", "THEN 0.4 ELSE 0 END AS value")
+# days from the first of the points to the one before the run
+_RUN_SPINE = """spine AS (
+    SELECT entity_id, CAST(d AS DATE) AS day FROM (SELECT DISTINCT 'm' || (user_id // 15) AS entity_id FROM events),
+           generate_series((SELECT date_trunc('day', min(time)) FROM counters), TIMESTAMP '2024-01-27', INTERVAL 1 DAY) AS g(d))"""
+
+
+def _statuses(counters: str) -> str:
+    return f"(WITH {counters}, {_RUN_SPINE}, {_RESETS}, {_REPAIR} SELECT entity_id, day, coalesce(status, 'done') AS status FROM spine LEFT JOIN rejects USING (entity_id, day))"
+
+
+_RANGES_SQL = f"""WITH {_BATCHES},
+    one AS (SELECT * FROM batches WHERE event_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY event_id DESC) = 1),
+    two AS (SELECT * FROM batches WHERE event_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY event_id DESC) = 1),
+    met AS (
+        SELECT *, 1 AS nth FROM one WHERE NOT (measurement = 'e:view/x' AND time >= '2024-01-03' AND time < '2024-01-09 12:00:00')
+        UNION ALL SELECT *, 2 FROM two),
+    both_ AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY nth DESC) = 1),
+    left_ AS (
+        SELECT *, 1 AS again FROM both_ WHERE NOT (version = 'v1' AND time >= '2024-01-12' AND time < '2024-01-20 07:30:00') AND NOT (entity_id = 'm0' AND time >= '2024-01-18' AND time < '2024-01-26')
+        UNION ALL SELECT *, 1, 2 FROM one WHERE entity_id = 'm0' AND time >= '2024-01-24'),
+    kept_ AS (SELECT measurement, entity_id, version, time, value, day FROM left_ QUALIFY row_number() OVER (PARTITION BY measurement, entity_id, version, time ORDER BY again DESC) = 1)
+    SELECT *, unnest(['ranges', 'compacted']) AS state FROM kept_"""
+
+
 def oracle_sql() -> dict[str, str]:
     bought = f"WITH {_POINTS}, {_SPINE} SELECT entity_id, day FROM spine ANTI JOIN (SELECT entity_id, day FROM points WHERE measurement = 'purchase' AND value > 120) USING (entity_id, day)"
     repaired = f"WITH {_SPINE}, {_COUNTERS}, {_RESETS}, {_REPAIR}"
@@ -504,4 +567,7 @@ def oracle_sql() -> dict[str, str]:
         "delete_points_roundtrip": f"""WITH {_BATCHES} SELECT measurement, entity_id, version, time, value, day FROM kept
             WHERE NOT (measurement = 'e:click/x' AND version = '') AND NOT (measurement = 'e:error/x' AND time >= '2024-01-05' AND time < '2024-01-25')""",
         "incremental_run": f"{_RUN_SQL}",
+        "days_after_rejects": f"""SELECT a.entity_id, a.day, a.status AS before, CASE WHEN a.status = 'done' THEN 'done' ELSE b.status END AS after, a.status <> 'done' AS again
+            FROM {_statuses(_COUNTERS)} a JOIN {_statuses(_ALL_VALUES)} b USING (entity_id, day)""",
+        "delete_ranges_compacted": _RANGES_SQL,
     }

@@ -171,11 +171,24 @@ def repair(points: DataFrame, spine: DataFrame, zone: str = ZONE, tolerance: flo
     replaces an earlier one. rejects: (entity_id, day, status), of which nothing is written.
     hold: may store the rows that both are made of, so that they are computed once.
     """
-    rows = hold(clamp(retime(place_resets(detect_resets(windows(points, spine, zone)))), tolerance))
+    rows = clamp(retime(place_resets(detect_resets(windows(points, spine, zone)))), tolerance)
+    rows = hold(rows.withColumn("_opens", F.col("idx") == F.min("idx").over(_group()))).drop("_opens")
     bad = rows.filter("status is not null").groupBy("entity_id", "day").agg(F.first("status").alias("status"))
     return anchor(rows.filter("status is null")), bad
 
 
+def opens_group() -> Column:
+    """The first of the rows of each day."""
+    return F.col("_opens")
+
+
+def fingerprints(points: DataFrame, zone: str = ZONE) -> DataFrame:
+    """(entity_id, day, fingerprint) of what each day's read window holds, in any order; days without points are left out."""
+    rows = assign_days(points, zone).groupBy("entity_id", "day")
+    # halves of hashes, so that sums of 2^31 of them stay in range
+    return rows.agg(F.xxhash64(F.count("*"), F.sum(F.shiftright(F.xxhash64(micros(F.col("time")), "value"), 32)), F.sum(F.shiftright(F.xxhash64("value", micros(F.col("time"))), 32))).alias("fingerprint"))
+
+
 def stored_points(written: DataFrame) -> DataFrame:
     """Of the written points with equal entity and time the last one."""
     last = W.partitionBy("entity_id", "time").orderBy(F.col("day").desc(), F.col("seq").desc())

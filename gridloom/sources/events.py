@@ -45,13 +45,13 @@ def _shift(day: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, SHIFTS)), ((F.col("meter") + F.dayofyear(day)) % len(SHIFTS) + 1).cast("int"))
 
 
-def counters(spark: SparkSession, sf_dir: str, zone: str = ZONE, faults: bool = True) -> DataFrame:
+def counters(spark: SparkSession, sf_dir: str, zone: str = ZONE, faults: bool = True, lost: bool = True) -> DataFrame:
     """(entity_id, time, value, event_id): for each meter a counter of its events that starts anew each day, early, late or not at all.
 
     A day's counter starts at local midnight less the day's shift. Days with NO_RESET go on counting. Points
     are missing around SILENT days with their evenings before and nights after, in evenings (from 20:00) before
     NO_EVENING days, to 2:00 of NO_NIGHT days too, from 20:00 to the reset before FROM_RESET days, and from midnight
-    to 4:00 of the day after NO_DAY days. Without faults, days only start early or late. Hundredths are added as whole numbers, so the order of summing does not show.
+    to 4:00 of the day after NO_DAY days. Without faults, days only start early or late; without lost, every point has its value. Hundredths are added as whole numbers, so the order of summing does not show.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("time"), _meter().alias("meter"), F.round(F.col("value") * 100).cast("long").alias("cents"))
     rows = events.withColumn("local", to_local(F.col("time"), zone)).withColumns({"date": F.to_date("local"), "hour": F.hour("local")})
@@ -66,7 +66,7 @@ def counters(spark: SparkSession, sf_dir: str, zone: str = ZONE, faults: bool =
     if not faults:
         return rows.select(F.concat(F.lit("m"), F.col("meter")).alias("entity_id"), "time", value.alias("value"), "event_id")
     value = value - F.when(F.col("event_id") % FAULTS == 0, TOO_LOW).otherwise(0.0)
-    rows = rows.withColumn("value", F.when(F.col("event_id") % LOST != 0, value))
+    rows = rows.withColumn("value", F.when(F.col("event_id") % LOST != 0, value) if lost else value)
     today, tomorrow, yesterday, evening = _plan(F.col("date")), _plan(F.col("next")), _plan(F.col("prev")), F.col("hour") >= 20
     away = (
         (today == SILENT)

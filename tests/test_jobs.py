@@ -184,18 +184,18 @@ def test_bad_days(spark, tmp_path):
         run_pipeline(spark, config, date(2024, 1, 16))
     assert not (tmp_path / "out").exists()
     assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
-    bad = sorted(map(tuple, read_rejects(spark, config["output"] + "_rejects").collect()))
+    bad = sorted(map(tuple, read_rejects(spark, config["output"]).collect()))
     assert ("p", "no_first_reset", "repair", date(2024, 1, 15)) in bad
     assert store.read_points(spark, config["output"]).filter("entity_id = 'q'").count() > 0
     # the same days once more: what is rejected still is there once, what is good now is gone
     hit = store.matching(F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp"))
     store.delete_points(spark, config["output"], hit)
     assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
-    assert sorted(map(tuple, read_rejects(spark, config["output"] + "_rejects").collect())) == bad
+    assert sorted(map(tuple, read_rejects(spark, config["output"]).collect())) == bad
     store.write_points(raw(spark, [("p", t, 0.0)]), config["input"])
     store.delete_points(spark, config["output"], hit)
     assert run_pipeline(spark, config, date(2024, 1, 16), "quarantine") == ["repair"]
-    assert not [r for r in read_rejects(spark, config["output"] + "_rejects").collect() if r.day == date(2024, 1, 15)]
+    assert not [r for r in read_rejects(spark, config["output"]).collect() if r.day == date(2024, 1, 15)]
 
 
 def test_jobs_that_cannot_be_done(spark, tmp_path):
