@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.localtime import ZONE, day_start, next_day_start
 from gridloom.operators import daily, lookup, repair, split
 from gridloom.sources import ledger
-from gridloom.sources.days import within_days
+from gridloom.sources.days import day_list, within
 from gridloom.sources.points import exists, merged_points, read_points, read_versions, select_points, valid_entities
 from gridloom.sources.scratch import stored
 from gridloom.sources.swap import replace_together
@@ -56,6 +56,8 @@ class Work:
     days: DataFrame
     rejects: DataFrame
     order: tuple[str, ...] = ("value",)
+    #: The runs of days, see day_list.
+    runs: Sequence[tuple[date, date]] = ()
     refused: Mapping[str, int] | None = None
     fingerprints: DataFrame | None = None
 
@@ -183,12 +185,6 @@ def bounds(df: DataFrame, lo: date, hi: date, before: int = 0, after: int = 0, z
     return df.filter(F.col("day").between(lo - around(before), hi + around(after)) & (F.col("time") >= start) & (F.col("time") < stop))
 
 
-def around_days(df: DataFrame, days: DataFrame, before: int = 0, after: int = 0) -> DataFrame | None:
-    """Points of the partitions of the days and so many partitions around; files of other days are not opened. None without days."""
-    near = within_days(days, F.col("day"), before, after)
-    return None if near is None else df.filter(near)
-
-
 def _observed(rows: DataFrame, counted: Column, name: str) -> tuple[DataFrame, Mapping[str, int]]:
     """rows stored, and of those that are counted how many have each status."""
     seen = Observation()
@@ -201,15 +197,15 @@ def _observed(rows: DataFrame, counted: Column, name: str) -> tuple[DataFrame, M
 STATUSES = ("null_value", "no_first_reset", "no_anchor", "monotonicity", "negative_share", "no_data")
 
 
-def _cleaned(run: Run, days: DataFrame, entities: DataFrame) -> DataFrame:
+def _cleaned(run: Run, runs: Sequence[tuple[date, date]], entities: DataFrame) -> DataFrame:
     """Repaired counters of the days, of each entity at its own latest version. Versions come from the table beside the results."""
     job, have = run.job, run.results()
     named = read_versions(run.spark, run.output).filter(F.col("measurement") == job.cleaned_measurement).join(entities.select("entity_id").distinct(), "entity_id", "left_semi")
-    top = stored(lookup.latest_version(named, ["entity_id"]), "latest")
+    top = lookup.latest_version(named, ["entity_id"])
     versions = [r["version"] for r in top.select("version").distinct().limit(VERSIONS + 1).collect()]
     if have is None or not versions:
         raise ValueError(f"{job.kind}: there are no repaired counters")
-    found = around_days(select_points(have, measurement=job.cleaned_measurement), days)
+    found = select_points(have, measurement=job.cleaned_measurement).filter(within(runs, F.col("day")))
     if len(versions) <= VERSIONS:
         found = found.filter(F.col("version").isin(versions))
     return found.join(top, ["entity_id", "version"], "left_semi")
@@ -234,11 +230,11 @@ def repair_job(run: Run) -> Work | None:
     days = run.open_days(entities)
     if run.recheck:
         days = _late(run, entities, days)
-    # a read window reaches into the days beside its own
-    near = around_days(select_points(run.raw, entities=entities), days, 1, 1)
-    if near is None:
+    runs = day_list(days)
+    if not runs:
         return None
-    near = near.drop("day")
+    # a read window reaches into the days beside its own
+    near = select_points(run.raw, entities=entities).filter(within(runs, F.col("day"), 1, 1)).drop("day")
     counts: dict[str, int] = {}
 
     def hold(rows: DataFrame) -> DataFrame:
@@ -249,7 +245,7 @@ def repair_job(run: Run) -> Work | None:
     written, bad = repair.repair(near, days, run.zone, hold=hold)
     tags = {"measurement": job.output_measurement, "field": "value", "version": job.version, "scenario": "", "unit": "kWh"}
     points = written.select(*[F.lit(v).alias(k) for k, v in tags.items()], "entity_id", "time", "value", "day", "seq")
-    return Work(points, days, bad, ("day", "seq"), counts, repair.fingerprints(near, run.zone))
+    return Work(points, days, bad, ("day", "seq"), runs, counts, repair.fingerprints(near, run.zone))
 
 
 def _members(days: DataFrame, entities: DataFrame) -> DataFrame:
@@ -260,15 +256,16 @@ def _members(days: DataFrame, entities: DataFrame) -> DataFrame:
 def daily_job(run: Run) -> Work | None:
     job, entities = run.job, run.entities()
     days = run.open_days(run.spark.createDataFrame([(job.output_entity_id,)], "entity_id string"))
-    if days.isEmpty():
+    runs = day_list(days)
+    if not runs:
         return None
-    cleaned = _cleaned(run, days, entities)
+    cleaned = _cleaned(run, runs, entities)
     cleaned = cleaned.filter(daily.within_day(F.col("time"), run.zone))
     spine = _members(days, entities)
     bad = stored(daily.rejects(spine, cleaned, run.zone), "rejects")
     whole = days.join(F.broadcast(bad.select("day").distinct()), "day", "left_anti")
     sums = daily.daily_sums(cleaned, job.output_entity_id, run.zone).join(F.broadcast(whole.select("day")), "day", "left_semi")
-    return Work(daily.daily_points(sums, job.output_measurement, job.version, run.zone), spine.unionByName(days), _with_whole(bad, days))
+    return Work(daily.daily_points(sums, job.output_measurement, job.version, run.zone), spine.unionByName(days), _with_whole(bad, days), runs=runs)
 
 
 def _with_whole(bad: DataFrame, days: DataFrame) -> DataFrame:
@@ -281,7 +278,8 @@ def split_job(run: Run) -> Work | None:
     """The last entity is the grid meter, the others are the pumps; in a table, grid_entity tells each pump's meter."""
     job, entities = run.job, run.entities()
     days = run.open_days(run.spark.createDataFrame([(job.output_entity_id,)], "entity_id string"))
-    if days.isEmpty():
+    runs = day_list(days)
+    if not runs:
         return None
     if isinstance(job.entities, str):
         roles = entities.select(F.col("entity_id").alias("pump_entity"), "grid_entity", F.lit(job.output_entity_id).alias("output_entity"))
@@ -289,8 +287,8 @@ def split_job(run: Run) -> Work | None:
         *names, grid = job.entities
         roles = stored(run.spark.createDataFrame([(p, grid, job.output_entity_id) for p in names], "pump_entity string, grid_entity string, output_entity string"), "roles")
     pumps, meters = roles.select(F.col("pump_entity").alias("entity_id")), roles.select(F.col("grid_entity").alias("entity_id"))
-    cleaned = _cleaned(run, days, pumps)
-    power = around_days(select_points(run.raw, entities=meters), days)
+    cleaned = _cleaned(run, runs, pumps)
+    power = select_points(run.raw, entities=meters).filter(within(runs, F.col("day")))
     found = split.split_intervals(cleaned, power, roles, run.zone)
     found, counts = _observed(found.join(F.broadcast(days.select("day").distinct()), "day", "left_semi"), F.lit(True), "shares")
     bad = found.filter("status is not null").select("entity_id", "day", "status").distinct()
@@ -299,7 +297,7 @@ def split_job(run: Run) -> Work | None:
     every = _members(days, pumps)
     spine = every.join(held, "day", "left_anti").withColumn("output_entity", F.lit(job.output_entity_id))
     points = split.split_points(good, split.split_days(good, spine), job.output_measurement, job.version, run.zone)
-    return Work(points, every.unionByName(days), _with_whole(bad, days), refused=counts)
+    return Work(points, every.unionByName(days), _with_whole(bad, days), runs=runs, refused=counts)
 
 
 register("repair", repair_job, ["output_measurement"], [RAW], [CLEANED])
@@ -361,8 +359,8 @@ def run_pipeline(spark: SparkSession, config: Mapping[str, Any], as_of: date, on
                 raise ValueError(f"{job.kind}: {example.entity_id} on {example.day}: {example.status}; {dict(work.refused or {})}")
         order: list[Column] = [F.col(c) for c in work.order]
         entries = stored(_entries(work, job, number), "entries")
-        replace_together(spark, [*merged_points(work.points, output, order, zone), ledger.entered(spark, output, entries)])
+        replace_together(spark, [*merged_points(work.points, output, order, zone), ledger.entered(spark, output, job.kind, entries, work.runs or day_list(entries))])
         days = entries.select("day").distinct()
-        changed = stored(days if changed is None else changed.union(days).distinct(), "changed")
+        changed = days if changed is None else changed.union(days).distinct()
         ran.append(job.kind)
     return ran

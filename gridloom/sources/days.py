@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +21,16 @@ def day_ranges(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return runs.groupBy(*by, "_run").agg(F.min("day").alias("lo"), F.max("day").alias("hi")).drop("_run")
 
 
-def within_days(days: DataFrame, column: Column, before: int = 0, after: int = 0) -> Column | None:
-    """A filter with literals, so that files of other days are left alone: the column lies in a run of the
-    days, or so many days around; between their first and last if there are more than RANGES runs. None without days."""
+def day_list(days: DataFrame) -> list[tuple[date, date]]:
+    """The runs of the days as (first, last); one from the first to the last day if there are more than RANGES."""
     runs = day_ranges(days)
     found = runs.limit(RANGES + 1).collect()
     if len(found) > RANGES:
         found = runs.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
-    parts = [column.between(F.date_sub(F.lit(r["lo"]), before), F.date_add(F.lit(r["hi"]), after)) for r in found]
-    return reduce(lambda a, b: a | b, parts) if parts else None
+    return sorted((r["lo"], r["hi"]) for r in found)
+
+
+def within(runs: Sequence[tuple[date, date]], column: Column, before: int = 0, after: int = 0) -> Column:
+    """A filter with literals, so that files of other days are left alone: the column lies in one of the runs or so many days around."""
+    days = lambda n: timedelta(days=n)
+    return reduce(lambda a, b: a | b, [column.between(F.lit(lo - days(before)), F.lit(hi + days(after))) for lo, hi in runs], F.lit(False))

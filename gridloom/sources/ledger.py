@@ -7,10 +7,13 @@ by partitions of job and day, and days to do are found here, so no results are r
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.sources.days import within_days
+from gridloom.sources.days import day_list, within
 from gridloom.sources.swap import exists
 
 LEDGER = "entity_id string, status string, run long, measurement string, version string, fingerprint long, job string, day date"
@@ -37,13 +40,9 @@ def days_to_do(spine: DataFrame, ledger: DataFrame) -> DataFrame:
     return spine.join(done, ["entity_id", "day"], "left_anti")
 
 
-def entered(spark: SparkSession, output: str, rows: DataFrame) -> tuple[DataFrame, str, tuple[str, ...]]:
-    """The change of the ledger that rows, of one job, bring: they replace those of their entity and day."""
-    near = within_days(rows, F.col("day"))
-    kept = read_ledger(spark, output)
-    job = rows.select("job").distinct()
-    kept = kept.filter(near) if near is not None else kept.filter("false")
-    kept = kept.join(F.broadcast(job), "job", "left_semi").join(F.broadcast(rows.select("day").distinct()), "day", "left_semi")  # one row, and one for each day
+def entered(spark: SparkSession, output: str, job: str, rows: DataFrame, runs: Sequence[tuple[date, date]]) -> tuple[DataFrame, str, tuple[str, ...]]:
+    """The change of the ledger that rows of a job bring: they replace those of their entity and day. runs: their days, see day_list."""
+    kept = read_ledger(spark, output, job).filter(within(runs, F.col("day")))
     kept = kept.join(rows.select("entity_id", "day"), ["entity_id", "day"], "left_anti")
     return kept.select(*rows.columns).unionByName(rows), beside(output), PARTITIONS
 
@@ -54,9 +53,8 @@ def reopened(spark: SparkSession, output: str, touched: DataFrame) -> list[tuple
     if not exists(spark, beside(output)):
         return []
     around = touched.select("measurement", "version", F.explode(F.array(F.date_sub("day", 1), F.col("day"), F.date_add("day", 1))).alias("day")).distinct()
-    near = within_days(around, F.col("day"))
-    rows = read_ledger(spark, output)
-    rows, hit = (rows.filter(near) if near is not None else rows.filter("false")).alias("l"), F.broadcast(around).alias("t")  # a row for each day and version
+    rows = read_ledger(spark, output).filter(within(day_list(around), F.col("day"))).alias("l")
+    hit = F.broadcast(around).alias("t")  # a row for each day and version
     same = lambda c: F.col(f"t.{c}").isNull() | (F.col(f"t.{c}") == F.col(f"l.{c}"))
     on = (F.col("l.day") == F.col("t.day")) & same("measurement") & same("version")
     again = rows.join(hit, on, "left_semi").withColumn("status", F.lit(OPEN))

@@ -73,7 +73,8 @@ def select_points(
         if value:
             df = df.filter(F.col(name) == value)
     if isinstance(entities, DataFrame):
-        df = df.join(entities.select("entity_id").distinct(), "entity_id", "left_semi")
+        names = entities.select(F.col("entity_id").alias("_name")).distinct()
+        df = df.join(names, F.col("entity_id") == F.col("_name"), "left_semi")
     elif entities:
         df = df.filter(F.col("entity_id").isin(list(entities)))
     if start is not None:
@@ -173,7 +174,7 @@ def _new_versions(new: DataFrame, path: str) -> tuple[DataFrame, str, tuple[str,
     if not exists(spark, beside):
         return found, beside, ("measurement",)
     have = read_versions(spark, path)
-    more = stored(found.join(have, found.columns, "left_anti"), "versions")
+    more = found.join(have, found.columns, "left_anti")
     if more.isEmpty():
         return None
     kept = have.join(F.broadcast(more.select("measurement").distinct()), "measurement", "left_semi")  # a row for each measurement

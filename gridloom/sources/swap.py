@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,14 +35,12 @@ def folders(spark: SparkSession, top: str, depth: int) -> list[str]:
     return level
 
 
-def staged(df: DataFrame, path: str, by: Sequence[str]) -> str:
-    """df written beside a table, dealt out by its partitions; large partitions by several tasks."""
-    aside = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+def _stage(df: DataFrame, aside: str, by: Sequence[str]) -> None:
+    """Write df beside its table, dealt out by its partitions; large partitions by several tasks."""
     if by:
         df.hint("rebalance", *by).write.partitionBy(*by).parquet(aside)
     else:
         df.write.parquet(aside)
-    return aside
 
 
 def replace_together(spark: SparkSession, changes: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> None:
@@ -48,14 +48,14 @@ def replace_together(spark: SparkSession, changes: Sequence[tuple[DataFrame, str
 
     Either all tables are changed or, if anything fails, none.
     """
-    made: list[tuple[str, str, int]] = []
+    asides = [f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}" for _, path, _ in changes]
     try:
-        for df, path, by in changes:
-            made.append((staged(df, path, by), path.rstrip("/"), len(by)))
-        _swap(spark, made)
+        with ThreadPoolExecutor(len(changes)) as pool:  # Spark runs the jobs side by side
+            for job in [pool.submit(inheritable_thread_target(spark)(_stage), df, aside, by) for (df, _, by), aside in zip(changes, asides, strict=True)]:
+                job.result()
+        _swap(spark, [(aside, path.rstrip("/"), len(by)) for (_, path, by), aside in zip(changes, asides, strict=True)])
     finally:
-        for aside, _, _ in made:
-            _system(spark, aside).delete(_path(spark, aside), True)
+        _drop(spark, asides)
 
 
 def _swap(spark: SparkSession, made: Sequence[tuple[str, str, int]]) -> None:
@@ -75,9 +75,14 @@ def _swap(spark: SparkSession, made: Sequence[tuple[str, str, int]]) -> None:
                 if exists(spark, path + part):
                     move(path + part, gone + part)
                 move(aside + part, path + part)
-    except BaseException:
-        for a, b in reversed(done):
-            _system(spark, a).rename(_path(spark, b), _path(spark, a))
+    except BaseException as error:
+        if not all([_system(spark, a).rename(_path(spark, b), _path(spark, a)) for a, b in reversed(done)]):
+            raise OSError(f"not all folders could be renamed back; what was replaced lies in {', '.join(old)}") from error
+        _drop(spark, old)
         raise
-    for gone in old:
+    _drop(spark, old)
+
+
+def _drop(spark: SparkSession, paths: Sequence[str]) -> None:
+    for gone in paths:
         _system(spark, gone).delete(_path(spark, gone), True)
