@@ -124,6 +124,17 @@ def interval_overlap_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), F.round("import_kwh", 6).alias("import_kwh"))
 
 
+def overlapping_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many grid intervals each meter's interval meets on a day, and their hours."""
+    power = grid_power(spark, sf_dir).withColumn("day", local_day(F.col("time"))).withColumnRenamed("entity_id", "grid_entity")
+    grid = intervals.to_intervals(power, ["grid_entity", "day"]).select("grid_entity", "day", "start", "stop")
+    own = counters(spark, sf_dir).withColumn("day", local_day(F.col("time"))).join(_roles(spark, sf_dir).withColumnRenamed("pump_entity", "entity_id"), "entity_id")
+    used = intervals.to_intervals(own, ["entity_id", "grid_entity", "day"]).select("entity_id", "grid_entity", "day", "start", "stop")
+    met = intervals.overlaps(used, grid, ["grid_entity", "day"])
+    sums = met.groupBy("entity_id", "start", "stop").agg(F.count("*").alias("n"), F.sum(hours_between(F.col("r_start"), F.col("r_stop"))).alias("hours"))
+    return sums.select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), "n", F.round("hours", 6).alias("hours"))
+
+
 def split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals whose shares are below 0, as where a counter starts anew, or have no value."""
     return _split(spark, sf_dir).filter("status is not null").select("entity_id", _plain("start").alias("start"), _plain("stop").alias("stop"), "status")
@@ -290,6 +301,7 @@ _QUERIES = [
     delete_by_predicate,
     to_intervals,
     interval_overlap_import,
+    overlapping_intervals,
     split_rejects,
     pv_grid_interval,
     pv_grid_daily,
@@ -539,6 +551,8 @@ def oracle_sql() -> dict[str, str]:
         "to_intervals": f"""WITH {_POINTS} SELECT entity_id, day, start, stop, value, round((epoch_us(stop) - epoch_us(start)) / 3.6e9, 9) AS hours
             FROM (SELECT entity_id, day, time AS start, value, lead(time) OVER (PARTITION BY entity_id, day ORDER BY time, value) AS stop FROM points) WHERE stop IS NOT NULL""",
         "interval_overlap_import": f"{counted} SELECT entity_id, start, stop, round(import_kwh, 6) AS import_kwh FROM imported",
+        "overlapping_intervals": f"""{counted} SELECT u.entity_id, u.start, u.stop, count(*) AS n, round(sum((epoch_us(p.stop) - epoch_us(p.start)) / 3.6e9), 6) AS hours
+            FROM used u JOIN power p ON CAST(substr(u.entity_id, 2) AS INT) // 10 = p.grid AND u.day = p.day AND p.start < u.stop AND p.stop > u.start GROUP BY ALL""",
         "split_rejects": f"{counted} SELECT entity_id, start, stop, 'negative_share' AS status FROM imported ANTI JOIN shares USING (entity_id, start, stop)",
         "pv_grid_interval": f"""{counted} SELECT entity_id, stop AS time, 'pv_contribution' AS field, round(pv_contribution, 6) AS value FROM shares
             UNION ALL SELECT entity_id, stop, 'grid_import', round(grid_import, 6) FROM shares""",

@@ -105,6 +105,39 @@ def test_overlaps_make_each_pair_once(spark, width):
     assert intervals.overlaps(*frames, ["k"], width).count() == want
 
 
+@pytest.mark.parametrize("width", [60, 3600, 86400])
+def test_import_by_running_sums(spark, width):
+    """Against all pairs, with ties of ends, gaps, exports, powers that are no numbers, and intervals without any overlap."""
+    import math
+    import random
+
+    rng, t0 = random.Random(width), datetime(2024, 1, 1)
+    make = lambda n, more: [("k", t0 + timedelta(seconds=s), t0 + timedelta(seconds=s + rng.randrange(0, 40) * 60), *more()) for s in (rng.randrange(300) * 60 for _ in range(n))]
+    asked = list({x[1:]: x for x in make(80, tuple) if x[1] < x[2]}.values())
+    given = make(60, lambda: (rng.choice([-500.0, 0.0, 0.1, 333.3, 2000.0, None]),))
+    given += [("k", t0 + timedelta(hours=9), t0 + timedelta(hours=10), float("nan")), ("other", t0, t0 + timedelta(hours=9), 1e6)]
+    asked.append(("k", t0 + timedelta(hours=9, minutes=30), t0 + timedelta(hours=11)))
+    frames = spark.createDataFrame(asked, "k string, start timestamp, stop timestamp"), spark.createDataFrame(given, "k string, start timestamp, stop timestamp, value double")
+    got = {(r.start, r.stop): r.import_kwh for r in intervals.import_energy(*frames, ["k"], width).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "stop")}).collect()}
+    assert len(got) == len(asked)
+    for _, a, b in asked:
+        met = [((y - x).total_seconds(), p) for k, x, y, p in given if k == "k" and x < y and x < b and y > a]
+        energy, span = sum(s * p / 3.6e6 for s, p in met if p is not None and not p < 0), sum(s for s, _ in met)
+        want = energy * (b - a).total_seconds() / span if span else 0.0
+        assert got[a, b] == pytest.approx(want, abs=1e-12, nan_ok=True) and (got[a, b] == 0.0) == (want == 0.0) and math.isnan(got[a, b]) == math.isnan(want)
+
+
+def test_a_dense_hour_makes_no_pairs(spark):
+    """A second's interval on each side for an hour, shifted by half a second: 7,199 overlaps, and rows in proportion."""
+    seconds = spark.range(3600).select(F.lit("k").alias("k"), F.timestamp_micros(F.col("id") * 1_000_000).alias("start"), F.timestamp_micros(F.col("id") * 1_000_000 + 1_000_000).alias("stop"), (F.col("id") % 7 * 100.0).alias("value"))
+    half = seconds.withColumns({c: F.col(c) + F.expr("INTERVAL 0.5 SECOND") for c in ("start", "stop")}).drop("value")
+    found = intervals.import_energy(half, seconds, ["k"])
+    rows = {r["start"]: r["kwh"] for r in found.select(F.unix_micros("start").alias("start"), F.col("import_kwh").alias("kwh")).collect()}
+    mean = lambda i: (i % 7 + (i + 1) % 7) * 50.0 if i < 3599 else i % 7 * 100.0
+    assert len(rows) == 3600 and all(rows[i * 1_000_000 + 500_000] == pytest.approx(mean(i) / 3.6e6) for i in range(3600))
+    assert "CartesianProduct" not in found._jdf.queryExecution().toString() and "NestedLoop" not in found._jdf.queryExecution().toString()
+
+
 def test_wide_and_long_form(spark):
     wide = spark.createDataFrame([("a", 1.0, 2.0)], "entity_id string, daily_pv double, daily_grid_import double")
     long = split.long_form(wide, ["entity_id"], split.DAILY_FIELDS)
