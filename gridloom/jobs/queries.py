@@ -7,16 +7,17 @@ time as one hour ahead.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.localtime import hours_between, local_day
+from gridloom.functions.localtime import hours_between, local_day, to_local
 from gridloom.functions.versions import version_rank
 from gridloom.jobs.pipeline import run_pipeline
 from gridloom.operators import daily, intervals, lookup, repair, split
 from gridloom.sources.events import LOST, PER_GRID, counters, event_points, grid_power
+from gridloom.sources.exports import read_export
 from gridloom.sources.ledger import read_ledger
 from gridloom.sources.points import compact, delete_points, delete_range, last_write_wins, matching, points, read_points, select_points, whole_day, write_points
 from gridloom.sources.scratch import new_path, stored
@@ -287,6 +288,55 @@ def delete_ranges_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.unionByName(read().withColumn("state", F.lit("compacted")))
 
 
+#: Days by which even and other events are moved, to the changes of clocks in March and October.
+MOVED = (75, 285)
+
+
+def _export(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Events around the changes of clocks, exported with local times as CSV (even events) and JSON (others), some lines of them bad; read back."""
+    moved = F.when(F.col("event_id") % 2 == 0, F.lit(MOVED[0])).otherwise(F.lit(MOVED[1]))
+    rows = event_points(spark, sf_dir).withColumn("time", F.col("time") + F.make_dt_interval(moved))
+    at = F.when(F.col("event_id") % 89 == 0, "2024-13-45 00:00:00").otherwise(F.date_format(to_local(F.col("time")), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    name = F.when(F.col("event_id") % 83 == 0, " ").otherwise(F.col("entity_id"))
+    value = F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    rows = rows.select("event_id", F.col("measurement").alias("measurement"), name.alias("entity_id"), at.alias("time"), value.alias("value"))
+    shared = ("measurement", "entity_id", "time", "value")
+    broken = F.col("event_id") % 79 == 0
+    csv, json = new_path(spark, "csv"), new_path(spark, "json")
+    line = F.when(broken, F.concat_ws(",", *shared, "event_id")).otherwise(F.concat_ws(",", *shared))
+    rows.filter("event_id % 2 = 0").select(line.alias("value")).write.text(csv)
+    line = F.to_json(F.struct(*shared))
+    rows.filter("event_id % 2 = 1").select(F.when(broken, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(json)
+    return {"csv": read_export(spark, csv, "csv", shared, header=False), "json": read_export(spark, json, "json")}
+
+
+def export_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of the exports, with the local day of each."""
+    found = [good.withColumn("form", F.lit(form)) for form, (good, _) in _export(spark, sf_dir).items()]
+    return found[0].unionByName(found[1]).select("form", "measurement", "entity_id", _plain("time").alias("time"), local_day(F.col("time")).alias("day"), "value")
+
+
+def export_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of each export are no points, by reason."""
+    found = [bad.withColumn("form", F.lit(form)) for form, (_, bad) in _export(spark, sf_dir).items()]
+    return found[0].unionByName(found[1]).groupBy("form", "reason").agg(F.count("*").alias("n"))
+
+
+def zero_fill_clock_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zeros for all meters on days without points around the changes of clocks: of 23, 24 and 25 hours."""
+    days = spark.createDataFrame([(date(2024, m, d) + timedelta(days=i),) for m, d in ((3, 30), (10, 26)) for i in range(3)], "day date")
+    spine = event_points(spark, sf_dir).select("entity_id").distinct().crossJoin(F.broadcast(days))  # six rows
+    written, _ = repair.repair(counters(spark, sf_dir), spine)
+    return written.select("entity_id", "day", _plain("time").alias("time"), "value")
+
+
+def latest_named_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest version of each meter where most points have none, a blank one is empty, and some meters have none at all."""
+    points = event_points(spark, sf_dir)
+    none = (F.col("event_id") % 7 != 3) | (F.substring("entity_id", 2, 9).cast("int") % 3 == 0)
+    return lookup.latest_version(points.withColumn("version", F.when(none & (F.col("event_id") % 2 == 0), F.lit(None)).when(none, "").otherwise(F.col("version"))), ["entity_id"])
+
+
 _QUERIES = [
     daily_sum_with_total,
     range_filter_points,
@@ -318,6 +368,10 @@ _QUERIES = [
     incremental_run,
     days_after_rejects,
     delete_ranges_compacted,
+    export_points,
+    export_rejects,
+    zero_fill_clock_changes,
+    latest_named_version,
 ]
 
 
@@ -521,6 +575,13 @@ _RANGES_SQL = f"""WITH {_BATCHES},
     SELECT *, unnest(['ranges', 'compacted']) AS state FROM kept_"""
 
 
+# even events in March, others in October; in the hour that October repeats, the first pass is read as the second
+_MOVED = """moved AS (
+    SELECT *, CASE WHEN event_id % 79 = 0 THEN 'format' WHEN event_id % 83 = 0 THEN 'entity_id' WHEN event_id % 89 = 0 THEN 'time' WHEN event_id % 97 = 0 THEN 'value' END AS reason,
+           CASE WHEN utc >= '2024-10-27 00:00:00' AND utc < '2024-10-27 01:00:00' THEN utc + INTERVAL 1 HOUR ELSE utc END AS time, CASE WHEN event_id % 2 = 0 THEN 'csv' ELSE 'json' END AS form
+    FROM (SELECT *, ts + to_days(CASE WHEN event_id % 2 = 0 THEN 75 ELSE 285 END) AS utc FROM events))"""
+
+
 def oracle_sql() -> dict[str, str]:
     bought = f"WITH {_POINTS}, {_SPINE} SELECT entity_id, day FROM spine ANTI JOIN (SELECT entity_id, day FROM points WHERE measurement = 'purchase' AND value > 120) USING (entity_id, day)"
     repaired = f"WITH {_SPINE}, {_COUNTERS}, {_RESETS}, {_REPAIR}"
@@ -584,4 +645,15 @@ def oracle_sql() -> dict[str, str]:
         "days_after_rejects": f"""SELECT a.entity_id, a.day, a.status AS before, CASE WHEN a.status = 'done' THEN 'done' ELSE b.status END AS after, a.status <> 'done' AS again
             FROM {_statuses(_COUNTERS)} a JOIN {_statuses(_ALL_VALUES)} b USING (entity_id, day)""",
         "delete_ranges_compacted": _RANGES_SQL,
+        "export_points": f"""WITH {_MOVED} SELECT form, event_type AS measurement, 'm' || (user_id // 15) AS entity_id, time, value,
+                CAST(time + CASE WHEN time >= '2024-03-31 01:00:00' AND time < '2024-10-27 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS DATE) AS day
+            FROM moved WHERE reason IS NULL""",
+        "export_rejects": f"WITH {_MOVED} SELECT form, reason, count(*) AS n FROM moved WHERE reason IS NOT NULL GROUP BY ALL",
+        "zero_fill_clock_changes": """WITH days AS (SELECT * FROM (VALUES
+                (DATE '2024-03-30', 1, 1), (DATE '2024-03-31', 1, 2), (DATE '2024-04-01', 2, 2), (DATE '2024-10-26', 2, 2), (DATE '2024-10-27', 2, 1), (DATE '2024-10-28', 1, 1)) AS v(day, from_, to_)),
+            ends AS (SELECT day, day - to_hours(from_) AS ds, day + INTERVAL '23:59:59' - to_hours(to_) AS de FROM days)
+            SELECT entity_id, day, unnest(list_append(generate_series(ds, de, INTERVAL 1 HOUR), de)) AS time, CAST(0 AS DOUBLE) AS value
+            FROM ends CROSS JOIN (SELECT DISTINCT 'm' || (user_id // 15) AS entity_id FROM events)""",
+        "latest_named_version": f"""WITH {_POINTS} SELECT entity_id, version FROM (SELECT DISTINCT entity_id, version FROM points WHERE event_id % 7 = 3 AND CAST(substr(entity_id, 2) AS INT) % 3 <> 0)
+            QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY CAST(regexp_extract(version, '([0-9]+)$', 1) AS BIGINT) DESC) = 1""",
     }

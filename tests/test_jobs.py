@@ -9,6 +9,7 @@ from gridloom.functions import localtime
 from gridloom.functions.versions import version_rank
 from gridloom.jobs.pipeline import bounds, read_config, read_rejects, run_pipeline
 from gridloom.operators import daily, intervals, lookup, split
+from gridloom.sources import exports
 from gridloom.sources import points as store
 
 POINT = "measurement string, entity_id string, field string, version string, scenario string, unit string, time timestamp, value double"
@@ -268,3 +269,26 @@ def test_partitions_of_other_days_are_not_read(spark, tmp_path):
     assert found.count() == 3
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [" in plan and "IsNotNull(time)" in plan
+
+
+def test_exports_there_and_back(spark, tmp_path):
+    at = datetime(2024, 10, 27, 0, 30, 0, 123456)
+    rows = [("a,b", 'x "y"', "value", "v1", "", "kWh", at, 0.1 + 0.2), ("m", "e", "f", "", "", "", at + timedelta(hours=1), None), ("m", "ü\\", "f", "", "s", "", at, -1e300)]
+    frame = spark.createDataFrame(rows, POINT)
+    for form in ("csv", "json"):
+        exports.write_export(frame, str(tmp_path / form), form)
+        good, bad = exports.read_export(spark, str(tmp_path / form), form)
+        assert sorted(plain(good, *frame.columns), key=repr) == sorted(plain(frame, *frame.columns), key=repr) and bad.isEmpty()
+
+
+def test_bad_lines_of_exports_are_kept(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("entity_id,time,value\na,2024-07-01 12:00:00,True\na,2024-07-01T12:00:00+00:00,2\n,2024-07-01 12:00:00,3\nb,soon,4\nb,2024-07-01,five\nb,2024-07-01,\nc,2024-07-01,6,7\n")
+    good, bad = exports.read_export(spark, str(tmp_path / "x.csv"), "csv", ("entity_id", "time", "value"))
+    assert sorted(plain(good, "entity_id", "time", "value"), key=repr) == sorted([("a", datetime(2024, 7, 1, 10), 1.0), ("a", datetime(2024, 7, 1, 12), 2.0), ("b", datetime(2024, 6, 30, 22), None)], key=repr)
+    assert {r.measurement for r in good.collect()} == {"home_assistant"} and sorted(r.reason for r in bad.collect()) == ["entity_id", "format", "time", "value"]
+    assert "c,2024-07-01,6,7" in {r.record for r in bad.collect()}
+    (tmp_path / "x.json").write_text('{"entity_id": "a", "time": "2024-01-01T00:00:00Z", "value": 1, "more": [1]}\n{"entity_id": "a"\n\n')
+    good, bad = exports.read_export(spark, str(tmp_path / "x.json"), "json")
+    assert good.count() == 1 and [tuple(r) for r in bad.collect()] == [('{"entity_id": "a"', "format")]
+    with pytest.raises(ValueError):
+        exports.read_export(spark, "x", "xml")
