@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, datetime, timedelta
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,64 +76,48 @@ def test_empty_day_has_a_row_an_hour(spark, day, rows):
 
 
 def restated(own):
-    """What one day writes, as a list of (time, value), or a status."""
-    data, last, first, second = [list(x) for x in own], 0.0, None, None
-    if not data:
-        return [[t, v] for t, v in ZEROS]
-    for i, (t, v) in enumerate(data):
-        v = round(v, 3)
-        if v >= last:
-            last = v
-            continue
-        early = abs(t - DS) <= abs(DE - t)
-        if early and first is None:
-            first, last = i, v
-        elif not early:
-            second = i - 1
-            break
-    second = len(data) - 1 if second is None else second
-    t0, v0 = data[0]
-    if first is None:
-        if v0 == 0 and DS <= t0 <= DE:
-            first = 0
-        elif t0 >= DS and v0 > 0:
-            data.insert(0, [DS, 0.0])
-            first, second = 0, second + 1
-        elif t0 < DS and v0 == 0:
-            first, data[0][0] = 0, DS
-        else:
+    """What one day writes, as a list of (time, value), or a status; by definition, not step by step."""
+    times, values, n = [t for t, _ in own], [v for _, v in own], len(own)
+    if not n:
+        return ZEROS
+    rounded = [round(v, 3) for v in values]
+    near_start = [abs(t - DS) <= abs(DE - t) for t in times]
+    # the first fall below what came before, and falls below what came since it
+    fall = next((j for j in range(n) if rounded[j] < max([0.0, *rounded[:j]])), None)
+    opening = fall if fall is not None and near_start[fall] else None
+    if opening is None:
+        closed_by = fall
+    else:
+        closed_by = next((j for j in range(fall + 1, n) if not near_start[j] and rounded[j] < max(rounded[fall:j])), None)
+    closing = (n if closed_by is None else closed_by) - 1
+    if opening is None:
+        zero, before = values[0] == 0, times[0] < DS
+        if not before and values[0] > 0:
+            times, values, closing = [DS, *times], [0.0, *values], closing + 1
+        elif zero and before:
+            times[0] = DS
+        elif not zero or times[0] > DE:
             return "no_first_reset"
-    ft, st = data[first][0], data[second][0]
-    if len(data) == 1 and DS <= ft <= DE and data[0][1] == 0:
-        return [[t, v] for t, v in ZEROS]
-    part = [list(x) for x in data[first : second + 1]]
-    if ft < DS:
-        part[0][0] = DS
-        wrong = [i for i in range(1, len(part)) if part[i][0] < DS]
-        if wrong:
-            if first + wrong[-1] + 1 >= len(data):
-                return "no_anchor"
-            step = (data[first + wrong[-1] + 1][0] - DS).total_seconds() / (len(wrong) + 1)
-            for i in wrong:
-                part[i][0] = DS + timedelta(seconds=(i + 1) * step)
-    if not (ft >= DS and st <= DE) and not (ft < DS and st <= DE):
-        wrong = [i for i in range(len(part)) if part[i][0] > DE]
-        if wrong:
-            at, m = wrong[0], len(part) - 1 - wrong[0]
-            base = part[at - 1][0] if at else data[first - 1][0]
-            for i in range(m):
-                part[at + i][0] = base + timedelta(seconds=(i + 1) * ((DE - base).total_seconds() / (m + 1)))
-            part[-1][0] = DE
-    top = 0.0
-    for row in part:
-        if top - row[1] > 0.25:
-            return "monotonicity"
-        top = row[1] = max(top, row[1])
-    if part[0][0] != DS:
-        part.insert(0, [DS, 0.0])
-    if part[-1][0] != DE:
-        part.append([DE, part[-1][1]])
-    return part
+        opening = 0
+    if n == len(times) == 1 and values[0] == 0 and DS <= times[0] <= DE:
+        return ZEROS
+    span, moved = range(opening, closing + 1), {}
+    if times[opening] < DS:
+        m = sum(times[i] < DS for i in span) - 1
+        if m and opening + m + 1 >= len(times):
+            return "no_anchor"
+        gap = times[opening + m + 1] - DS if m else timedelta()
+        moved = {opening: DS} | {opening + i: DS + gap * (i + 1) / (m + 1) for i in range(1, m + 1)}
+    if times[closing] > DE:
+        placed = [moved.get(i, t) for i, t in enumerate(times)]
+        m = sum(placed[i] > DE for i in span)
+        base = placed[closing - m]
+        moved |= {closing - m + i: base + (DE - base) * i / m for i in range(1, m + 1)}
+    tops = list(accumulate((values[i] for i in span), max, initial=0.0))
+    if any(top - values[i] > 0.25 for top, i in zip(tops, span, strict=False)):
+        return "monotonicity"
+    rows = [(moved.get(i, times[i]), top) for i, top in zip(span, tops[1:], strict=True)]
+    return [(DS, 0.0)] * (rows[0][0] != DS) + rows + [(DE, rows[-1][1])] * (rows[-1][0] != DE)
 
 
 def test_random_days(spark):
