@@ -89,6 +89,7 @@ def test_mix(answer, folder):
 
 
 def test_the_points_decide_the_mix(spark, folder, answer, monkeypatch):
+    answer("op1_mix_sources")
     monkeypatch.setattr(mixing, "mirrored", lambda place, bits: place)  # 0, 1, 2 ... instead of van der Corput's
     other = {r.doc_id: r for r in queries.op1_mix_sources(spark, folder[0]).collect()}
     first = [(r.first_slot, other[r.doc_id].first_slot) for r in answer("op1_mix_sources") if r.taken]
