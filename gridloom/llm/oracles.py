@@ -75,7 +75,8 @@ ratios AS (
 stepped AS (SELECT *, least({_STEPS}) AS step FROM ratios),
 good AS (SELECT lang, CASE WHEN NOT base_failed THEN step END AS step FROM stepped WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 strata AS (SELECT count(DISTINCT coalesce(lang, '')) AS s FROM good),
-tests AS (SELECT lang, t, count(*) AS n, count(*) FILTER (WHERE step <= t) AS k FROM good, range({STEPS}) AS r(t) GROUP BY lang, t),
+stops AS (SELECT lang, step, count(*) AS rows FROM good GROUP BY ALL),
+tests AS (SELECT lang, t, CAST(sum(rows) AS BIGINT) AS n, CAST(coalesce(sum(rows) FILTER (WHERE step <= t), 0) AS BIGINT) AS k FROM stops, range({STEPS}) AS r(t) GROUP BY lang, t),
 valid AS (
     SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK}))) FROM range(k + 1) AS r(i)) <= {ERROR} / s AS ok
     FROM tests, strata),

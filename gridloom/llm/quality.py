@@ -139,7 +139,10 @@ def settings(good: DataFrame) -> DataFrame:
     every = W.partitionBy("stratum")
     upto = every.orderBy("step").rowsBetween(W.unboundedPreceding, W.currentRow)
     sums = rows.withColumns({"n": F.sum("rows").over(every), "k": F.sum("rows").over(upto)}).crossJoin(F.broadcast(strata))  # one row
-    valid = lambda k: log_binomial_cdf(F.col("n"), k, RISK) <= F.log(F.lit(ERROR) / F.col("strata"))
+    # more losses than the risk's share have a chance of at least a half (a binomial's median is no further than the next
+    # whole number from its mean), so no sum of terms is longer than that share
+    summed = lambda k: log_binomial_cdf(F.col("n"), k, RISK) <= F.log(F.lit(ERROR) / F.col("strata"))
+    valid = lambda k: F.when(k > F.col("n") * RISK, False).otherwise(summed(F.least(k, F.ceil(F.col("n") * RISK))))
     # between the steps that reject a row first, settings reject the same rows
     failed = F.min(F.when((F.col("step") < STEPS) & ~valid(F.col("k")), F.col("step")))
     found = sums.groupBy("stratum").agg(failed.alias("failed"), F.max(valid(F.lit(0).cast("long"))).alias("any"))

@@ -71,7 +71,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document over links of 85 % of five-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = neardup.near_duplicates(docs)
-    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
 def op7_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,9 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, mincut, mixing, neardup, quality, queries, quotes, secrets, substrings, syncmers, toxicity
+from gridloom.llm import bpe, mincut, mixing, neardup, oracles, quality, queries, quotes, secrets, substrings, syncmers, toxicity
+
+from ..oracle import compare, connect
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -613,6 +615,31 @@ def test_good_rows_are_lost_at_the_stated_rate_only(spark):
     assert all(kept[i] == (i % 10 > 0) for i in kept)
 
 
+def test_chosen_settings_equal_sql(spark, tmp_path):
+    """Strata with enough labels: the query and its SQL reject the same texts, and some that the base verdict keeps."""
+    draw, rows, labels = random.Random(3), [], []
+    for i in range(2600):
+        lang = ("en", "de", None)[i % 13 % 3]
+        good = draw.random() < 0.8
+        words = [draw.choice("abcdefgh") + str(draw.randrange(900)) for _ in range(60)]
+        marks = 0 if good and draw.random() > 0.004 else draw.randrange(0, 200)
+        rows.append((i, " ".join(words) + " " + draw.choice("#!") * marks, lang, None, 0))
+        labels.append((i, int(good), 0))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame = queries.op9_quality_rules(spark, str(tmp_path))
+    assert compare(frame, connect(str(tmp_path)), oracles.QUALITY) == 2600
+    lost = {r.doc_id for r in frame.filter("not base_failed and not kept").collect()}
+    known = {i for i, good, _ in labels if good}
+    assert len(lost - known) > 100 and len(lost & known) <= 0.01 * len(known)
+
+
+def test_long_tails_are_not_summed(spark):
+    """Three of four rows are lost at step 7, far more than the risk allows."""
+    good = spark.range(400_000).select(F.lit("en").alias("stratum"), F.when(F.col("id") % 4 > 0, 7).alias("step"))
+    assert [(r.stratum, r.step) for r in quality.settings(good).collect()] == [("en", 6)]
+
+
 # 10 tokens
 
 
