@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,9 +94,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return met.repartitionByRange(parts, "_slot").sortWithinPartitions("_slot").select(*docs.columns)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """docs with place, which sorts rows as they were written: by the number of their file, then by where in it
+    they stand. Readers deal out files in any order. Null where docs is not read from Spark's files."""
+    try:
+        return docs.withColumn("place", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long") * 2**40 + F.col("_metadata.row_index"))
+    except AnalysisException:  # no files
+        return docs.withColumn("place", F.lit(None).cast("long"))
+
+
 @_own_names
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_tokens, ids) of every document."""
-    texts = docs.select("doc_id", "lang", "source", "text")
+    """(doc_id, lang, source, place, n_tokens, ids) of every document; sorted by place they are in the order of the mix."""
+    texts = _placed(docs.select("doc_id", "lang", "source", "text"))
     ids = bpe.encode(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, apart=bpe.SPACES).drop("text")
-    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return ids.select("doc_id", "lang", "source", "place", F.size("ids").cast("long").alias("n_tokens"), "ids")

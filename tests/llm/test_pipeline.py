@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from gridloom.llm import neardup, queries, secrets, stages
+from gridloom.llm import mixing, neardup, queries, secrets, stages
 from gridloom.llm.common import stored
 
 from ..oracle import compare, connect
@@ -33,6 +33,32 @@ def test_stages(spark, folder):
     assert ids["tokens"] == ids["mix"]
 
 
+def test_the_order_of_the_mix_reaches_the_tokens(spark, folder):
+    """The slots of a mix made apart give the order, whatever order files are read in."""
+    docs = stored(spark.read.parquet(f"{folder[0]}/documents.parquet"), "docs")
+    known, taken = mixing.mixed(docs, also=["doc_id"])
+    size = {r.row: (r.size, r.doc_id) for r in known.collect()}
+    slots, words = {}, Counter()
+    for r in taken.collect():
+        slots[r.row, r["pass"]] = min(slots.get((r.row, r["pass"]), r.slot), r.slot)
+        words[r.row, r["pass"]] += r.words
+    want = sorted((slots[k], size[k[0]][1]) for k, n in words.items() if 2 * n >= size[k[0]][0])
+    mixed = stored(stages.mixed(spark, docs, folder[0]), "mixed")
+    read = stages.tokenized(spark, mixed, folder[0]).orderBy("place").collect()
+    assert len({r.place for r in read}) == len(read) == len(want) > 50
+    # documents that begin in one slot may stand in any order
+    assert [sorted(i for s, i in want if s == slot) for slot in dict.fromkeys(s for s, _ in want)] == _groups([r.doc_id for r in read], Counter(s for s, _ in want))
+    assert stages.tokenized(spark, spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, lang string, source string"), "").first().place is None
+
+
+def _groups(ids, sizes):
+    out, at = [], 0
+    for slot in sorted(sizes):
+        out.append(sorted(ids[at : at + sizes[slot]]))
+        at += sizes[slot]
+    return out
+
+
 def test_rows_with_one_id(spark, folder):
     frame = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(20)
     twice = frame.union(frame)
@@ -82,4 +108,4 @@ def test_columns_of_any_name_and_kind(spark, folder):
         if name != "tokens":
             assert docs.columns == before.columns and docs.dtypes == before.dtypes
             assert docs.filter("_mark != '_mark' or ids != 'ids' or element_at(_one, '_one') != size").isEmpty()
-    assert docs.count() > 10 and docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
+    assert docs.count() > 10 and docs.columns == ["doc_id", "lang", "source", "place", "n_tokens", "ids"]
