@@ -10,7 +10,8 @@ stretches of text between places where a match always begins, are remembered wit
 ids. Decoding takes the tokens' bytes by their ids from one table.
 
 Edge cases: a null or empty text has no tokens; characters outside the
-vocabulary do not exist, as all 256 bytes are tokens; equal rows stay equal rows.
+vocabulary do not exist, as all 256 bytes are tokens; equal rows stay equal rows; a very long text
+is encoded whole, in trees of its matches (one match of n letters takes n steps); other columns stay, and one named like the ids is replaced.
 """
 
 from __future__ import annotations
@@ -77,6 +78,8 @@ class Vocabulary:
 
     def __init__(self, path: str) -> None:
         self.ranks = _rank_table(path)
+        if max(self.ranks.values(), default=0) >= (1 << 20) - 1:
+            raise ValueError("ranks must lie below 2^20 - 1")
         get, pairs = self.ranks.get, {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):

@@ -19,7 +19,8 @@ square root of all rows, then running sums within them; sources are sorted by ra
 
 Edge cases: null and empty texts have no words and take none; a table without words
 takes none; equal rows are taken like rows with different ids, in the order of their ids' hash,
-then of their texts'; a null id is placed by its text.
+then of their texts'; a null id is placed by its text; a very long text is a long piece of its source's line and may fill many slots;
+columns that are not asked for are left out.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ circles; roots and depths follow by doubling.
 Edge cases: null and empty texts have an empty own text and quote nothing; a message
 that only quotes has an empty own text; rows with equal conversation and turn are
 all answered alike, the first own text in order counts as the original; conversations and turns
-may be of any type that can be sorted.
+may be of any type that can be sorted; an empty table gives no rows; very long messages are one row each; other columns are left out.
 """
 
 from __future__ import annotations

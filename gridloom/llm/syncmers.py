@@ -11,6 +11,7 @@ k-mers do not count as copied text.
 Edge cases: texts of less than four k-mers' length take k-mers of a quarter of it; the
 fingerprint of a null or empty text is the empty string, like only another empty text.
 Ids may be of any type that can be sorted. Rows with one id, and those without any, are in one range.
+An empty table gives no rows; equal texts have equal fingerprints; very long texts keep SKETCH syncmers like others; other columns are left out.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ texts, the first in hash order) is brought to one task to fit, and the model, of
 driver; scoring covers every row.
 
 Edge cases: null and empty texts get the score of a document whose mean is zero; rows without labels are scored like others;
-without labelled rows of both kinds every score is 0; labels that are neither 0 nor 1 are not learned.
+without labelled rows of both kinds every score is 0; labels that are neither 0 nor 1 are not learned; repeated rows are
+scored one by one, alike; a very long text is scored whole, word by word; columns of other names stay, and one named like the score is replaced.
 """
 
 from __future__ import annotations

@@ -138,6 +138,36 @@ def test_toxicity(answer, folder):
         assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
 
 
+def test_scores_by_their_rule(spark):
+    """Each word's log odds are the mean of its n-grams' numbers; a text is toxic unless neither any word nor the mean of all is."""
+    draw = random.Random(8)
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 2, toxicity.BUCKETS).astype(np.float32), -3.0)
+    texts = [" ".join(draw.choice(["Idiot", "idi0t!", "fine", "ÄRGER", "日本語", "a", "_", "...", "fine,"]) for _ in range(draw.randrange(12))) for _ in range(60)] + ["", None, "..."]
+    mixed = lambda h: (lambda x: x ^ x >> 32)((h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64)
+
+    def buckets(word):
+        code = [ord(c) for c in f"<{word}>"]
+        for n in toxicity.NGRAMS:
+            for i in range(len(code) - n + 1):
+                h = code[i] + 1
+                for k, c in enumerate(code[i + 1 : i + n], 2):
+                    h = (h * 0x9E3779B97F4A7C15 + c + k) % 2**64
+                yield mixed(h) % toxicity.BUCKETS
+        yield mixed(sum((c + 7) * mixed((i + 1) * 0x9E3779B97F4A7C15 % 2**64) for i, c in enumerate(code)) % 2**64) % toxicity.BUCKETS
+
+    def odds(word):
+        numbers = [float(model.gram[b]) for b in buckets(word)]
+        return sum(numbers) / len(numbers)
+
+    got = [r.score for r in toxicity.score(spark.createDataFrame([(t, 1) for t in texts], "text string, words int").coalesce(1), model).collect()]
+    for text, score in zip(texts, got, strict=True):
+        own = [odds(w) for w in {w.strip("_.,!?").lower() for w in (text or "").split()} if w]
+        clean = 1.0
+        for x in [*own, sum(own) / len(own) if own else 0.0]:
+            clean *= 1 / (1 + math.exp(x - 3.0))
+        assert score == pytest.approx(1 - clean, abs=1e-6), text
+
+
 def test_held_out_accuracy_and_misspellings():
     rng = np.random.default_rng(2)
     plain = ["".join(rng.choice(["ba", "ko", "li", "mu", "ter", "sa"], 3)) for _ in range(300)]
@@ -491,6 +521,19 @@ def test_conversations_and_turns_of_other_types(spark):
     assert got["a", "2024-01-02"].own == "An answer" and got[None, None].own == ""
 
 
+def test_repeated_and_very_long_messages(spark):
+    """Rows with one turn are answered alike, whatever their texts; quotes of a text that two rows have go to the nearest turn."""
+    long = "\n".join(f"line {i} of many" for i in range(60_000))
+    rows = [(1, 0, "One\nand the same"), (1, 0, "One\nand the same"), (1, 0, "another text"), (1, 1, "> another text\nYes"), (1, 1, "> another text\nYes"), (1, 2, "One\nand the same"), (1, 3, "> One\n> and the same\nNo")]
+    rows += [(2, 0, long), (2, 1, "\n".join("> " + x for x in long.split("\n")) + "\nShort"), (2, 2, "> line 59999 of many\nLast")]
+    found = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    got = Counter((r.conv, r.turn, r.own if len(r.own) < 50 else len(r.own), r.to_turn, r.root_turn, r.depth) for r in found)
+    assert got == {
+        (1, 0, "One\nand the same", None, 0, 0): 2, (1, 0, "another text", None, 0, 0): 1, (1, 1, "Yes", 0, 0, 1): 2, (1, 2, "One\nand the same", None, 2, 0): 1, (1, 3, "No", 2, 2, 1): 1,
+        (2, 0, len(long), None, 0, 0): 1, (2, 1, "Short", 0, 0, 1): 1, (2, 2, "Last", 0, 0, 1): 1,
+    }
+
+
 # 8 secrets
 
 
@@ -674,8 +717,15 @@ def test_other_ranks_round_trip(spark, folder, other):
     assert back.filter(~F.decode("decoded", "UTF-8").eqNullSafe(F.coalesce("text", F.lit("")))).count() == 0
 
 
-def test_all_queries_have_the_numbers_one_to_ten():
+def test_ranks_have_a_bound(tmp_path):
+    line = lambda token, rank: base64.b64encode(token) + f" {rank}\n".encode()
+    (tmp_path / "ranks").write_bytes(b"".join(line(bytes([i]), i) for i in range(256)) + line(b"ab", (1 << 20) - 1))
+    with pytest.raises(ValueError, match="must lie below"):
+        bpe.Vocabulary(str(tmp_path / "ranks"))
+
+
+def test_all_queries_have_the_numbers_one_to_thirteen():
     numbers = defaultdict(list)
     for name in queries.queries():
         numbers[int(re.match(r"op(\d+)_", name)[1])].append(name)
-    assert sorted(numbers) == list(range(1, 11)) and all(len(x) == 1 for x in numbers.values())
+    assert sorted(numbers) == list(range(1, 14)) and all(len(x) == 1 for x in numbers.values())
