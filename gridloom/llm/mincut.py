@@ -254,13 +254,14 @@ def costs(piece: Piece, marked: bool, held: int, away: bool) -> tuple[float, flo
     """
     n, node = len(piece.text), piece.node
     score = 0.3 - AWAY * away  # log odds of content
-    score += MARKED if node.inside and not node.doubt else -1.2 if marked else 0.0
+    own = node.inside and not node.doubt
+    score += MARKED if own else -1.2 if marked else 0.0
     if node.doubt:
         score -= 7.0 - min(held, 2000) / 400 - min(n, 300) / 300 - 1.5 * node.here
     score += 2.5 if re.fullmatch("h[1-6]", node.tag) else 1.5 if node.tag in ("p", "pre", "blockquote") else -0.5 if node.tag in ("li", "td", "div", "") else 0.0
     score += min(n, 200) / 100 - 0.6
     score += 0.8 if _END.search(piece.text) else -0.2
-    score -= 3.5 * piece.linked / n
+    score -= (1.5 if own else 3.5) * piece.linked / n
     if "©" in piece.text or "all rights reserved" in piece.text.lower():
         score -= RIGHTS
     return max(score, 0.0), max(-score, 0.0)

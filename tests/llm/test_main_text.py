@@ -16,7 +16,7 @@ def score(piece, marked, held, away):
     """Log odds of content, term by term."""
     node, n = piece.node, len(piece.text)
     heading, running = node.tag in {"h1", "h2", "h3", "h4", "h5", "h6"}, node.tag in {"p", "pre", "blockquote"}
-    terms = [0.3, min(n, 200) / 100 - 0.6, -3.5 * piece.linked / n, 0.8 if re.search(r"[.!?…。！？:;][\"'”’)\]]*$", piece.text) else -0.2]
+    terms = [0.3, min(n, 200) / 100 - 0.6, -(1.5 if node.inside and not node.doubt else 3.5) * piece.linked / n, 0.8 if re.search(r"[.!?…。！？:;][\"'”’)\]]*$", piece.text) else -0.2]
     terms.append(2.5 if heading else 1.5 if running else -0.5 if node.tag in {"li", "td", "div", ""} else 0.0)
     if node.inside and not node.doubt:
         terms.append(2.0)
@@ -122,6 +122,15 @@ def test_neighbours_decide():
     assert mincut.content(pieces, smooth=0.0) != mincut.content(pieces)
 
 
+def test_links_within_an_article():
+    """A few links in a list are carried by the paragraphs around them, a menu and a long list of nothing but links are not."""
+    page = lambda inner: f"<body><article><p>{LONG}</p>{inner}<p>{LONG}</p></article></body>"
+    items = lambda n: "<ul>" + "<li><a href=x>A link to it</a></li>" * n + "</ul>"
+    assert [mincut.main_text(page(items(n))).count("A link") for n in (1, 3, 20)] == [1, 3, 0]
+    assert mincut.main_text(page(f"<nav>{items(3)}</nav>")) == f"{LONG}\n{LONG}"
+    assert mincut.main_text(page(f"<ul>{'<li>An item</li>' * 20}</ul><table>{'<tr><td>7</td></tr>' * 20}</table>")).count("\n") == 41
+
+
 @pytest.mark.parametrize("mark", ["hidden", "aria-hidden=true", "style='color:red; display:none'"])
 def test_hidden_text_is_no_text(mark):
     assert mincut.main_text(f"<p>{LONG} <span {mark}>unseen <b>either</b></span>More.</p>") == f"{LONG} More."
