@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import rans
-from .common import column_slices, stored
+from .common import column_slices, discard, stored
 
 #: Ids of a record and of a file, about, and files whose ids are summed in one group.
 PART, FILE, GROUP = 1 << 22, 1 << 24, 256
@@ -188,6 +188,7 @@ def write(df: DataFrame, path: str, id: str = "doc_id", ids: str = "packed") ->
     made = ranged.select(F.col("key").cast("string").alias("key"), "packed").mapInArrow(run, "kind string, value binary")
     made.select("kind", F.col("value").cast("string").alias("value")).write.partitionBy("kind").option("lineSep", "\n").option("compression", "none").text(f"{path}/records")
     _manifest(spark, path).write.parquet(f"{path}/manifest")
+    discard(rows)
 
 
 def _packing(df: DataFrame, ids: str) -> DataFrame:
