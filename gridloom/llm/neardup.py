@@ -5,8 +5,10 @@ fewer words than a shingle has one: its whole word sequence). The hashes are
 split over REGISTERS buckets; a register keeps, of the least hash of its bucket,
 the count of leading zeros and MANTISSA bits after them. Empty buckets borrow from
 others in a fixed order, so small sets fill all registers too. Documents with
-equal sets form one class. Classes that share a band of ROWS registers are
-candidates:
+equal sets form one class, a node; sets are equal if two digests of 64 bits are (nodes
+that the first one alone would throw together are told apart by the second), and a single
+shingle is told from others by a second hash of its words. Classes that share a band of
+ROWS registers are candidates:
 
 1. in every band each class meets the band's most central class (a star, so a band
    makes as many pairs as it has members); the collision-corrected register estimate
@@ -40,6 +42,8 @@ from .common import discard, slices, stored
 SHINGLE, REGISTERS, MANTISSA, BANDS, ROWS = 5, 256, 10, 36, 7
 #: Standard errors that the register estimate may lie below the threshold.
 ERRORS = 6
+#: Bits of the first digest of a set; a test takes few of them.
+DIGEST = 64
 _PROBES = 12
 
 _U = np.uint64
@@ -61,13 +65,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text, A-Z lower-cased."""
+    return [s for s, _ in checked_sets(texts, k)]
+
+
+def checked_sets(texts: list[str | None], k: int = SHINGLE) -> list[tuple[np.ndarray, int]]:
+    """The set of each text and a second digest of it; that of a single shingle is made from its words."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     data = np.frombuffer(b"\n".join([b"", *raw, b""]), dtype=np.uint8)
     space = _SPACE[data]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     none = np.empty(0, dtype=_U)
     if not len(starts):
-        return [none] * len(texts)
+        return [(none, 0)] * len(texts)
     ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
     lengths = ends - starts
     bound = np.empty(2 * len(starts), dtype=np.int64)
@@ -83,11 +92,16 @@ def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= k:
-            out.append(np.unique(grams[a : b - k + 1]))
+            found = np.unique(grams[a : b - k + 1])
         elif b > a:
-            out.append(mixed(np.array([sum(int(w) * int(_PLACE[i + 1]) for i, w in enumerate(words[a:b])) + (b - a) * int(_PLACE[9]) & 2**64 - 1], dtype=_U)))
+            found = mixed(np.array([sum(int(w) * int(_PLACE[i + 1]) for i, w in enumerate(words[a:b])) + (b - a) * int(_PLACE[9]) & 2**64 - 1], dtype=_U))
+        else:
+            found = none
+        if len(found) == 1:
+            first_words = words[a : min(b, a + k)]
+            out.append((found, digest(mixed(first_words * _PLACE[32 : 32 + len(first_words)]), 1)))
         else:
-            out.append(none)
+            out.append((found, digest(found, 1) if len(found) else 0))
     return out
 
 
@@ -126,52 +140,84 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return mixed(key).view(np.int64)
 
 
-def digest(s: np.ndarray) -> int:
-    """The number that identifies a set."""
-    return int(mixed((mixed(s ^ _PLACE[13]) * _PLACE[14]).sum(dtype=_U, keepdims=True) + _U(len(s)))[0].view(np.int64))
+def digest(s: np.ndarray, which: int = 0) -> int:
+    """A number that identifies a set: the first or the second of two."""
+    a, b = (_PLACE[13], _PLACE[14]) if which == 0 else (_PLACE[24], _PLACE[25])
+    return int(mixed((mixed(s ^ a) * b).sum(dtype=_U, keepdims=True) + _U(len(s)))[0].view(np.int64))
 
 
 def sketched(df: DataFrame) -> DataFrame:
-    """(id, mark, n, node, regs, bands) of each row (id, mark, text); node identifies the set, null if it is empty."""
+    """(id, mark, n, node, twin, regs, bands) of each row (id, mark, text).
+
+    node is the first digest of the set, twin the second; null if it is empty.
+    """
+    shift = 64 - DIGEST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
-                sets = shingle_sets(texts[a:b])
-                some = [s for s in sets if len(s)]
+                sets = checked_sets(texts[a:b])
+                some = [s for s, _ in sets if len(s)]
                 regs = registers(some) if some else np.empty((0, REGISTERS), dtype=np.int64)
-                keys, at, node, packed, bands = band_keys(regs), iter(range(len(some))), [], [], []
-                for s in sets:
+                keys, at, node, twin, packed, bands = band_keys(regs), iter(range(len(some))), [], [], [], []
+                for s, second in sets:
                     if not len(s):
-                        node.append(None), packed.append(None), bands.append(None)
+                        node.append(None), twin.append(None), packed.append(None), bands.append(None)
                         continue
                     i = next(at)
-                    node.append(digest(s))
+                    node.append(digest(s) >> shift)
+                    twin.append(second)
                     packed.append(regs[i].astype("<u2").tobytes())
                     bands.append(keys[i])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), batch.column("mark").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["id", "mark", "n", "node", "regs", "bands"],
+                    [batch.column("id").slice(a, b - a), batch.column("mark").slice(a, b - a), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(node, pa.int64()), pa.array(twin, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["id", "mark", "n", "node", "twin", "regs", "bands"],
                 )
 
-    schema = T.StructType([T.StructField("id", df.schema["id"].dataType), *T.StructType.fromDDL("mark long, n long, node long, regs binary, bands array<long>").fields])
+    schema = T.StructType([T.StructField("id", df.schema["id"].dataType), *T.StructType.fromDDL("mark long, n long, node long, twin long, regs binary, bands array<long>").fields])
     return df.select("id", "mark", "text").mapInArrow(run, schema)
 
 
+def _own_node() -> Column:
+    """The node of a set whose first digest other sets have, too."""
+    return F.xxhash64(F.lit("twin"), "node", "twin")
+
+
+def _told_apart(sketch: DataFrame) -> DataFrame:
+    """The stored sketch, with a node of its own for each set of those that share one."""
+    shared = sketch.filter("node is not null").groupBy("node").agg(F.min("twin").alias("lo"), F.max("twin").alias("hi")).filter("lo != hi")
+    shared = stored(shared.select("node", F.lit(True).alias("shared")), "shared")
+    if not shared.isEmpty():
+        apart = sketch.join(shared, "node", "left").withColumn("node", F.when(F.col("shared"), _own_node()).otherwise(F.col("node")))
+        old, sketch = sketch, stored(apart.select(*sketch.columns), "sketches")
+        discard(old)
+    discard(shared)
+    return sketch
+
+
 def full_sets(df: DataFrame) -> DataFrame:
-    """(node, n, grams): the shingle hashes of the text of each row; the node is made from them again."""
+    """(node, n, grams) of each row (node, text) whose text is of that node: the shingle hashes; both digests are made again."""
+    shift = 64 - DIGEST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
-                sets = shingle_sets(texts[a:b])
+                sets = checked_sets(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "n", "grams"]
+                    [
+                        batch.column("node").slice(a, b - a),
+                        pa.array([digest(s) >> shift for s, _ in sets], pa.int64()),
+                        pa.array([t for _, t in sets], pa.int64()),
+                        pa.array([len(s) for s, _ in sets], pa.int64()),
+                        pa.array([s.view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
+                    ],
+                    ["of", "node", "twin", "n", "grams"],
                 )
 
-    return df.select("text").mapInArrow(run, "node long, n long, grams array<long>")
+    made = df.select("node", "text").mapInArrow(run, "of long, node long, twin long, n long, grams array<long>")
+    return made.filter((F.col("of") == F.col("node")) | (F.col("of") == _own_node())).select(F.col("of").alias("node"), "n", "grams")
 
 
 def _estimate(a: Column, b: Column, na: Column, nb: Column) -> Column:
@@ -203,11 +249,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) whose full sets reach the similarity."""
+    """Those (a, b) whose full sets reach the similarity; sets of one shingle in two classes have different ones."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
     met = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ga", "gb")))
-    return met.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
+    return met.filter(F.greatest("na", "nb") > 1).filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
@@ -218,7 +264,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     for an empty set; mark is the hash of the text.
     """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("mark", F.xxhash64("text"))
-    sketch = stored(sketched(docs), "sketches")
+    sketch = _told_apart(stored(sketched(docs), "sketches"))
     # a class is known by one row of it, whose id may be null or that of other texts too
     key = F.xxhash64("id", "mark")
     classes = sketch.filter("node is not null").groupBy("node").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands"))
@@ -241,7 +287,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     spread = F.sqrt(goal * (1 - goal) / F.least(F.lit(REGISTERS), "na", "nb"))
     hopeful = pairs.join(left, "a").join(right, "b").filter((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (_estimate(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb")) >= goal - ERRORS * spread))
 
-    words = docs.withColumn("key", key).join(seen.select("key"), "key").select("text")
+    words = docs.withColumn("key", key).join(seen.select("key", "node"), "key").select("node", "text")
     sets = stored(full_sets(words).dropDuplicates(["node"]), "sets")
     links = stored(_confirmed(hopeful, sets, percent), "links")
     discard(ranked, seen)
@@ -264,9 +310,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     least = classes.join(root, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     lows = least.groupBy("root").agg(F.min("first").alias("component"))
     named = least.join(lows, "root").select("node", "component", "root")
-    return sketch.select("id", "mark", "n", "node").join(named, "node", "left").select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"), "mark", "root"
-    )
+    # rows without words are not dealt out by a node that they lack; a large class is split by Spark
+    linked = sketch.filter("node is not null").select("id", "mark", "n", "node").join(named, "node")
+    alone = sketch.filter("node is null").select("id", "mark", "n", "node", F.col("id").alias("component"), F.col("node").alias("root"))
+    return linked.unionByName(alone).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "node", "component", "mark", "root")
 
 
 def _by_prefix(rest: DataFrame, percent: int) -> DataFrame:

@@ -447,6 +447,30 @@ def test_a_group_around_its_centre(spark):
     assert [got[i] for i in range(150)] == root and len(set(root)) > 5
 
 
+@pytest.mark.parametrize("bits", [64, 4])
+def test_sets_with_one_digest_are_told_apart(spark, monkeypatch, bits):
+    """With 16 values for the first digest nearly all nodes are shared; links and classes stay the same."""
+    monkeypatch.setattr(neardup, "DIGEST", bits)
+    base = [" ".join(f"g{g}w{i}" for i in range(40)) for g in range(30)]
+    texts = [f"{base[i % 30]} t{i // 60}" for i in range(180)] + ["one", "two", "One", "a b", "a c", "a a a a a", "a a a a a a", "", None, " "]
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for _ in range(3):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                    root[i] = min(root[i], root[j])
+    found = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component) for r in found} == {i: (len(s), root[i]) for i, s in enumerate(sets)}
+    assert len({r.node for r in found}) == len({frozenset(s) for s in sets}) and len(found) == len(texts)
+
+
+def test_single_shingles_have_a_second_hash():
+    """Equal for equal words, also where a text repeats its one shingle; different for other words."""
+    made = neardup.checked_sets(["x y", "X  y ", "x z", "a a a a a", "a a a a a a a", "", "one two three four five six"])
+    assert made[0][1] == made[1][1] != made[2][1] and made[3][1] == made[4][1] and made[5][1] == 0
+    assert made[0][1] != neardup.digest(made[0][0]) and made[6][1] == neardup.digest(made[6][0], 1) != neardup.digest(made[6][0])
+
+
 def test_registers_estimate_likeness():
     rng = np.random.default_rng(7)
     pool = neardup.mixed(np.arange(3000, dtype=np.uint64))
