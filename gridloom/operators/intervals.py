@@ -48,10 +48,11 @@ def _moments(intervals: DataFrame, grid: DataFrame, shared: Sequence[str], own:
     """A row for each start and stop of both sides, in the order in which they count at one instant (rank): grid
     intervals that end, questions of intervals (side), grid intervals that begin. o_ and c_: sums of those that begin and end there."""
     power = F.col("power")
-    number = F.coalesce(power, F.lit(0.0)).try_cast("decimal(19,6)")
+    number = F.coalesce(power, F.lit(0.0)).try_cast("decimal(19,6)")  # tells what is too large to sum
     span = micros(F.col("stop")) - micros(F.col("start"))
     sums = {
-        "energy": F.when(number > 0, number * span.cast("decimal(18,0)")).otherwise(0).cast("decimal(38,6)"),
+        # the power as it is: cut to some places, it would be a wrong energy; of whole intervals any rounding cancels
+        "energy": F.when(number.isNotNull() & (power > 0), power * span).otherwise(0.0).cast("decimal(38,6)"),
         "span": span,
         "odd": (F.isnan(power) | number.isNull()).cast("long"),
     }

@@ -139,6 +139,15 @@ def test_a_dense_hour_makes_no_pairs(spark):
     assert "CartesianProduct" not in found._jdf.queryExecution().toString() and "NestedLoop" not in found._jdf.queryExecution().toString()
 
 
+def test_a_power_counts_with_all_its_places(spark):
+    hour = [datetime(2024, 1, 1, h) for h in range(3)]
+    for power in (1000 / 3, 12345.678901234567, 1e-7):
+        grid = spark.createDataFrame([("k", hour[0], hour[2], power)], "k string, start timestamp, stop timestamp, value double")
+        used = spark.createDataFrame([("k", hour[0], hour[1], 0.0)], "k string, start timestamp, stop timestamp, value double")
+        got = intervals.import_energy(used, grid, ["k"]).first().import_kwh
+        assert got == pytest.approx(power / 1000, rel=1e-9, abs=1e-15)
+
+
 def test_wide_and_long_form(spark):
     wide = spark.createDataFrame([("a", 1.0, 2.0)], "entity_id string, daily_pv double, daily_grid_import double")
     long = split.long_form(wide, ["entity_id"], split.DAILY_FIELDS)
