@@ -236,16 +236,18 @@ def repair_job(run: Run) -> Work | None:
     # a read window reaches into the days beside its own
     near = select_points(run.raw, entities=entities).filter(within(runs, F.col("day"), 1, 1)).drop("day")
     counts: dict[str, int] = {}
+    marks: list[DataFrame] = []
 
     def hold(rows: DataFrame) -> DataFrame:
         kept, found = _observed(rows, repair.opens_group(), "repaired")
         counts.update(found)
+        marks.append(kept.filter(repair.opens_group()).select("entity_id", "day", F.col("mark").alias("fingerprint")))
         return kept
 
-    written, bad = repair.repair(near, days, run.zone, hold=hold)
+    written, bad = repair.repair(near, days, run.zone, hold=hold, sparse=True)
     tags = {"measurement": job.output_measurement, "field": "value", "version": job.version, "scenario": "", "unit": "kWh"}
     points = written.select(*[F.lit(v).alias(k) for k, v in tags.items()], "entity_id", "time", "value", "day", "seq")
-    return Work(points, days, bad, ("day", "seq"), runs, counts, repair.fingerprints(near, run.zone))
+    return Work(points, days, bad, ("day", "seq"), runs, counts, marks[0])
 
 
 def _members(days: DataFrame, entities: DataFrame) -> DataFrame:

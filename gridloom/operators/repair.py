@@ -19,12 +19,13 @@ from gridloom.functions.localtime import ZONE, day_close, day_start, micros, to_
 BEFORE, AFTER, TOLERANCE = 4, 4, 0.25
 
 
-def _group() -> WindowSpec:
-    return W.partitionBy("entity_id", "day")
+def _order() -> WindowSpec:
+    return W.partitionBy("entity_id", "day").orderBy("idx")
 
 
-def _order() -> WindowSpec:
-    return _group().orderBy("idx")
+def _group() -> WindowSpec:
+    """All rows of a day; in order, so that Spark takes it in one step with other windows."""
+    return _order().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
 
 def _before() -> WindowSpec:
@@ -37,22 +38,29 @@ def _upto() -> WindowSpec:
 
 def assign_days(points: DataFrame, zone: str = ZONE, before: int = BEFORE, after: int = AFTER) -> DataFrame:
     """points with day: a row for each local day whose read window holds the point."""
-    local = to_local(F.col("time"), zone)
-    day, hour = F.to_date(local), F.hour(local)
-    days = F.array(day, F.when(hour >= 24 - before, F.date_add(day, 1)), F.when(hour < after, F.date_sub(day, 1)))
-    return points.withColumn("day", F.explode(F.filter(days, lambda d: d.isNotNull())))
+    rows = points.withColumn("_local", to_local(F.col("time"), zone)).withColumns({"day": F.to_date("_local"), "_hour": F.hour("_local")})
+    day, following, previous = F.col("day"), F.date_add("day", 1), F.date_sub("day", 1)
+    late, early = F.col("_hour") >= 24 - before, F.col("_hour") < after
+    days = F.when(late & early, F.array(day, following, previous)).when(late, F.array(day, following)).when(early, F.array(day, previous)).otherwise(F.array(day))
+    return rows.withColumn("day", F.explode(days)).drop("_local", "_hour")
+
 
+def windows(points: DataFrame, spine: DataFrame, zone: str = ZONE, sparse: bool = False) -> DataFrame:
+    """(entity_id, day, ds, de, idx, n, mark, time, value): the read window of every row of the spine
+    (entity_id, day); one row with a null time where it is empty. mark: see fingerprints.
 
-def windows(points: DataFrame, spine: DataFrame, zone: str = ZONE) -> DataFrame:
-    """(entity_id, day, ds, de, idx, n, time, value): the read window of every row of the spine
-    (entity_id, day); one row with a null time where it is empty."""
+    sparse: the spine may hold few of the days that have points, so points of others are left out before they are sorted.
+    """
     tie = [F.col(c) for c in ("measurement", "value") if c in points.columns]
     held = assign_days(points, zone).select("entity_id", "day", "time", "value", *[c for c in ("measurement",) if c in points.columns])
+    if sparse:
+        held = held.join(spine.select("entity_id", "day"), ["entity_id", "day"], "left_semi")
     rows = spine.select("entity_id", "day").join(held, ["entity_id", "day"], "left")
-    order = _group().orderBy("time", *tie)
-    return rows.select(
-        "entity_id", "day", day_start(F.col("day"), zone).alias("ds"), day_close(F.col("day"), zone).alias("de"), (F.row_number().over(order) - 1).alias("idx"), F.count("time").over(_group()).alias("n"), "time", "value"
-    )
+    order = W.partitionBy("entity_id", "day").orderBy("time", *tie)
+    every = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    n, mark = F.count("time").over(every), F.xxhash64(*[x.over(every) for x in _sums()])
+    rows = rows.select("entity_id", "day", (F.row_number().over(order) - 1).alias("idx"), n.alias("n"), mark.alias("mark"), "time", "value")
+    return rows.select("entity_id", "day", day_start(F.col("day"), zone).alias("ds"), day_close(F.col("day"), zone).alias("de"), "idx", "n", F.when(F.col("n") > 0, F.col("mark")).alias("mark"), "time", "value")
 
 
 def _at(position: Column, value: Column) -> Column:
@@ -69,8 +77,8 @@ def detect_resets(rows: DataFrame) -> DataFrame:
     v = F.bround("value", 3)
     early = F.abs(micros(F.col("time")) - micros(F.col("ds"))) <= F.abs(micros(F.col("de")) - micros(F.col("time")))
     rows = rows.withColumns({"_v": v, "_early": early, "_top": F.greatest(F.lit(0.0), F.max(v).over(_before()))})
-    rows = rows.withColumn("_fall", F.min(F.when(F.col("_v") < F.col("_top"), F.col("idx"))).over(_group()))
-    rows = rows.withColumn("first", F.when(_at(F.col("_fall"), F.col("_early")), F.col("_fall")))
+    fall = F.min(F.when(F.col("_v") < F.col("_top"), F.struct("idx", "_early"))).over(_group())
+    rows = rows.withColumn("_fall", fall).withColumns({"_fall": F.col("_fall.idx"), "first": F.when(F.col("_fall._early"), F.col("_fall.idx"))})
     rows = rows.withColumn("_top", F.max(F.when(F.col("idx") >= F.col("first"), F.col("_v"))).over(_before()))
     later = (F.col("idx") > F.col("first")) & ~F.col("_early") & (F.col("_v") < F.col("_top"))
     rows = rows.withColumn("_next", F.min(F.when(later, F.col("idx"))).over(_group()))
@@ -86,7 +94,8 @@ def place_resets(rows: DataFrame) -> DataFrame:
     moved to midnight if it is 0 and before the day.
     """
     rows = rows.withColumn("second", F.coalesce("second", F.col("n").cast("int") - 1))
-    rows = rows.withColumns({"_t0": _at(F.lit(0), F.col("time")), "_v0": _at(F.lit(0), F.col("value"))})
+    nulls = F.sum(F.when(F.col("time").isNotNull() & F.col("value").isNull(), 1).otherwise(0)).over(_group())
+    rows = rows.withColumns({"_t0": _at(F.lit(0), F.col("time")), "_v0": _at(F.lit(0), F.col("value")), "_nulls": nulls})
     inside = F.col("_t0").between(F.col("ds"), F.col("de"))
     how = (
         F.when(F.col("first").isNotNull(), "found")
@@ -95,8 +104,7 @@ def place_resets(rows: DataFrame) -> DataFrame:
         .when((F.col("_t0") < F.col("ds")) & (F.col("_v0") == 0), "move")
         .otherwise("none")
     )
-    nulls = F.sum(F.when(F.col("time").isNotNull() & F.col("value").isNull(), 1).otherwise(0)).over(_group())
-    rows = rows.withColumns({"_how": how, "_nulls": nulls})
+    rows = rows.withColumn("_how", how)
     own = F.struct("idx", F.when((F.col("_how") == "move") & (F.col("idx") == 0), F.col("ds")).otherwise(F.col("time")).alias("time"), "value")
     added = F.struct(F.lit(-1).alias("idx"), F.col("ds").alias("time"), F.lit(0.0).alias("value"))
     both = F.when((F.col("_how") == "insert") & (F.col("idx") == 0), F.array(added, own)).otherwise(F.array(own))
@@ -143,9 +151,9 @@ def retime(rows: DataFrame) -> DataFrame:
 def clamp(rows: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """rows whose values never fall, in the order of positions; a fall of more than tolerance sets status."""
     before = F.greatest(F.lit(0.0), F.max("value").over(_before()))
-    rows = rows.withColumn("_fell", before - F.col("value") > tolerance)
+    rows = rows.withColumns({"_fell": before - F.col("value") > tolerance, "value": F.greatest(F.lit(0.0), F.max("value").over(_upto()))})
     fell = F.max(F.col("_fell").cast("int")).over(_group()) == 1
-    return rows.withColumn("status", F.coalesce("status", F.when(fell & (F.col("mode") != "zero"), "monotonicity"))).withColumn("value", F.greatest(F.lit(0.0), F.max("value").over(_upto()))).drop("_fell")
+    return rows.withColumn("status", F.coalesce("status", F.when(fell & (F.col("mode") != "zero"), "monotonicity"))).drop("_fell")
 
 
 def anchor(rows: DataFrame) -> DataFrame:
@@ -164,14 +172,14 @@ def anchor(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_written", written).select("entity_id", "day", F.explode("_written").alias("x")).select("entity_id", "day", "x.*")
 
 
-def repair(points: DataFrame, spine: DataFrame, zone: str = ZONE, tolerance: float = TOLERANCE, hold: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[DataFrame, DataFrame]:
+def repair(points: DataFrame, spine: DataFrame, zone: str = ZONE, tolerance: float = TOLERANCE, hold: Callable[[DataFrame], DataFrame] = lambda rows: rows, sparse: bool = False) -> tuple[DataFrame, DataFrame]:
     """(written, rejects) for each row of the spine (entity_id, day).
 
     written: (entity_id, day, seq, time, value), where a later (day, seq) with the same time
     replaces an earlier one. rejects: (entity_id, day, status), of which nothing is written.
-    hold: may store the rows that both are made of, so that they are computed once.
+    hold: may store the rows that both are made of, so that they are computed once. sparse: see windows.
     """
-    rows = clamp(retime(place_resets(detect_resets(windows(points, spine, zone)))), tolerance)
+    rows = clamp(retime(place_resets(detect_resets(windows(points, spine, zone, sparse)))), tolerance)
     rows = hold(rows.withColumn("_opens", F.col("idx") == F.min("idx").over(_group()))).drop("_opens")
     bad = rows.filter("status is not null").groupBy("entity_id", "day").agg(F.first("status").alias("status"))
     return anchor(rows.filter("status is null")), bad
@@ -182,11 +190,14 @@ def opens_group() -> Column:
     return F.col("_opens")
 
 
+def _sums() -> list[Column]:
+    """What a fingerprint is made of: halves of hashes, so that sums of 2^31 of them stay in range."""
+    return [F.count("*"), F.sum(F.shiftright(F.xxhash64(micros(F.col("time")), "value"), 32)), F.sum(F.shiftright(F.xxhash64("value", micros(F.col("time"))), 32))]
+
+
 def fingerprints(points: DataFrame, zone: str = ZONE) -> DataFrame:
     """(entity_id, day, fingerprint) of what each day's read window holds, in any order; days without points are left out."""
-    rows = assign_days(points, zone).groupBy("entity_id", "day")
-    # halves of hashes, so that sums of 2^31 of them stay in range
-    return rows.agg(F.xxhash64(F.count("*"), F.sum(F.shiftright(F.xxhash64(micros(F.col("time")), "value"), 32)), F.sum(F.shiftright(F.xxhash64("value", micros(F.col("time"))), 32))).alias("fingerprint"))
+    return assign_days(points, zone).groupBy("entity_id", "day").agg(F.xxhash64(*_sums()).alias("fingerprint"))
 
 
 def stored_points(written: DataFrame) -> DataFrame:

@@ -95,7 +95,8 @@ def valid_entities(df: DataFrame) -> DataFrame:
 
 def last_write_wins(df: DataFrame, order: Sequence[Column], key: Sequence[str] = KEY) -> DataFrame:
     """Of the rows with one key the last in order."""
-    newest = W.partitionBy(*key).orderBy(*[o.desc() for o in order])
+    parts = sorted(key, key=lambda c: c != "time")  # rows are sorted by them, and times tell most apart
+    newest = W.partitionBy(*parts).orderBy(*[o.desc() for o in order])
     return df.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
 
 

@@ -7,6 +7,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.operators import repair as steps
 from gridloom.operators.repair import repair, stored_points
 
 DAY = date(2024, 1, 15)
@@ -143,3 +144,18 @@ def test_random_days(spark):
         assert len(got) == len(stored), (name, own)
         for (t, v), (wt, wv) in zip(got, sorted(stored.items()), strict=True):
             assert abs((t - wt).total_seconds()) < 2e-6 and v == pytest.approx(wv), (name, own)
+
+
+def test_windows_tell_fingerprints_in_few_steps(spark):
+    """Fingerprints of read windows come with the windows, also where the spine holds few days; windows in one order share a step."""
+    when = lambda d, h: datetime(2024, 1, d, h)
+    rows = [("a", when(2, h), float(h)) for h in range(0, 24, 3)] + [("a", when(3, 2), None), ("b", when(2, 21), 1.0), ("b", when(2, 21), 1.0), ("c", when(9, 12), 5.0)]
+    points = spark.createDataFrame(rows, "entity_id string, time timestamp, value double")
+    spine = spark.createDataFrame([(e, date(2024, 1, d)) for e in "ab" for d in (1, 2, 3, 7)], "entity_id string, day date")
+    want = {(r.entity_id, r.day): r.fingerprint for r in steps.fingerprints(points).collect()}
+    for sparse in (False, True):
+        found = steps.windows(points, spine, sparse=sparse).select("entity_id", "day", "n", "mark").distinct().collect()
+        assert {(r.entity_id, r.day): r.mark for r in found} == {k: want.get(k) for k in [(r.entity_id, r.day) for r in spine.collect()]}
+        assert sum(r.n > 0 for r in found) == 5
+    plan = repair(points, spine)[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" +-:").startswith("Window ") for line in plan.splitlines()) <= 12
