@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, pre_tokenizers
@@ -84,16 +85,21 @@ class Words:
 
     @staticmethod
     def _places(memory: Memory, keys: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
-        """Where the keys are remembered; new ones are learned."""
+        """Where the keys are remembered; new ones are given to learn, as often as they occur."""
         at = memory.look(keys)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             lacking = [keys[i] for i in missing.tolist()]
-            learn(list(dict.fromkeys(lacking)))
+            learn(lacking)
             at[missing] = memory.look(lacking)
         return at
 
+    def _learn_words(self, keys: list[str]) -> None:
+        new = list(dict.fromkeys(keys))
+        self.words.add(new, *self._joined(new))
+
     def _learn(self, keys: list[str]) -> None:
+        """Pieces, each once."""
         apart, plain = self.rules.apart, keys
         joined = apart.join(keys)
         if not self._is_plain(joined):
@@ -107,19 +113,23 @@ class Words:
         if apart not in self.words.place:
             self.words.add([apart], np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
         words = self.word.findall(joined.lower())
-        at = self._places(self.words, words, lambda new: self.words.add(new, *self._joined(new)))
+        at = self._places(self.words, words, self._learn_words)
         ids, ends = self.words.take(at)
         between = ends[np.flatnonzero(at == self.words.place[apart])]
         self.pieces.add(plain, ids, np.diff(np.concatenate([[0], between, [len(ids)]])))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's begin and the last one's end."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([clean(t) for t in texts], pa.string())
         for memory in (self.pieces, self.words):
             if len(memory.place) > CACHE:
                 memory.clear()
-        parts = [t.split(self.rules.apart) for t in texts]
-        ids, ends = self.pieces.take(self._places(self.pieces, list(chain.from_iterable(parts)), self._learn))
-        return ids, ends[np.cumsum([0, *map(len, parts)])]
+        parts = pc.split_pattern(pc.fill_null(texts, ""), self.rules.apart)
+        pieces = parts.flatten().dictionary_encode()  # few of them are new to a slice, so Python sees each once
+        at = self._places(self.pieces, pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), self._learn)
+        ids, ends = self.pieces.take(at[pieces.indices.to_numpy()])
+        return ids, ends[parts.offsets.to_numpy()]
 
 
 @lru_cache(maxsize=2)
@@ -162,7 +172,7 @@ def tokenized(
         for batch in batches:
             column = batch.column(text)
             for a, b in column_slices(column, PART):
-                ids, ends = words.encode([clean(t) for t in column.slice(a, b - a).to_pylist()])
+                ids, ends = words.encode(column.slice(a, b - a))
                 if end is not None:
                     ids, ends = np.insert(ids, ends[1:], end), ends + np.arange(b - a + 1)
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name).slice(a, b - a) for f in fields), form(ids, ends)], [*(f.name for f in fields), out])

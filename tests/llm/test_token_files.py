@@ -108,3 +108,18 @@ def test_damage_is_seen():
         broken[at] ^= 1
         with pytest.raises(ValueError):
             list(idfiles.records(bytes(broken)))
+
+
+def test_a_piece_is_looked_up_once_in_a_slice():
+    import pyarrow as pa
+
+    words = wordtokens.Words(PATH, wordtokens.Rules())
+    looked = []
+    look = words.pieces.look
+    words.pieces.look = lambda keys: looked.append(len(keys)) or look(keys)
+    texts = ["the cat and the dog", None, "", "the  dog", "Ω the Ω dog"] * 50
+    ids, ends = words.encode(pa.array(["", *texts]).slice(1))
+    assert max(looked) <= 6
+    want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == want
+    assert [len(x) for x in words.encode([])] == [0, 1]
